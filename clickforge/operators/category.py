@@ -119,8 +119,8 @@ def encoding_pipeline(cols: list[str], output: str = "cat_features", keep_unseen
     vec = [f"{c}_vec" for c in cols]
     indexer = StringIndexer(inputCols=cols, outputCols=idx, stringOrderType="frequencyDesc",
                             handleInvalid="keep" if keep_unseen else "error")
-    encoder = OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=keep_unseen,
-                            handleInvalid="keep" if keep_unseen else "error")
+    # the indexer's "unknown" slot is the last category; dropLast removes it -> all-zero block
+    encoder = OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=keep_unseen, handleInvalid="error")
     assembler = VectorAssembler(inputCols=vec, outputCol=output)
     return Pipeline(stages=[indexer, encoder, assembler])
 

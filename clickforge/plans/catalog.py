@@ -234,3 +234,236 @@ def q_one_hot(spark, d):
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
+
+
+# ---- selection, crosses, packing ------------------------------------------------------------------
+
+from clickforge.operators import cross as crs  # noqa: E402
+from clickforge.operators import evaluate as ev  # noqa: E402
+from clickforge.operators import select as sel  # noqa: E402
+from clickforge.operators import split as spl  # noqa: E402
+from clickforge.operators import svm  # noqa: E402
+
+STD = [f"{c}_std" for c in NUM]
+
+
+def _masked_train(p: Prepared) -> DataFrame:
+    return p.masked().filter(F.col("subset") == "train")
+
+
+@register("chi2_scores")
+def q_chi2(spark, d):
+    p = Prepared(spark, d)
+    return rounded(sel.chi2_scores(_masked_train(p), CAT, p.gindex(), Y))
+
+
+@register("chi2_top_n")
+def q_chi2_top(spark, d):
+    p = Prepared(spark, d)
+    top = sel.chi2_top_n(sel.chi2_scores(_masked_train(p), CAT, p.gindex(), Y), 20)
+    return rounded(top.select("gidx", "pos", "feature", "value", "stat"))
+
+
+@register("cross_long")
+def q_cross(spark, d):
+    """Numeric x one-hot crosses, long form, summarised per cross index on train."""
+    p = Prepared(spark, d)
+    k = p.cat_width()
+    long = crs.cross_long(p.std_masked().filter(F.col("subset") == "train"), STD, CAT, p.gindex(), k, [ID])
+    return rounded(long.groupBy("cidx").agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))
+
+
+@register("pack_weights")
+def q_pack(spark, d):
+    """Packed vector width and class weights for every row."""
+    p = Prepared(spark, d)
+    rate = p.train.agg(F.avg(F.col(Y).cast("double"))).first()[0]
+    packed = crs.pack(p.encoded(), Y, rate, inputs=["std_features", "cat_features"], keep=[ID, "subset"])
+    width = crs.vector_width(packed, "features")
+    return rounded(packed.select(ID, "subset", Y, "weight", F.lit(width).alias("width")))
+
+
+@register("assembled_long")
+def q_assembled(spark, d):
+    """Entries of the assembled std + one-hot vector, summarised per index over all rows."""
+    from pyspark.ml.functions import vector_to_array
+    p = Prepared(spark, d)
+    packed = crs.pack(p.encoded(), Y, None, inputs=["std_features", "cat_features"], keep=[ID])
+    long = packed.select(F.posexplode(vector_to_array("features")).alias("idx", "value")).filter(F.col("value") != 0)
+    return rounded(long.groupBy("idx").agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))
+
+
+# ---- splits and rebalancing ----------------------------------------------------------------------
+
+@register("hash_split_counts")
+def q_split_counts(spark, d):
+    return spl.split_counts(spl.hash_split(fx.impressions(spark, d), ID, 2019), Y)
+
+
+@register("holdout_split")
+def q_holdout(spark, d):
+    tr = Prepared(spark, d).train
+    return spl.split_counts(spl.hash_split(tr, ID, 1, (0.8, 0.2), ("fit", "holdout"), "part"), Y, "part")
+
+
+@register("toy_subsample")
+def q_toy(spark, d):
+    return spl.hash_ordered_sample(Prepared(spark, d).train, ID, 1000, 2019).select(ID, Y)
+
+
+@register("oversample_exact")
+def q_oversample(spark, d):
+    return spl.oversample_exact(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=7)
+
+
+@register("undersample_hash")
+def q_undersample(spark, d):
+    return spl.undersample_hash(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=11)
+
+
+@register("union_all_counts")
+def q_union(spark, d):
+    over = spl.oversample_exact(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=7)
+    base, extra = over.filter(F.col("copy") == 0), over.filter(F.col("copy") > 0)
+    return base.unionByName(extra).groupBy(Y).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---- evaluation ----------------------------------------------------------------------------------
+
+def _scored(p: Prepared) -> DataFrame:
+    """A fixed linear score (quantity x price) and its hard label."""
+    return p.imp.select(ID, "subset", Y, (F.col("n01") * F.col("n05")).alias("score")) \
+                .withColumn("prediction", (F.col("score") > 2000000).cast("int"))
+
+
+@register("rank_auc")
+def q_rank_auc(spark, d):
+    return rounded(ev.rank_auc(_scored(Prepared(spark, d)), "score", Y, by=["subset"]))
+
+
+@register("hard_label_auc")
+def q_hard_auc(spark, d):
+    return rounded(ev.hard_label_auc(_scored(Prepared(spark, d)), "prediction", Y, by=["subset"]))
+
+
+@register("confusion_metrics")
+def q_confusion(spark, d):
+    return rounded(ev.confusion_metrics(_scored(Prepared(spark, d)), "prediction", Y, by=["subset"]))
+
+
+# ---- hand-written SVM ------------------------------------------------------------------------------
+
+def _points(p: Prepared) -> DataFrame:
+    std = num.standardize_columns(p.imp, p.num_stats, FIXTURE_RULES)
+    return svm.labelled_points(std, Y, STD, keep=[ID, "subset"])
+
+
+def _two_steps(p: Prepared):
+    pts = _points(p)
+    tr = pts.filter(F.col("subset") == "train")
+    w0 = svm.baseline_weights(tr)
+    w1 = svm.svm_step(tr, w0, 0.1, 0.1)
+    w2 = svm.svm_step(tr, w1, 0.1, 0.1)
+    return pts, [w0, w1, w2]
+
+
+def _weights_frame(spark, ws: list[tuple[int, list[float]]]) -> DataFrame:
+    rows = [(k, i, float(v)) for k, w in ws for i, v in enumerate(w)]
+    return spark.createDataFrame(rows, "step int, idx int, weight double")
+
+
+@register("svm_baseline")
+def q_svm_base(spark, d):
+    p = Prepared(spark, d)
+    tr = _points(p).filter(F.col("subset") == "train")
+    # the baseline is [mean(y), 0, ...]: computed as a projection of one aggregate row
+    mean_y = tr.agg(F.avg(F.col("y").cast("double")).alias("w"))
+    return rounded(mean_y.select(F.posexplode(F.array(F.col("w"), *[F.lit(0.0)] * len(STD))).alias("idx", "weight")))
+
+
+@register("hinge_loss")
+def q_hinge(spark, d):
+    p = Prepared(spark, d)
+    pts = _points(p)
+    w0 = svm.baseline_weights(pts.filter(F.col("subset") == "train"))
+    return rounded(svm.hinge_loss_df(pts, w0, by=["subset"]))
+
+
+@register("svm_one_step")
+def q_svm_step(spark, d):
+    p = Prepared(spark, d)
+    _pts, ws = _two_steps(p)
+    return rounded(_weights_frame(spark, [(1, ws[1]), (2, ws[2])]))
+
+
+@register("svm_predict")
+def q_svm_predict(spark, d):
+    p = Prepared(spark, d)
+    pts, ws = _two_steps(p)
+    return svm.predict(pts.filter(F.col("subset") == "tests"), ws[2], keep=[ID])
+
+
+@register("labelled_points")
+def q_points(spark, d):
+    return rounded(_points(Prepared(spark, d)).filter(F.col("subset") == "train").drop("subset"))
+
+
+@register("label_recode")
+def q_recode(spark, d):
+    from clickforge.functions.scalar import label_recode
+    imp = fx.impressions(spark, d)
+    signed = imp.select(ID, Y, label_recode(Y).alias("y"))
+    return signed.withColumn("back", label_recode("y", to_signed=False))
+
+
+# ---- projection, filters, small sources ---------------------------------------------------------
+
+@register("project_rename_cast_drop")
+def q_project(spark, d):
+    imp = fx.impressions(spark, d).select(ID, Y, "n01", "n04", "c01", "c03")
+    return imp.withColumnRenamed("c01", "flag").withColumn("n04", F.col("n04").cast("int")).drop("c03")
+
+
+@register("columns_by_pattern")
+def q_pattern(spark, d):
+    imp = fx.impressions(spark, d)
+    picked = [c for c in imp.columns if c.startswith("n") and c[1:].isdigit()]
+    return rounded(imp.select(ID, *[F.col(c).cast("float").cast("double").alias(c) for c in picked]))
+
+
+@register("row_counts")
+def q_row_counts(spark, d):
+    imp = fx.impressions(spark, d)
+    return imp.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(Y) == 1).alias("positives"),
+                   F.count_if(F.col(Y) == 0).alias("negatives"))
+
+
+@register("inline_rows")
+def q_inline(spark, d):
+    """The rule table as inline rows (S7), joined with the train statistics."""
+    rules = spark.createDataFrame(list(FIXTURE_RULES.items()), "feature string, rule string")
+    st = Prepared(spark, d).num_stats_df
+    out = rules.join(st, "feature").select(
+        "feature", "rule",
+        F.when(F.col("rule") == "median_z", F.col("median")).otherwise(F.lit(0.0)).alias("centre"),
+        F.when(F.col("rule") == "scale2sd", 2.0 * F.col("stddev")).when(F.col("rule") == "max", F.col("max"))
+         .otherwise(F.col("stddev")).alias("divisor"))
+    return rounded(out)
+
+
+@register("first_n_ordered")
+def q_first_n(spark, d):
+    tr = Prepared(spark, d).train
+    return rounded(tr.filter(F.col(Y) == 1).orderBy(F.col("n07").desc(), F.col(ID).asc()).limit(20)
+                     .select(ID, "n07", Y))
+
+
+@register("sparse_to_dense")
+def q_dense(spark, d):
+    """One-hot vectors of three features from the ML encoder, as dense positions."""
+    from pyspark.ml.functions import vector_to_array
+    p = Prepared(spark, d)
+    cols = ["c01", "c02", "c11"]
+    m = p.masked()
+    model = cat.encoding_pipeline(cols, output="vec").fit(m.filter(F.col("subset") == "train"))
+    return model.transform(m).select(ID, F.posexplode(vector_to_array("vec")).alias("pos", "value"))

@@ -70,7 +70,8 @@ class Prepared:
 
     def masked(self, minimum: int = fx.MASK_MIN, inclusive: bool = False) -> DataFrame:
         """Filled + masked categoricals for all subsets."""
-        return cat.mask_uncommon(self.filled(), fx.CATEGORICAL, self.frequent(minimum, inclusive))
+        return self._memo(("masked", minimum, inclusive), lambda: cat.mask_uncommon(
+            self.filled(), fx.CATEGORICAL, self.frequent(minimum, inclusive)))
 
     def masked_train_stats(self) -> DataFrame:
         return cat.fit_category_stats(self.masked().filter(F.col("subset") == "train"), fx.CATEGORICAL)
@@ -84,3 +85,26 @@ class Prepared:
 
     def cat_width(self) -> int:
         return self._memo("kw", lambda: self.string_index().count())
+
+    def gindex(self) -> DataFrame:
+        """(feature, value, idx, gidx): the bounded one-hot layout of the masked train."""
+        def build():
+            offs = cat.feature_offsets(self.string_index(), fx.CATEGORICAL)
+            return self.string_index().join(F.broadcast(offs), "feature").select(
+                "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx"))
+        return self._memo("gidx", build)
+
+    def std_masked(self) -> DataFrame:
+        """Masked categoricals plus the standardised numerics ``n*_std`` on the same rows."""
+        return num.standardize_columns(self.masked(), self.num_stats, FIXTURE_RULES)
+
+    def encoded(self) -> DataFrame:
+        """ML path: std_features + cat_features (StringIndexer/OneHotEncoder fit on masked train)."""
+        def build():
+            from pyspark.ml.feature import VectorAssembler
+            m = self.std_masked()
+            std = VectorAssembler(inputCols=[f"{c}_std" for c in fx.NUMERIC], outputCol="std_features",
+                                  handleInvalid="keep").transform(m)
+            model = cat.encoding_pipeline(fx.CATEGORICAL).fit(std.filter(F.col("subset") == "train"))
+            return model.transform(std).select(fx.ID, "subset", fx.LABEL, "std_features", "cat_features")
+        return self._memo("enc", build)

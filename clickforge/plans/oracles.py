@@ -222,5 +222,154 @@ q("one_hot_long", PRE + index_ctes() + ", ml AS (" + unnest_long("masked", CAT,
   "SELECT imp_id, subset, feature, idx, gidx FROM ml JOIN gidx USING (feature, value)")
 
 
+# ---- selection, crosses, packing --------------------------------------------------------------
+
+STD_SQL = {c: std_expr(c, r) for c, r in FIXTURE_RULES.items()}
+_MT = "(SELECT * FROM masked WHERE subset = 'train')"
+_CHI = (PRE + index_ctes() +
+        f", tot AS (SELECT CAST(count(*) AS DOUBLE) AS bn, CAST(sum(label) AS DOUBLE) AS bp FROM {_MT})\n"
+        f", vc AS (SELECT feature, value, count(*) AS n, sum(label) AS a FROM ({unnest_long(_MT, CAT, ['label'])}) "
+        "GROUP BY feature, value)\n"
+        ", j AS (SELECT gidx, g.feature, g.value, CAST(coalesce(n, 0) AS DOUBLE) AS n, CAST(coalesce(a, 0) AS DOUBLE) AS a, "
+        "bn, bp FROM gidx g LEFT JOIN vc USING (feature, value), tot)\n"
+        ", sc AS (SELECT gidx, feature, value, CAST(n AS BIGINT) AS n, CAST(a AS BIGINT) AS a, "
+        "CASE WHEN n * (bn - n) * bp * (bn - bp) = 0 THEN 0.0 ELSE bn * ((a * (bn - n - bp + a) - (n - a) * (bp - a)) * "
+        "(a * (bn - n - bp + a) - (n - a) * (bp - a))) / (n * (bn - n) * bp * (bn - bp)) END AS stat FROM j)\n")
+q("chi2_scores", _CHI + f"SELECT gidx, feature, value, n, a, {R('stat')} AS stat FROM sc")
+q("chi2_top_n", _CHI + ", top AS (SELECT * FROM sc ORDER BY stat DESC, gidx ASC LIMIT 20)\n"
+  f"SELECT gidx, CAST(row_number() OVER (ORDER BY gidx) - 1 AS INTEGER) AS pos, feature, value, {R('stat')} AS stat FROM top")
+
+_STDM = (f", s AS ({stats_cte()})\n, sm AS (SELECT masked.*, " + ", ".join(f"{e} AS {c}_std" for c, e in STD_SQL.items())
+         + " FROM masked, s)\n")
+q("cross_long", PRE + index_ctes() + _STDM +
+  ", kk AS (SELECT count(*) AS k FROM sidx)\n"
+  ", hot AS (SELECT imp_id, feature, value, [" + ", ".join(f"{c}_std" for c in NUM) + "] AS xs FROM ("
+  "SELECT *, unnest([" + ", ".join(f"'{c}'" for c in CAT) + "]) AS feature, unnest([" + ", ".join(CAT)
+  + "]) AS value FROM sm WHERE subset = 'train'))\n"
+  ", hx AS (SELECT imp_id, gidx, unnest(range(0, 9)) AS i, unnest(xs) AS xv FROM hot JOIN gidx USING (feature, value))\n"
+  f"SELECT CAST(i * k + gidx AS BIGINT) AS cidx, count(*) AS entries, {R('sum(xv)')} AS sum_value FROM hx, kk GROUP BY 1")
+
+q("pack_weights", PRE + index_ctes() + ", br AS (SELECT avg(label) AS rate FROM train), kk AS (SELECT count(*) AS k FROM sidx)\n"
+  f"SELECT imp_id, subset, label, {R('CASE WHEN label = 0 THEN rate ELSE 1.0 - rate END')} AS weight, "
+  f"CAST({len(NUM)} + k AS INTEGER) AS width FROM imp, br, kk")
+
+q("assembled_long", PRE + index_ctes() + _STDM +
+  ", nums AS (SELECT unnest(range(0, 9)) AS idx, unnest([" + ", ".join(f"{c}_std" for c in NUM) + "]) AS value FROM sm)\n"
+  ", hot AS (SELECT " + str(len(NUM)) + " + gidx AS idx, 1.0 AS value FROM (" + unnest_long("sm", CAT, []) + ") JOIN gidx USING (feature, value))\n"
+  ", allv AS (SELECT idx, value FROM nums WHERE value <> 0 UNION ALL SELECT idx, value FROM hot)\n"
+  f"SELECT CAST(idx AS INTEGER) AS idx, count(*) AS entries, {R('sum(value)')} AS sum_value FROM allv GROUP BY idx")
+
+# ---- splits and rebalancing -------------------------------------------------------------------
+
+from clickforge.functions.hashing import md5_bucket_sql  # noqa: E402
+
+q("hash_split_counts", PRE + "SELECT subset, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM imp GROUP BY subset")
+q("holdout_split", PRE + f"SELECT CASE WHEN {md5_bucket_sql('imp_id', 1)} < 80 THEN 'fit' ELSE 'holdout' END AS part, "
+  "count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM train GROUP BY 1")
+q("toy_subsample", PRE + "SELECT imp_id, label FROM train ORDER BY md5('2019:' || imp_id), imp_id LIMIT 1000")
+
+_OVER = (", cnt AS (SELECT CAST(sum(label) AS BIGINT) AS pos, CAST(count(*) - sum(label) AS BIGINT) AS neg FROM train)\n"
+         ", r AS (SELECT CASE WHEN pos = 0 THEN 0.0 ELSE CAST(neg - pos AS DOUBLE) / pos END AS rate FROM cnt)\n"
+         ", kk AS (SELECT floor(rate) AS whole, floor((rate - floor(rate)) * 10000 + 0.5) AS extra FROM r)\n"
+         f", t AS (SELECT imp_id, label, CASE WHEN label = 1 THEN whole + CASE WHEN {md5_bucket_sql('imp_id', 7, 10000)} "
+         "< extra THEN 1 ELSE 0 END ELSE 0 END AS k FROM train, kk)\n"
+         ", over AS (SELECT imp_id, label, 0 AS copy FROM train UNION ALL "
+         "SELECT imp_id, label, CAST(unnest(range(1, CAST(k AS BIGINT) + 1)) AS INTEGER) AS copy FROM t WHERE k > 0)\n")
+q("oversample_exact", PRE + _OVER + "SELECT imp_id, label, CAST(copy AS INTEGER) AS copy FROM over")
+q("union_all_counts", PRE + _OVER + "SELECT label, count(*) AS rows FROM over GROUP BY label")
+q("undersample_hash", PRE + ", cnt AS (SELECT CAST(sum(label) AS BIGINT) AS pos, CAST(count(*) - sum(label) AS BIGINT) AS neg FROM train)\n"
+  ", r AS (SELECT floor(CASE WHEN neg = 0 THEN 1.0 ELSE CAST(pos AS DOUBLE) / neg END * 10000 + 0.5) AS thr FROM cnt)\n"
+  f"SELECT imp_id, label FROM train, r WHERE label = 1 OR {md5_bucket_sql('imp_id', 11, 10000)} < thr")
+
+# ---- evaluation -------------------------------------------------------------------------------
+
+_SCORED = (", sco AS (SELECT imp_id, subset, label, n01 * n05 AS score, CASE WHEN n01 * n05 > 2000000 THEN 1 ELSE 0 END "
+           "AS prediction FROM imp)\n")
+q("rank_auc", PRE + _SCORED +
+  ", ag AS (SELECT subset, score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg "
+  "FROM sco GROUP BY subset, score)\n"
+  ", cu AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY subset ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ag)\n"
+  "SELECT subset, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives, "
+  f"{R('sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg))')} AS auc FROM cu GROUP BY subset")
+_CONF = (", cf AS (SELECT subset, count(*) FILTER (WHERE prediction > 0 AND label = 1) AS tp, "
+         "count(*) FILTER (WHERE prediction > 0 AND label <> 1) AS fp, count(*) FILTER (WHERE prediction <= 0 AND label <> 1) AS tn, "
+         "count(*) FILTER (WHERE prediction <= 0 AND label = 1) AS fn FROM sco GROUP BY subset)\n")
+q("hard_label_auc", PRE + _SCORED + _CONF + f"SELECT subset, {R('(tp / (tp + fn) + tn / (tn + fp)) / 2')} AS auc FROM cf")
+q("confusion_metrics", PRE + _SCORED + _CONF +
+  ", pr AS (SELECT *, CASE WHEN tp + fp = 0 THEN NULL ELSE tp / (tp + fp) END AS precision, "
+  "CASE WHEN tp + fn = 0 THEN NULL ELSE tp / (tp + fn) END AS recall FROM cf)\n"
+  f"SELECT subset, tp, fp, tn, fn, {R('precision')} AS precision, {R('recall')} AS recall, "
+  f"{R('CASE WHEN precision + recall = 0 THEN NULL ELSE 2 * precision * recall / (precision + recall) END')} AS f1 FROM pr")
+
+# ---- hand-written SVM -------------------------------------------------------------------------
+
+_D = len(NUM)
+_X = [f"x{i}" for i in range(_D + 1)]
+
+
+def _margin(w: str) -> str:
+    e = "0.0"
+    for i in range(_D + 1):
+        e = f"({e} + {w}_{i} * x{i})"
+    return e
+
+
+def _svm_steps(k: int) -> str:
+    parts = [", pts AS (SELECT imp_id, subset, CASE WHEN label = 0 THEN -1 ELSE label END AS y, 1.0 AS x0, "
+             + ", ".join(f"{STD_SQL[c]} AS x{i + 1}" for i, c in enumerate(NUM)) + " FROM imp, s)\n",
+             ", tr AS (SELECT * FROM pts WHERE subset = 'train')\n",
+             ", w0 AS (SELECT avg(y) AS w0_0, " + ", ".join(f"0.0 AS w0_{i}" for i in range(1, _D + 1)) + " FROM tr)\n"]
+    for s in range(1, k + 1):
+        p = f"w{s - 1}"
+        m = _margin(p)
+        parts.append(f", g{s} AS (SELECT count(*) AS n, " + ", ".join(
+            f"sum(CASE WHEN y * {m} < 1 THEN y * x{j} ELSE 0.0 END) AS g_{j}" for j in range(_D + 1)) + f" FROM tr, {p})\n")
+        parts.append(f", w{s} AS (SELECT " + ", ".join(
+            f"{p}_{j} - 0.1 * ((-g_{j}) / n" + (f" + 0.1 * {p}_{j}" if j > 0 else " + 0.0") + f") AS w{s}_{j}"
+            for j in range(_D + 1)) + f" FROM {p}, g{s})\n")
+    return PRE + f", s AS ({stats_cte()})\n" + "".join(parts)
+
+
+q("svm_baseline", _svm_steps(0) + "SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS idx, "
+  f"unnest([{R('w0_0')}, " + ", ".join(f"{R(f'w0_{i}')}" for i in range(1, _D + 1)) + "]) AS weight FROM w0")
+q("hinge_loss", _svm_steps(0) + f"SELECT subset, {R('avg(greatest(0.0, 1 - y * ' + _margin('w0') + '))')} AS hinge_loss "
+  "FROM pts, w0 GROUP BY subset")
+q("svm_one_step", _svm_steps(2) + union_all([
+    f"SELECT {s} AS step, CAST(unnest(range(0, 10)) AS INTEGER) AS idx, unnest([" + ", ".join(
+        R(f"w{s}_{j}") for j in range(_D + 1)) + f"]) AS weight FROM w{s}" for s in (1, 2)]))
+q("svm_predict", _svm_steps(2) + f"SELECT imp_id, y, CASE WHEN {_margin('w2')} >= 0 THEN 1 ELSE -1 END AS prediction "
+  "FROM pts, w2 WHERE subset = 'tests'")
+q("labelled_points", _svm_steps(0) + "SELECT imp_id, y, " + ", ".join(f"{R(x)} AS {x}" for x in _X)
+  + " FROM pts WHERE subset = 'train'")
+q("label_recode", PRE + "SELECT imp_id, label, CASE WHEN label = 0 THEN -1 ELSE label END AS y, "
+  "CASE WHEN (CASE WHEN label = 0 THEN -1 ELSE label END) = -1 THEN 0 ELSE (CASE WHEN label = 0 THEN -1 ELSE label END) END AS back "
+  "FROM impressions")
+
+# ---- projection, filters, small sources -------------------------------------------------------
+
+q("project_rename_cast_drop", PRE + "SELECT imp_id, label, n01, CAST(n04 AS INTEGER) AS n04, c01 AS flag FROM impressions")
+q("columns_by_pattern", PRE + "SELECT imp_id, " + ", ".join(
+    f"{R(f'CAST(CAST({c} AS FLOAT) AS DOUBLE)')} AS {c}" for c in NUM) + " FROM impressions")
+q("row_counts", PRE + "SELECT count(*) AS rows, count(*) FILTER (WHERE label = 1) AS positives, "
+  "count(*) FILTER (WHERE label = 0) AS negatives FROM impressions")
+q("inline_rows", PRE + f", st AS ({stats_long()})\n, rules AS (SELECT * FROM (VALUES "
+  + ", ".join(f"('{c}', '{r}')" for c, r in FIXTURE_RULES.items()) + ") v(feature, rule))\n"
+  f"SELECT feature, rule, {R(chr(39).join(['CASE WHEN rule = ', 'median_z', ' THEN median ELSE 0.0 END']))} AS centre, "
+  f"{R(chr(39).join(['CASE WHEN rule = ', 'scale2sd', ' THEN 2.0 * stddev WHEN rule = ', 'max', ' THEN max ELSE stddev END']))} "
+  "AS divisor FROM rules JOIN st USING (feature)")
+q("first_n_ordered", PRE + f"SELECT imp_id, {R('n07')} AS n07, label FROM train WHERE label = 1 ORDER BY n07 DESC, imp_id ASC LIMIT 20")
+_DC = ["c01", "c02", "c11"]
+q("sparse_to_dense", PRE + index_ctes() +
+  ", sx AS (SELECT * FROM sidx WHERE feature IN ('c01', 'c02', 'c11'))\n"
+  ", wx AS (SELECT feature, count(*) AS width, CASE feature WHEN 'c01' THEN 0 WHEN 'c02' THEN 1 ELSE 2 END AS pos FROM sx GROUP BY feature)\n"
+  ", ox AS (SELECT feature, coalesce(sum(width) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM wx)\n"
+  ", gx AS (SELECT feature, value, off + idx AS gpos FROM sx JOIN ox USING (feature))\n"
+  ", ww AS (SELECT sum(width) AS w FROM wx)\n"
+  f", hits AS (SELECT imp_id, gpos FROM ({unnest_long('masked', _DC, ['imp_id'])}) JOIN gx USING (feature, value))\n"
+  ", grid AS (SELECT imp_id, unnest(range(0, CAST(w AS BIGINT))) AS pos FROM masked, ww)\n"
+  "SELECT grid.imp_id, CAST(grid.pos AS INTEGER) AS pos, CASE WHEN hits.gpos IS NULL THEN 0.0 ELSE 1.0 END AS value "
+  "FROM grid LEFT JOIN hits ON grid.imp_id = hits.imp_id AND grid.pos = hits.gpos")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
