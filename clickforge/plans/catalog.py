@@ -467,3 +467,234 @@ def q_dense(spark, d):
     m = p.masked()
     model = cat.encoding_pipeline(cols, output="vec").fit(m.filter(F.col("subset") == "train"))
     return model.transform(m).select(ID, F.posexplode(vector_to_array("vec")).alias("pos", "value"))
+
+
+# ---- sources and sinks ---------------------------------------------------------------------------
+
+from clickforge.operators import model as mdl  # noqa: E402
+from clickforge.session import scratch_path  # noqa: E402
+from clickforge.sources import files  # noqa: E402
+
+_IMP_SCHEMA = files.impression_schema(Y, NUM, CAT, ids=[ID], extra_int=[fx.NOISE_LABEL])
+
+
+@register("tsv_round_trip")
+def q_tsv(spark, d):
+    """Write the fixture as TSV with a header, read it back with the explicit schema."""
+    path = scratch_path(spark, "tsv")
+    files.write_tsv(fx.impressions(spark, d), path, header=True)
+    return rounded(files.read_tsv(spark, path, _IMP_SCHEMA, header=True))
+
+
+@register("raw_field_profile")
+def q_raw_profile(spark, d):
+    """Headerless TSV export profiled as raw text: rows, empty fields, distinct values per field."""
+    path = scratch_path(spark, "raw")
+    files.write_tsv(fx.impressions(spark, d).select(*_IMP_SCHEMA.names), path, header=False)
+    return files.raw_field_profile(spark, path)
+
+
+@register("parquet_preview")
+def q_parquet_preview(spark, d):
+    """Materialise the train step (S4), scan it back (S3), filtered ordered preview."""
+    store = files.StepStore(spark, scratch_path(spark, "steps"))
+    store.write(Prepared(spark, d).train, "train")
+    return rounded(files.preview(store.read("train"), 20, "label = 1 AND n02 IS NULL",
+                                 [F.col("n05").desc(), F.col(ID)]).select(ID, "n05", "c07"))
+
+
+@register("stats_round_trip")
+def q_stats_rt(spark, d):
+    """Train statistics written as a Parquet table and read back."""
+    st = Prepared(spark, d).num_stats_df
+    return rounded(files.save_table(st, scratch_path(spark, "stats")))
+
+
+# ---- randomised operators (rows-only checks) -----------------------------------------------------
+
+@register("random_split")
+def q_random_split(spark, d):
+    parts = spl.random_split(fx.impressions(spark, d).select(ID, Y), (0.8, 0.1, 0.1), 2019)
+    out = None
+    for i, part in enumerate(parts):
+        s = part.groupBy(F.lit(i).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@register("bernoulli_sample")
+def q_bernoulli(spark, d):
+    return spl.bernoulli_sample(fx.impressions(spark, d).select(ID, Y), 0.01, 2019)
+
+
+@register("oversample_random")
+def q_over_random(spark, d):
+    over = spl.oversample_random(Prepared(spark, d).train.select(ID, Y), Y, 2019)
+    return over.groupBy(Y).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("null_free_toy")
+def q_null_free(spark, d):
+    return spl.null_free_sample(fx.impressions(spark, d), 0.05, 2019)
+
+
+@register("feature_hash")
+def q_hash(spark, d):
+    """FeatureHasher of the 12 categoricals into 1024 slots: non-zeros and total mass per row."""
+    from pyspark.ml.functions import vector_to_array
+    imp = cat.fill_categorical(fx.impressions(spark, d), CAT)
+    h = crs.feature_hasher(CAT, 1024, "hashed").transform(imp)
+    arr = vector_to_array("hashed")
+    return h.select(ID, F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
+                    F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
+@register("libsvm_round_trip")
+def q_libsvm(spark, d):
+    """Packed (label, features) written as LIBSVM and scanned back."""
+    from pyspark.ml.functions import vector_to_array
+    p = Prepared(spark, d)
+    packed = crs.pack(p.encoded(), Y, None, inputs=["std_features", "cat_features"], keep=[])
+    width = crs.vector_width(packed, "features")
+    path = scratch_path(spark, "libsvm")
+    files.write_libsvm(packed, path)
+    back = files.read_libsvm(spark, path, width)
+    arr = vector_to_array("features")
+    return back.select("label", F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
+                       F.lit(crs.vector_width(back, "features")).alias("width"))
+
+
+@register("model_round_trip")
+def q_model_rt(spark, d):
+    """Encoding pipeline saved and loaded; the reloaded model must reproduce every vector."""
+    from pyspark.ml.functions import vector_to_array
+    p = Prepared(spark, d)
+    m = p.masked()
+    model = cat.encoding_pipeline(CAT).fit(m.filter(F.col("subset") == "train"))
+    back = files.save_model(model, scratch_path(spark, "model"))
+    a = model.transform(m).select(ID, vector_to_array("cat_features").alias("a"))
+    b = back.transform(m).select(ID, vector_to_array("cat_features").alias("b"))
+    return a.join(b, ID).select(ID, (F.col("a") == F.col("b")).alias("same"))
+
+
+@register("resumable_step")
+def q_resumable(spark, d):
+    """Step runner: first run writes the masked step, the second finds it complete and skips."""
+    p = Prepared(spark, d)
+    store = files.StepStore(spark, scratch_path(spark, "resumable"))
+    store.write(p.filled(), "whole")
+    build = lambda src: cat.mask_uncommon(src, CAT, p.frequent())
+    out1, ran1 = store.run("whole", f"masked-{fx.MASK_MIN:06d}", build)
+    out2, ran2 = store.run("whole", f"masked-{fx.MASK_MIN:06d}", build)
+    assert ran1 and not ran2
+    return out2.select(ID, "subset", *CAT)
+
+
+# ---- models and harness (rows-only checks) -------------------------------------------------------
+
+def _packed_frames(p: Prepared, weighted: bool = False) -> dict[str, DataFrame]:
+    rate = p.train.agg(F.avg(F.col(Y).cast("double"))).first()[0] if weighted else None
+    packed = crs.pack(p.encoded(), Y, rate, inputs=["std_features", "cat_features"], keep=["subset"])
+    return {s: packed.filter(F.col("subset") == s).drop("subset") for s in ("train", "tests", "valid")}
+
+
+@register("lr_auc")
+def q_lr(spark, d):
+    return mdl.evaluate(spark, "logistic", mdl.logistic(100), _packed_frames(Prepared(spark, d)))
+
+
+@register("lr_l2_auc")
+def q_lr_l2(spark, d):
+    return mdl.evaluate(spark, "logistic-l2", mdl.logistic(100, 0.1, 0.0), _packed_frames(Prepared(spark, d)))
+
+
+@register("lr_l1_auc")
+def q_lr_l1(spark, d):
+    return mdl.evaluate(spark, "logistic-l1", mdl.logistic(100, 0.5, 1.0, "multinomial"),
+                        _packed_frames(Prepared(spark, d)))
+
+
+@register("weighted_lr_auc")
+def q_lr_weighted(spark, d):
+    return mdl.evaluate(spark, "logistic-weighted", mdl.logistic(100, weight="weight"),
+                        _packed_frames(Prepared(spark, d), weighted=True))
+
+
+@register("linear_svc_auc")
+def q_svc(spark, d):
+    return mdl.evaluate(spark, "linear-svc", mdl.linear_svc(100), _packed_frames(Prepared(spark, d)))
+
+
+@register("tree_auc")
+def q_tree(spark, d):
+    return mdl.evaluate(spark, "decision-tree", mdl.decision_tree(), _packed_frames(Prepared(spark, d)))
+
+
+@register("forest_auc")
+def q_forest(spark, d):
+    return mdl.evaluate(spark, "random-forest", mdl.random_forest(30), _packed_frames(Prepared(spark, d)))
+
+
+@register("gbt_auc")
+def q_gbt(spark, d):
+    return mdl.evaluate(spark, "gbt", mdl.gbt(10), _packed_frames(Prepared(spark, d)))
+
+
+@register("lr_reg_sweep")
+def q_lr_sweep(spark, d):
+    return mdl.reg_sweep(spark, lambda r: mdl.logistic(100, r), [0.01, 0.1, 0.5, 1.0],
+                         _packed_frames(Prepared(spark, d)))
+
+
+@register("cross_validate")
+def q_cv(spark, d):
+    lr = mdl.logistic(50)
+    return mdl.cross_validate(spark, lr, {"regParam": [0.01, 0.1]}, _packed_frames(Prepared(spark, d))["train"],
+                              folds=5, seed=2019)
+
+
+# ---- hand-written SVM loops (rows-only checks) ---------------------------------------------------
+
+def _svm_frames(p: Prepared):
+    pts = _points(p).filter(F.col("subset") == "train")
+    fit = spl.hash_split(pts, ID, 1, (0.8, 0.2), ("fit", "holdout"), "part")
+    return fit.filter(F.col("part") == "fit").drop("part"), fit.filter(F.col("part") == "holdout").drop("part")
+
+
+@register("svm_descent")
+def q_svm_descent(spark, d):
+    """20 steps with train/hold-out hinge loss and weight history (M7d, S10)."""
+    tr, ho = _svm_frames(Prepared(spark, d))
+    tr, ho = tr.cache(), ho.cache()
+    hist = svm.svm_descent(tr, ho, svm.baseline_weights(tr), steps=20, lr=0.1, reg=0.1)
+    return files.save_table(svm.history_frame(spark, hist), scratch_path(spark, "svm-history"))
+
+
+@register("svm_reg_sweep")
+def q_svm_sweep(spark, d):
+    """Regularisation sweep {0.001 .. 10} x 20 steps on hold-out hinge loss (M7f)."""
+    tr, ho = _svm_frames(Prepared(spark, d))
+    tr, ho = tr.cache(), ho.cache()
+    w0 = svm.baseline_weights(tr)
+    out = None
+    for reg in (0.001, 0.01, 0.1, 1.0, 10.0):
+        h = svm.svm_descent(tr, ho, w0, steps=20, lr=0.1, reg=reg)
+        df = svm.history_frame(spark, h[-1:], reg=float(reg))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@register("sgd_svm_auc")
+def q_sgd_svm(spark, d):
+    """Batch sub-gradient SVM (the SGD model's objective, regParam 0.01), AUC of its margins (M6, V1)."""
+    p = Prepared(spark, d)
+    pts = _points(p)
+    tr = pts.filter(F.col("subset") == "train").cache()
+    hist = svm.svm_descent(tr, None, svm.baseline_weights(tr), steps=50, lr=0.1, reg=0.01)
+    w = hist[-1]["weights"]
+    scored = pts.select("subset", F.when(F.col("y") == 1, 1).otherwise(0).alias(Y), svm.margin(w).alias("score"))
+    return rank_auc_rows(scored)
+
+
+def rank_auc_rows(scored: DataFrame) -> DataFrame:
+    return ev.rank_auc(scored, "score", Y, by=["subset"])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickforge.operators import category as cat
 from clickforge.operators import numeric as num
+from clickforge.session import scratch_path
 from clickforge.sources import fixture as fx
 
 # The standardisation rule of every fixture column.
@@ -33,10 +34,32 @@ class Prepared:
             self._cache[key] = fn()
         return self._cache[key]
 
+    materialize: bool = True
+
     @property
     def imp(self) -> DataFrame:
-        """All rows with their ``subset`` column."""
-        return self._memo("imp", lambda: fx.with_subset(fx.impressions(self.spark, self.sf_dir)))
+        """All rows with their ``subset`` column.
+
+        Written once as Parquet partitioned by ``subset`` in the shared checkpoint
+        folder (the import + split steps): later passes read columns, not the join,
+        ``subset = 'train'`` prunes partitions, and lineage stops here on executor loss.
+        """
+        def build():
+            df = fx.with_subset(fx.impressions(self.spark, self.sf_dir))
+            if not self.materialize:
+                return df
+            path = scratch_path(self.spark, "impressions")
+            df.write.mode("errorifexists").partitionBy("subset").parquet(path)
+            return self.spark.read.parquet(path).select(*df.columns)
+        return self._memo("imp", build)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate table to the shared folder and scan it back (cuts lineage)."""
+        if not self.materialize:
+            return df
+        path = scratch_path(self.spark, name)
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.parquet(path)
 
     def subset(self, name: str) -> DataFrame:
         return self.imp.filter(F.col("subset") == name).drop("subset")
@@ -106,5 +129,6 @@ class Prepared:
             std = VectorAssembler(inputCols=[f"{c}_std" for c in fx.NUMERIC], outputCol="std_features",
                                   handleInvalid="keep").transform(m)
             model = cat.encoding_pipeline(fx.CATEGORICAL).fit(std.filter(F.col("subset") == "train"))
-            return model.transform(std).select(fx.ID, "subset", fx.LABEL, "std_features", "cat_features")
+            out = model.transform(std).select(fx.ID, "subset", fx.LABEL, "std_features", "cat_features")
+            return self.written(out, "encoded")
         return self._memo("enc", build)

@@ -370,6 +370,18 @@ q("sparse_to_dense", PRE + index_ctes() +
   "SELECT grid.imp_id, CAST(grid.pos AS INTEGER) AS pos, CASE WHEN hits.gpos IS NULL THEN 0.0 ELSE 1.0 END AS value "
   "FROM grid LEFT JOIN hits ON grid.imp_id = hits.imp_id AND grid.pos = hits.gpos")
 
+# ---- sources and sinks ------------------------------------------------------------------------
+
+_IMP_COLS = ["imp_id", "label", "label_noise"] + NUM + CAT
+q("tsv_round_trip", PRE + "SELECT imp_id, label, label_noise, " + ", ".join(R(c) + f" AS {c}" for c in NUM) + ", "
+  + ", ".join(CAT) + " FROM impressions")
+q("raw_field_profile", PRE + union_all([
+    f"SELECT {i} AS field, count(*) AS rows, count(*) - count({c}) AS empty, count(DISTINCT {c}) AS distinct_values "
+    "FROM impressions" for i, c in enumerate(_IMP_COLS)]))
+q("parquet_preview", PRE + f"SELECT imp_id, {R('n05')} AS n05, c07 FROM train WHERE label = 1 AND n02 IS NULL "
+  "ORDER BY n05 DESC, imp_id LIMIT 20")
+q("stats_round_trip", ORACLES["numeric_measurements"])
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

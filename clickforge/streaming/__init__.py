@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference is a batch, file-to-file pipeline: it has no stream sources, watermarks,
+windows or state (nothing reads or writes a stream). There is therefore no streaming
+operator to rebuild; every step here is a batch DataFrame job. Fitted statistics and
+models are plain DataFrames / ``PipelineModel`` objects, so a caller can apply them
+inside ``foreachBatch`` of their own ``writeStream`` without further support code.
+"""
