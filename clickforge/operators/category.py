@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from clickforge.functions.scalar import SENTINEL_NULL, SENTINEL_RARE
+from clickforge.operators.joins import BROADCAST_ROWS, join_bounded
 from clickforge.operators.profile import category_frequencies, unpivot
 
-BROADCAST_ROWS = 2_000_000   # frequent values per feature we are willing to broadcast
 SALT_BUCKETS = 64
 
 
@@ -104,9 +104,8 @@ def one_hot_long(df: DataFrame, cols: list[str], index: DataFrame, ids: list[str
     offs = feature_offsets(index, cols)
     table = index.join(F.broadcast(offs), "feature").select(
         "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx"))
-    n = table.count()
-    table = F.broadcast(table) if n <= broadcast_rows else table
-    return unpivot(df, cols, ids=ids).join(table, ["feature", "value"]).select(*ids, "feature", "idx", "gidx")
+    long = join_bounded(unpivot(df, cols, ids=ids), table, ["feature", "value"], limit=broadcast_rows)
+    return long.select(*ids, "feature", "idx", "gidx")
 
 
 def encoding_pipeline(cols: list[str], output: str = "cat_features", keep_unseen: bool = True) -> Pipeline:

@@ -12,6 +12,7 @@ from pyspark.ml.feature import FeatureHasher, Interaction, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickforge.operators.joins import join_bounded
 from clickforge.operators.profile import unpivot
 
 
@@ -35,10 +36,11 @@ def cross_long(df: DataFrame, num_cols: list[str], cat_cols: list[str], gindex:
                ids: list[str]) -> DataFrame:
     """(ids..., cidx, value): cidx = i * K + gidx(j), value = numeric_i (one-hot is 1.0) (E9 long form).
 
-    ``gindex`` (feature, value, gidx) is the bounded encoding table, broadcast.
+    ``gindex`` (feature, value, gidx) is the bounded encoding table, broadcast after a size check.
     """
-    hot = unpivot(df, cat_cols, ids=ids + [F.array(*[F.col(c).cast("double") for c in num_cols]).alias("__x")])
-    hot = hot.join(F.broadcast(gindex.select("feature", "value", "gidx")), ["feature", "value"])
+    with_x = df.withColumn("__x", F.array(*[F.col(c).cast("double") for c in num_cols]))
+    hot = unpivot(with_x, cat_cols, ids=ids + ["__x"])
+    hot = join_bounded(hot, gindex.select("feature", "value", "gidx"), ["feature", "value"])
     return hot.select(*ids, "gidx", F.posexplode("__x").alias("i", "value")) \
               .select(*ids, (F.col("i") * F.lit(width) + F.col("gidx")).alias("cidx"), "value")
 

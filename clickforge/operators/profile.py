@@ -24,10 +24,13 @@ def _stack(pairs: list[tuple[str, Column]], key: str = "feature", value: str = "
 
 def unpivot(df: DataFrame, cols: list[str], ids: list[str] | None = None, key: str = "feature",
             value: str = "value", cast: str | None = "string") -> DataFrame:
-    """Wide -> long (one row per id x column). NULL values are kept."""
+    """Wide -> long (one row per id x column). NULL values are kept.
+
+    Planned as an ``Expand`` node (codegen, no per-row array/struct allocation).
+    """
     ids = ids or []
-    vals = [(c, F.col(c).cast(cast) if cast else F.col(c)) for c in cols]
-    return df.select(*ids, _stack(vals, key, value))
+    vals = [(F.col(c).cast(cast) if cast else F.col(c)).alias(c) for c in cols]
+    return df.select(*[F.col(i) for i in ids], *vals).unpivot(ids, cols, key, value)
 
 
 # ---- nulls (N3-N9) --------------------------------------------------------------------------------
