@@ -44,7 +44,7 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 @register("ctr_by_category")
 def q_ctr_by_category(spark, d):
     """Click-through rate and positive/negative ratio per category value on train."""
-    p = Prepared(spark, d)
+    p = Prepared(spark, d, materialize=False)
     return rounded(prof.ctr_by_category(p.train, CAT, Y).orderBy(F.col("impressions").desc(), "feature", "value"))
 
 
@@ -70,7 +70,7 @@ def q_label_by_null(spark, d):
 
 @register("null_label_ztest")
 def q_ztest(spark, d):
-    return rounded(prof.null_label_ztest(Prepared(spark, d).train, FEATURES, Y))
+    return rounded(prof.null_label_ztest(Prepared(spark, d, materialize=False).train, FEATURES, Y))
 
 
 @register("complete_row_ratio")
@@ -80,12 +80,12 @@ def q_complete(spark, d):
 
 @register("numeric_describe")
 def q_describe(spark, d):
-    return rounded(prof.describe(Prepared(spark, d).train, NUM))
+    return rounded(prof.describe(Prepared(spark, d, materialize=False).train, NUM))
 
 
 @register("describe_by_label")
 def q_describe_by(spark, d):
-    return rounded(prof.describe_by(Prepared(spark, d).train, NUM, Y))
+    return rounded(prof.describe_by(Prepared(spark, d, materialize=False).train, NUM, Y))
 
 
 @register("numeric_measurements")
@@ -100,17 +100,17 @@ def q_skew(spark, d):
 
 @register("category_frequencies")
 def q_cat_freq(spark, d):
-    return prof.category_frequencies(Prepared(spark, d).train, CAT)
+    return prof.category_frequencies(Prepared(spark, d, materialize=False).train, CAT)
 
 
 @register("category_shares")
 def q_cat_share(spark, d):
-    return rounded(prof.category_shares(prof.category_frequencies(Prepared(spark, d).train, CAT)))
+    return rounded(prof.category_shares(prof.category_frequencies(Prepared(spark, d, materialize=False).train, CAT)))
 
 
 @register("top_k_values")
 def q_topk(spark, d):
-    return prof.top_k_values(prof.category_frequencies(Prepared(spark, d).train, CAT), k=5)
+    return prof.top_k_values(prof.category_frequencies(Prepared(spark, d, materialize=False).train, CAT), k=5)
 
 
 @register("distinct_counts")
@@ -133,7 +133,7 @@ def q_masked_card(spark, d):
 
 @register("equal_width_histogram")
 def q_hist(spark, d):
-    return rounded(prof.equal_width_histogram(Prepared(spark, d).train, NUM, bins=10))
+    return rounded(prof.equal_width_histogram(Prepared(spark, d, materialize=False).train, NUM, bins=10))
 
 
 @register("numeric_frequencies")
@@ -156,17 +156,17 @@ def q_log(spark, d):
 
 @register("correlation_matrix")
 def q_corr(spark, d):
-    return rounded(prof.correlation_matrix(Prepared(spark, d).train, NUM))
+    return rounded(prof.correlation_matrix(Prepared(spark, d, materialize=False).train, NUM))
 
 
 @register("label_distribution")
 def q_label_dist(spark, d):
-    return rounded(prof.label_distribution(Prepared(spark, d).imp, Y, by=["subset"]))
+    return rounded(prof.label_distribution(Prepared(spark, d, materialize=False).imp, Y, by=["subset"]))
 
 
 @register("balance_rate")
 def q_balance(spark, d):
-    return rounded(prof.balance_rate(Prepared(spark, d).train, Y))
+    return rounded(prof.balance_rate(Prepared(spark, d, materialize=False).train, Y))
 
 
 # ---- nulls, imputation, standardisation ------------------------------------------------------------
@@ -302,28 +302,28 @@ def q_split_counts(spark, d):
 
 @register("holdout_split")
 def q_holdout(spark, d):
-    tr = Prepared(spark, d).train
+    tr = Prepared(spark, d, materialize=False).train
     return spl.split_counts(spl.hash_split(tr, ID, 1, (0.8, 0.2), ("fit", "holdout"), "part"), Y, "part")
 
 
 @register("toy_subsample")
 def q_toy(spark, d):
-    return spl.hash_ordered_sample(Prepared(spark, d).train, ID, 1000, 2019).select(ID, Y)
+    return spl.hash_ordered_sample(Prepared(spark, d, materialize=False).train, ID, 1000, 2019).select(ID, Y)
 
 
 @register("oversample_exact")
 def q_oversample(spark, d):
-    return spl.oversample_exact(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=7)
+    return spl.oversample_exact(Prepared(spark, d, materialize=False).train.select(ID, Y), ID, Y, seed=7)
 
 
 @register("undersample_hash")
 def q_undersample(spark, d):
-    return spl.undersample_hash(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=11)
+    return spl.undersample_hash(Prepared(spark, d, materialize=False).train.select(ID, Y), ID, Y, seed=11)
 
 
 @register("union_all_counts")
 def q_union(spark, d):
-    over = spl.oversample_exact(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=7)
+    over = spl.oversample_exact(Prepared(spark, d, materialize=False).train.select(ID, Y), ID, Y, seed=7)
     base, extra = over.filter(F.col("copy") == 0), over.filter(F.col("copy") > 0)
     return base.unionByName(extra).groupBy(Y).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -338,17 +338,17 @@ def _scored(p: Prepared) -> DataFrame:
 
 @register("rank_auc")
 def q_rank_auc(spark, d):
-    return rounded(ev.rank_auc(_scored(Prepared(spark, d)), "score", Y, by=["subset"]))
+    return rounded(ev.rank_auc(_scored(Prepared(spark, d, materialize=False)), "score", Y, by=["subset"]))
 
 
 @register("hard_label_auc")
 def q_hard_auc(spark, d):
-    return rounded(ev.hard_label_auc(_scored(Prepared(spark, d)), "prediction", Y, by=["subset"]))
+    return rounded(ev.hard_label_auc(_scored(Prepared(spark, d, materialize=False)), "prediction", Y, by=["subset"]))
 
 
 @register("confusion_metrics")
 def q_confusion(spark, d):
-    return rounded(ev.confusion_metrics(_scored(Prepared(spark, d)), "prediction", Y, by=["subset"]))
+    return rounded(ev.confusion_metrics(_scored(Prepared(spark, d, materialize=False)), "prediction", Y, by=["subset"]))
 
 
 # ---- hand-written SVM ------------------------------------------------------------------------------
@@ -453,7 +453,7 @@ def q_inline(spark, d):
 
 @register("first_n_ordered")
 def q_first_n(spark, d):
-    tr = Prepared(spark, d).train
+    tr = Prepared(spark, d, materialize=False).train
     return rounded(tr.filter(F.col(Y) == 1).orderBy(F.col("n07").desc(), F.col(ID).asc()).limit(20)
                      .select(ID, "n07", Y))
 

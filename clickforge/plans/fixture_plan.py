@@ -49,7 +49,8 @@ class Prepared:
             if not self.materialize:
                 return df
             path = scratch_path(self.spark, "impressions")
-            df.write.mode("errorifexists").partitionBy("subset").parquet(path)
+            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            df.repartition(parts, fx.ID).write.mode("errorifexists").partitionBy("subset").parquet(path)
             return self.spark.read.parquet(path).select(*df.columns)
         return self._memo("imp", build)
 
@@ -85,8 +86,9 @@ class Prepared:
         return cat.fill_categorical(self.imp, fx.CATEGORICAL)
 
     def cat_stats(self) -> DataFrame:
-        """Category frequencies of the filled train subset."""
-        return cat.fit_category_stats(self.filled().filter(F.col("subset") == "train"), fx.CATEGORICAL)
+        """Category frequencies of the filled train subset (a fitted statistics table, written once)."""
+        return self._memo("cstats", lambda: self.written(
+            cat.fit_category_stats(self.filled().filter(F.col("subset") == "train"), fx.CATEGORICAL), "cat-stats"))
 
     def frequent(self, minimum: int = fx.MASK_MIN, inclusive: bool = False) -> DataFrame:
         return cat.fit_frequent_values(self.cat_stats(), minimum, inclusive)
@@ -97,10 +99,11 @@ class Prepared:
             self.filled(), fx.CATEGORICAL, self.frequent(minimum, inclusive)))
 
     def masked_train_stats(self) -> DataFrame:
-        return cat.fit_category_stats(self.masked().filter(F.col("subset") == "train"), fx.CATEGORICAL)
+        return self._memo("mstats", lambda: self.written(
+            cat.fit_category_stats(self.masked().filter(F.col("subset") == "train"), fx.CATEGORICAL), "masked-stats"))
 
     def string_index(self) -> DataFrame:
-        return self._memo("sidx", lambda: cat.fit_string_index(self.masked_train_stats()))
+        return self._memo("sidx", lambda: self.written(cat.fit_string_index(self.masked_train_stats()), "index"))
 
     def one_hot(self) -> DataFrame:
         """(imp_id, subset, label, feature, idx, gidx) for every subset."""
@@ -113,8 +116,8 @@ class Prepared:
         """(feature, value, idx, gidx): the bounded one-hot layout of the masked train."""
         def build():
             offs = cat.feature_offsets(self.string_index(), fx.CATEGORICAL)
-            return self.string_index().join(F.broadcast(offs), "feature").select(
-                "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx"))
+            return self.written(self.string_index().join(F.broadcast(offs), "feature").select(
+                "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx")), "gindex")
         return self._memo("gidx", build)
 
     def std_masked(self) -> DataFrame:
