@@ -698,3 +698,28 @@ def q_sgd_svm(spark, d):
 
 def rank_auc_rows(scored: DataFrame) -> DataFrame:
     return ev.rank_auc(scored, "score", Y, by=["subset"])
+
+
+# ---- more library-stage checks ------------------------------------------------------------------
+
+@register("impute_mean")
+def q_impute_mean(spark, d):
+    """Spark ML ``Imputer`` with the mean strategy (the Python default), fit on train."""
+    p = Prepared(spark, d)
+    model = num.imputer(NUM, "mean").fit(p.train)
+    return rounded(model.transform(p.imp).select(ID, "subset", *[f"{c}_imp" for c in NUM]))
+
+
+@register("approx_measurements")
+def q_approx_measure(spark, d):
+    """The reference's sketch median (relativeError 0.005) next to the statistics table (A4, rows-only)."""
+    return rounded(prof.numeric_measurements(Prepared(spark, d).train, NUM, exact=False))
+
+
+@register("chi2_selector_picks")
+def q_chi2_ml(spark, d):
+    """Spark ML ``ChiSqSelector`` (top 20) on the encoded train vectors: picked indices in order."""
+    p = Prepared(spark, d)
+    tr = p.encoded().filter(F.col("subset") == "train")
+    picked = sel.chi2_selector(20).fit(tr).selectedFeatures
+    return spark.createDataFrame([(int(g), i) for i, g in enumerate(sorted(picked))], "gidx long, pos int")

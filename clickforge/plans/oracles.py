@@ -383,5 +383,13 @@ q("parquet_preview", PRE + f"SELECT imp_id, {R('n05')} AS n05, c07 FROM train WH
 q("stats_round_trip", ORACLES["numeric_measurements"])
 
 
+# ---- more library-stage checks ----------------------------------------------------------------
+
+q("impute_mean", PRE + f", s AS ({stats_cte()})\nSELECT imp_id, subset, "
+  + ", ".join(f"{R(f'coalesce({c}, s.mean_{c})')} AS {c}_imp" for c in NUM) + " FROM imp, s")
+q("chi2_selector_picks", _CHI + ", top AS (SELECT * FROM sc ORDER BY stat DESC, gidx ASC LIMIT 20)\n"
+  "SELECT gidx, CAST(row_number() OVER (ORDER BY gidx) - 1 AS INTEGER) AS pos FROM top")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
