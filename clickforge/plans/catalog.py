@@ -44,48 +44,48 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 @register("ctr_by_category")
 def q_ctr_by_category(spark, d):
     """Click-through rate and positive/negative ratio per category value on train."""
-    p = Prepared(spark, d, materialize=False)
+    p = Prepared(spark, d)
     return rounded(prof.ctr_by_category(p.train, CAT, Y).orderBy(F.col("impressions").desc(), "feature", "value"))
 
 
 @register("null_profile")
 def q_null_profile(spark, d):
-    return rounded(prof.null_profile(fx.impressions(spark, d), FEATURES))
+    return rounded(prof.null_profile(Prepared(spark, d).whole, FEATURES))
 
 
 @register("high_null_columns")
 def q_high_null(spark, d):
-    return rounded(prof.high_null_columns(fx.impressions(spark, d), FEATURES, pct=5.0))
+    return rounded(prof.high_null_columns(Prepared(spark, d).whole, FEATURES, pct=5.0))
 
 
 @register("co_null_counts")
 def q_co_null(spark, d):
-    return prof.co_null_counts(fx.impressions(spark, d), FEATURES)
+    return prof.co_null_counts(Prepared(spark, d).whole, FEATURES)
 
 
 @register("label_by_null")
 def q_label_by_null(spark, d):
-    return prof.label_by_null(fx.impressions(spark, d), FEATURES, Y)
+    return prof.label_by_null(Prepared(spark, d).whole, FEATURES, Y)
 
 
 @register("null_label_ztest")
 def q_ztest(spark, d):
-    return rounded(prof.null_label_ztest(Prepared(spark, d, materialize=False).train, FEATURES, Y))
+    return rounded(prof.null_label_ztest(Prepared(spark, d).train, FEATURES, Y))
 
 
 @register("complete_row_ratio")
 def q_complete(spark, d):
-    return rounded(prof.complete_row_ratio(fx.impressions(spark, d), FEATURES))
+    return rounded(prof.complete_row_ratio(Prepared(spark, d).whole, FEATURES))
 
 
 @register("numeric_describe")
 def q_describe(spark, d):
-    return rounded(prof.describe(Prepared(spark, d, materialize=False).train, NUM))
+    return rounded(prof.describe(Prepared(spark, d).train, NUM))
 
 
 @register("describe_by_label")
 def q_describe_by(spark, d):
-    return rounded(prof.describe_by(Prepared(spark, d, materialize=False).train, NUM, Y))
+    return rounded(prof.describe_by(Prepared(spark, d).train, NUM, Y))
 
 
 @register("numeric_measurements")
@@ -100,22 +100,22 @@ def q_skew(spark, d):
 
 @register("category_frequencies")
 def q_cat_freq(spark, d):
-    return prof.category_frequencies(Prepared(spark, d, materialize=False).train, CAT)
+    return prof.category_frequencies(Prepared(spark, d).train, CAT)
 
 
 @register("category_shares")
 def q_cat_share(spark, d):
-    return rounded(prof.category_shares(prof.category_frequencies(Prepared(spark, d, materialize=False).train, CAT)))
+    return rounded(prof.category_shares(prof.category_frequencies(Prepared(spark, d).train, CAT)))
 
 
 @register("top_k_values")
 def q_topk(spark, d):
-    return prof.top_k_values(prof.category_frequencies(Prepared(spark, d, materialize=False).train, CAT), k=5)
+    return prof.top_k_values(prof.category_frequencies(Prepared(spark, d).train, CAT), k=5)
 
 
 @register("distinct_counts")
 def q_distinct(spark, d):
-    return prof.distinct_counts(prof.category_frequencies(fx.impressions(spark, d), CAT))
+    return prof.distinct_counts(prof.category_frequencies(Prepared(spark, d).whole, CAT))
 
 
 @register("threshold_cardinality")
@@ -133,7 +133,7 @@ def q_masked_card(spark, d):
 
 @register("equal_width_histogram")
 def q_hist(spark, d):
-    return rounded(prof.equal_width_histogram(Prepared(spark, d, materialize=False).train, NUM, bins=10))
+    return rounded(prof.equal_width_histogram(Prepared(spark, d).train, NUM, bins=10))
 
 
 @register("numeric_frequencies")
@@ -144,29 +144,29 @@ def q_num_freq(spark, d):
 
 @register("special_value_counts")
 def q_special(spark, d):
-    return prof.special_value_counts(fx.impressions(spark, d), NUM)
+    return prof.special_value_counts(Prepared(spark, d).whole, NUM)
 
 
 @register("log_transform")
 def q_log(spark, d):
     from clickforge.functions.scalar import natural_log
-    imp = fx.impressions(spark, d)
+    imp = Prepared(spark, d).whole
     return rounded(imp.select(ID, *[natural_log(c).alias(f"log_{c}") for c in ("n05", "n07", "n08")]))
 
 
 @register("correlation_matrix")
 def q_corr(spark, d):
-    return rounded(prof.correlation_matrix(Prepared(spark, d, materialize=False).train, NUM))
+    return rounded(prof.correlation_matrix(Prepared(spark, d).train, NUM))
 
 
 @register("label_distribution")
 def q_label_dist(spark, d):
-    return rounded(prof.label_distribution(Prepared(spark, d, materialize=False).imp, Y, by=["subset"]))
+    return rounded(prof.label_distribution(Prepared(spark, d).imp, Y, by=["subset"]))
 
 
 @register("balance_rate")
 def q_balance(spark, d):
-    return rounded(prof.balance_rate(Prepared(spark, d, materialize=False).train, Y))
+    return rounded(prof.balance_rate(Prepared(spark, d).train, Y))
 
 
 # ---- nulls, imputation, standardisation ------------------------------------------------------------
@@ -180,7 +180,7 @@ def q_impute(spark, d):
 
 @register("fill_categorical")
 def q_fill_cat(spark, d):
-    return cat.fill_categorical(fx.impressions(spark, d), CAT).select(ID, *CAT)
+    return cat.fill_categorical(Prepared(spark, d).whole, CAT).select(ID, *CAT)
 
 
 @register("standardize")
@@ -218,7 +218,7 @@ def q_mask_incl(spark, d):
 
 @register("replace_values")
 def q_replace(spark, d):
-    imp = fx.impressions(spark, d)
+    imp = Prepared(spark, d).whole
     return cat.replace_values(imp, ["BUILDING", "MACHINERY"], "rarebeef", ["c06"]).select(ID, "c06")
 
 
@@ -297,33 +297,33 @@ def q_assembled(spark, d):
 
 @register("hash_split_counts")
 def q_split_counts(spark, d):
-    return spl.split_counts(spl.hash_split(fx.impressions(spark, d), ID, 2019), Y)
+    return spl.split_counts(spl.hash_split(Prepared(spark, d).whole, ID, 2019), Y)
 
 
 @register("holdout_split")
 def q_holdout(spark, d):
-    tr = Prepared(spark, d, materialize=False).train
+    tr = Prepared(spark, d).train
     return spl.split_counts(spl.hash_split(tr, ID, 1, (0.8, 0.2), ("fit", "holdout"), "part"), Y, "part")
 
 
 @register("toy_subsample")
 def q_toy(spark, d):
-    return spl.hash_ordered_sample(Prepared(spark, d, materialize=False).train, ID, 1000, 2019).select(ID, Y)
+    return spl.hash_ordered_sample(Prepared(spark, d).train, ID, 1000, 2019).select(ID, Y)
 
 
 @register("oversample_exact")
 def q_oversample(spark, d):
-    return spl.oversample_exact(Prepared(spark, d, materialize=False).train.select(ID, Y), ID, Y, seed=7)
+    return spl.oversample_exact(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=7)
 
 
 @register("undersample_hash")
 def q_undersample(spark, d):
-    return spl.undersample_hash(Prepared(spark, d, materialize=False).train.select(ID, Y), ID, Y, seed=11)
+    return spl.undersample_hash(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=11)
 
 
 @register("union_all_counts")
 def q_union(spark, d):
-    over = spl.oversample_exact(Prepared(spark, d, materialize=False).train.select(ID, Y), ID, Y, seed=7)
+    over = spl.oversample_exact(Prepared(spark, d).train.select(ID, Y), ID, Y, seed=7)
     base, extra = over.filter(F.col("copy") == 0), over.filter(F.col("copy") > 0)
     return base.unionByName(extra).groupBy(Y).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -338,17 +338,17 @@ def _scored(p: Prepared) -> DataFrame:
 
 @register("rank_auc")
 def q_rank_auc(spark, d):
-    return rounded(ev.rank_auc(_scored(Prepared(spark, d, materialize=False)), "score", Y, by=["subset"]))
+    return rounded(ev.rank_auc(_scored(Prepared(spark, d)), "score", Y, by=["subset"]))
 
 
 @register("hard_label_auc")
 def q_hard_auc(spark, d):
-    return rounded(ev.hard_label_auc(_scored(Prepared(spark, d, materialize=False)), "prediction", Y, by=["subset"]))
+    return rounded(ev.hard_label_auc(_scored(Prepared(spark, d)), "prediction", Y, by=["subset"]))
 
 
 @register("confusion_metrics")
 def q_confusion(spark, d):
-    return rounded(ev.confusion_metrics(_scored(Prepared(spark, d, materialize=False)), "prediction", Y, by=["subset"]))
+    return rounded(ev.confusion_metrics(_scored(Prepared(spark, d)), "prediction", Y, by=["subset"]))
 
 
 # ---- hand-written SVM ------------------------------------------------------------------------------
@@ -411,7 +411,7 @@ def q_points(spark, d):
 @register("label_recode")
 def q_recode(spark, d):
     from clickforge.functions.scalar import label_recode
-    imp = fx.impressions(spark, d)
+    imp = Prepared(spark, d).whole
     signed = imp.select(ID, Y, label_recode(Y).alias("y"))
     return signed.withColumn("back", label_recode("y", to_signed=False))
 
@@ -420,20 +420,20 @@ def q_recode(spark, d):
 
 @register("project_rename_cast_drop")
 def q_project(spark, d):
-    imp = fx.impressions(spark, d).select(ID, Y, "n01", "n04", "c01", "c03")
+    imp = Prepared(spark, d).whole.select(ID, Y, "n01", "n04", "c01", "c03")
     return imp.withColumnRenamed("c01", "flag").withColumn("n04", F.col("n04").cast("int")).drop("c03")
 
 
 @register("columns_by_pattern")
 def q_pattern(spark, d):
-    imp = fx.impressions(spark, d)
+    imp = Prepared(spark, d).whole
     picked = [c for c in imp.columns if c.startswith("n") and c[1:].isdigit()]
     return rounded(imp.select(ID, *[F.col(c).cast("float").cast("double").alias(c) for c in picked]))
 
 
 @register("row_counts")
 def q_row_counts(spark, d):
-    imp = fx.impressions(spark, d)
+    imp = Prepared(spark, d).whole
     return imp.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(Y) == 1).alias("positives"),
                    F.count_if(F.col(Y) == 0).alias("negatives"))
 
@@ -453,7 +453,7 @@ def q_inline(spark, d):
 
 @register("first_n_ordered")
 def q_first_n(spark, d):
-    tr = Prepared(spark, d, materialize=False).train
+    tr = Prepared(spark, d).train
     return rounded(tr.filter(F.col(Y) == 1).orderBy(F.col("n07").desc(), F.col(ID).asc()).limit(20)
                      .select(ID, "n07", Y))
 
@@ -482,7 +482,7 @@ _IMP_SCHEMA = files.impression_schema(Y, NUM, CAT, ids=[ID], extra_int=[fx.NOISE
 def q_tsv(spark, d):
     """Write the fixture as TSV with a header, read it back with the explicit schema."""
     path = scratch_path(spark, "tsv")
-    files.write_tsv(fx.impressions(spark, d), path, header=True)
+    files.write_tsv(Prepared(spark, d).whole, path, header=True)
     return rounded(files.read_tsv(spark, path, _IMP_SCHEMA, header=True))
 
 
@@ -490,7 +490,7 @@ def q_tsv(spark, d):
 def q_raw_profile(spark, d):
     """Headerless TSV export profiled as raw text: rows, empty fields, distinct values per field."""
     path = scratch_path(spark, "raw")
-    files.write_tsv(fx.impressions(spark, d).select(*_IMP_SCHEMA.names), path, header=False)
+    files.write_tsv(Prepared(spark, d).whole.select(*_IMP_SCHEMA.names), path, header=False)
     return files.raw_field_profile(spark, path)
 
 
@@ -514,7 +514,7 @@ def q_stats_rt(spark, d):
 
 @register("random_split")
 def q_random_split(spark, d):
-    parts = spl.random_split(fx.impressions(spark, d).select(ID, Y), (0.8, 0.1, 0.1), 2019)
+    parts = spl.random_split(Prepared(spark, d).whole.select(ID, Y), (0.8, 0.1, 0.1), 2019)
     out = None
     for i, part in enumerate(parts):
         s = part.groupBy(F.lit(i).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
@@ -524,7 +524,7 @@ def q_random_split(spark, d):
 
 @register("bernoulli_sample")
 def q_bernoulli(spark, d):
-    return spl.bernoulli_sample(fx.impressions(spark, d).select(ID, Y), 0.01, 2019)
+    return spl.bernoulli_sample(Prepared(spark, d).whole.select(ID, Y), 0.01, 2019)
 
 
 @register("oversample_random")
@@ -535,14 +535,14 @@ def q_over_random(spark, d):
 
 @register("null_free_toy")
 def q_null_free(spark, d):
-    return spl.null_free_sample(fx.impressions(spark, d), 0.05, 2019)
+    return spl.null_free_sample(Prepared(spark, d).whole, 0.05, 2019)
 
 
 @register("feature_hash")
 def q_hash(spark, d):
     """FeatureHasher of the 12 categoricals into 1024 slots: non-zeros and total mass per row."""
     from pyspark.ml.functions import vector_to_array
-    imp = cat.fill_categorical(fx.impressions(spark, d), CAT)
+    imp = cat.fill_categorical(Prepared(spark, d).whole, CAT)
     h = crs.feature_hasher(CAT, 1024, "hashed").transform(imp)
     arr = vector_to_array("hashed")
     return h.select(ID, F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),

@@ -6,6 +6,7 @@ Statistics are fitted on ``train`` only and applied to every subset.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from clickforge.operators import category as cat
 from clickforge.operators import numeric as num
-from clickforge.session import scratch_path
+from clickforge.session import ensure_checkpoint_dir, scratch_path
+from clickforge.sources import files
 from clickforge.sources import fixture as fx
 
 # The standardisation rule of every fixture column.
@@ -23,10 +25,56 @@ FIXTURE_RULES = {
 }
 
 
+SOURCES = ("lineitem", "orders", "part", "customer", "nation")
+
+
+def _source_key(spark: SparkSession, sf_dir: str) -> str:
+    """Content key of the source tables: path, byte length and modification time of each."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = [sf_dir]
+    for t in SOURCES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(conf)
+        parts += [t, str(fs.getContentSummary(path).getLength()), str(fs.getFileStatus(path).getModificationTime())]
+    return hashlib.md5("|".join(parts).encode()).hexdigest()[:16]
+
+
+def import_path(spark: SparkSession, sf_dir: str) -> str:
+    """S1 + P1 + S11: the fixture imported once as Parquet partitioned by ``subset``.
+
+    Written under the session's shared checkpoint folder, keyed by the sources' content,
+    and reused while complete (``_SUCCESS``); an interrupted import is left alone and the
+    next attempt writes a fresh folder. Later passes read pruned columns instead of
+    re-running the joins, ``subset = 'train'`` prunes partitions, and lineage stops here.
+    """
+    store = files.StepStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickforge-import/"
+                                   f"{_source_key(spark, sf_dir)}")
+    done = store.resolve("whole")
+    if done is not None:
+        return done
+    df = fx.with_subset(fx.impressions(spark, sf_dir))
+    path = store.fresh("whole")
+    df.write.mode("errorifexists").partitionBy("subset").parquet(path)
+    return path
+
+
+def import_root(spark: SparkSession, sf_dir: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickforge-import/{_source_key(spark, sf_dir)}"
+
+
 @dataclass
 class Prepared:
+    """The plan's fitted steps for one source directory.
+
+    Like the reference's step runner, every fitted artifact (statistics tables, the
+    masked table, the index, the encoded vectors) is written once as Parquet next to
+    the import and reused while complete; a missing artifact is refitted. Names carry
+    the parameters (threshold, inclusiveness), so different settings never collide.
+    """
     spark: SparkSession
     sf_dir: str
+    materialize: bool = True
     _cache: dict = field(default_factory=dict)
 
     def _memo(self, key, fn):
@@ -34,28 +82,34 @@ class Prepared:
             self._cache[key] = fn()
         return self._cache[key]
 
-    materialize: bool = True
+    @property
+    def store(self) -> files.StepStore:
+        return self._memo("store", lambda: files.StepStore(self.spark, import_root(self.spark, self.sf_dir)))
 
     @property
     def imp(self) -> DataFrame:
-        """All rows with their ``subset`` column.
-
-        Written once as Parquet partitioned by ``subset`` in the shared checkpoint
-        folder (the import + split steps): later passes read columns, not the join,
-        ``subset = 'train'`` prunes partitions, and lineage stops here on executor loss.
-        """
+        """All rows with their ``subset`` column (the imported + split table, see :func:`import_path`)."""
         def build():
-            df = fx.with_subset(fx.impressions(self.spark, self.sf_dir))
+            cols = fx.with_subset(fx.impressions(self.spark, self.sf_dir)).columns
             if not self.materialize:
-                return df
-            path = scratch_path(self.spark, "impressions")
-            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            df.repartition(parts, fx.ID).write.mode("errorifexists").partitionBy("subset").parquet(path)
-            return self.spark.read.parquet(path).select(*df.columns)
+                return fx.with_subset(fx.impressions(self.spark, self.sf_dir))
+            return self.spark.read.parquet(import_path(self.spark, self.sf_dir)).select(*cols)
         return self._memo("imp", build)
 
+    def step(self, name: str, build) -> DataFrame:
+        """A fitted table: reuse the complete written copy, else build, write once and scan back."""
+        def run():
+            if not self.materialize:
+                return build()
+            done = self.store.resolve("fitted", name)
+            if done is None:
+                build().write.mode("errorifexists").parquet(self.store.fresh("fitted", name))
+                done = self.store.resolve("fitted", name)
+            return self.spark.read.parquet(done)
+        return self._memo(("step", name), run)
+
     def written(self, df: DataFrame, name: str) -> DataFrame:
-        """Write an intermediate table to the shared folder and scan it back (cuts lineage)."""
+        """Write an intermediate table to a fresh scratch folder and scan it back (cuts lineage)."""
         if not self.materialize:
             return df
         path = scratch_path(self.spark, name)
@@ -65,13 +119,17 @@ class Prepared:
     def subset(self, name: str) -> DataFrame:
         return self.imp.filter(F.col("subset") == name).drop("subset")
 
+    @property
+    def whole(self) -> DataFrame:
+        return self.imp.drop("subset")
+
     @property
     def train(self) -> DataFrame:
         return self.subset("train")
 
     @property
     def num_stats_df(self) -> DataFrame:
-        return self._memo("nsdf", lambda: num.fit_numeric_stats(self.train, fx.NUMERIC))
+        return self.step("num-stats", lambda: num.fit_numeric_stats(self.train, fx.NUMERIC))
 
     @property
     def num_stats(self) -> dict:
@@ -86,24 +144,25 @@ class Prepared:
         return cat.fill_categorical(self.imp, fx.CATEGORICAL)
 
     def cat_stats(self) -> DataFrame:
-        """Category frequencies of the filled train subset (a fitted statistics table, written once)."""
-        return self._memo("cstats", lambda: self.written(
-            cat.fit_category_stats(self.filled().filter(F.col("subset") == "train"), fx.CATEGORICAL), "cat-stats"))
+        """Category frequencies of the filled train subset (A7 fit)."""
+        return self.step("cat-stats", lambda: cat.fit_category_stats(
+            self.filled().filter(F.col("subset") == "train"), fx.CATEGORICAL))
 
     def frequent(self, minimum: int = fx.MASK_MIN, inclusive: bool = False) -> DataFrame:
         return cat.fit_frequent_values(self.cat_stats(), minimum, inclusive)
 
     def masked(self, minimum: int = fx.MASK_MIN, inclusive: bool = False) -> DataFrame:
         """Filled + masked categoricals for all subsets."""
-        return self._memo(("masked", minimum, inclusive), lambda: cat.mask_uncommon(
-            self.filled(), fx.CATEGORICAL, self.frequent(minimum, inclusive)))
+        name = f"masked-{minimum:06d}{'-inclusive' if inclusive else ''}"
+        return self.step(name, lambda: cat.mask_uncommon(self.filled(), fx.CATEGORICAL,
+                                                         self.frequent(minimum, inclusive)))
 
     def masked_train_stats(self) -> DataFrame:
-        return self._memo("mstats", lambda: self.written(
-            cat.fit_category_stats(self.masked().filter(F.col("subset") == "train"), fx.CATEGORICAL), "masked-stats"))
+        return self.step("masked-stats", lambda: cat.fit_category_stats(
+            self.masked().filter(F.col("subset") == "train"), fx.CATEGORICAL))
 
     def string_index(self) -> DataFrame:
-        return self._memo("sidx", lambda: self.written(cat.fit_string_index(self.masked_train_stats()), "index"))
+        return self.step("index", lambda: cat.fit_string_index(self.masked_train_stats()))
 
     def one_hot(self) -> DataFrame:
         """(imp_id, subset, label, feature, idx, gidx) for every subset."""
@@ -116,9 +175,9 @@ class Prepared:
         """(feature, value, idx, gidx): the bounded one-hot layout of the masked train."""
         def build():
             offs = cat.feature_offsets(self.string_index(), fx.CATEGORICAL)
-            return self.written(self.string_index().join(F.broadcast(offs), "feature").select(
-                "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx")), "gindex")
-        return self._memo("gidx", build)
+            return self.string_index().join(F.broadcast(offs), "feature").select(
+                "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx"))
+        return self.step("gindex", build)
 
     def std_masked(self) -> DataFrame:
         """Masked categoricals plus the standardised numerics ``n*_std`` on the same rows."""
@@ -132,6 +191,5 @@ class Prepared:
             std = VectorAssembler(inputCols=[f"{c}_std" for c in fx.NUMERIC], outputCol="std_features",
                                   handleInvalid="keep").transform(m)
             model = cat.encoding_pipeline(fx.CATEGORICAL).fit(std.filter(F.col("subset") == "train"))
-            out = model.transform(std).select(fx.ID, "subset", fx.LABEL, "std_features", "cat_features")
-            return self.written(out, "encoded")
-        return self._memo("enc", build)
+            return model.transform(std).select(fx.ID, "subset", fx.LABEL, "std_features", "cat_features")
+        return self.step("encoded", build)
