@@ -28,8 +28,18 @@ FIXTURE_RULES = {
 SOURCES = ("lineitem", "orders", "part", "customer", "nation")
 
 
+_KEYS: dict[tuple[str, str], str] = {}
+
+
 def _source_key(spark: SparkSession, sf_dir: str) -> str:
     """Content key of the source tables: path, byte length and modification time of each."""
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    if memo not in _KEYS:
+        _KEYS[memo] = _compute_key(spark, sf_dir)
+    return _KEYS[memo]
+
+
+def _compute_key(spark: SparkSession, sf_dir: str) -> str:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     parts = [sf_dir]
@@ -90,10 +100,9 @@ class Prepared:
     def imp(self) -> DataFrame:
         """All rows with their ``subset`` column (the imported + split table, see :func:`import_path`)."""
         def build():
-            cols = fx.with_subset(fx.impressions(self.spark, self.sf_dir)).columns
             if not self.materialize:
                 return fx.with_subset(fx.impressions(self.spark, self.sf_dir))
-            return self.spark.read.parquet(import_path(self.spark, self.sf_dir)).select(*cols)
+            return self.spark.read.parquet(import_path(self.spark, self.sf_dir)).select(*fx.COLUMNS, "subset")
         return self._memo("imp", build)
 
     def step(self, name: str, build) -> DataFrame:

@@ -19,6 +19,7 @@ NOISE_LABEL = "label_noise"
 ID = "imp_id"
 NUMERIC = [f"n{i:02d}" for i in range(1, 10)]
 CATEGORICAL = [f"c{i:02d}" for i in range(1, 13)]
+COLUMNS = [ID, LABEL, NOISE_LABEL] + NUMERIC + CATEGORICAL
 SPLIT_SEED = 2019
 MASK_MIN = 40
 
