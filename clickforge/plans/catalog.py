@@ -676,10 +676,11 @@ def q_svm_sweep(spark, d):
     tr, ho = _svm_frames(Prepared(spark, d))
     tr, ho = tr.cache(), ho.cache()
     w0 = svm.baseline_weights(tr)
+    regs = [0.001, 0.01, 0.1, 1.0, 10.0]
+    hist = svm.svm_sweep(tr, ho, w0, regs, steps=20, lr=0.1)
     out = None
-    for reg in (0.001, 0.01, 0.1, 1.0, 10.0):
-        h = svm.svm_descent(tr, ho, w0, steps=20, lr=0.1, reg=reg)
-        df = svm.history_frame(spark, h[-1:], reg=float(reg))
+    for reg in regs:
+        df = svm.history_frame(spark, hist[reg][-1:], reg=float(reg))
         out = df if out is None else out.unionByName(df)
     return out
 
