@@ -724,3 +724,24 @@ def q_chi2_ml(spark, d):
     tr = p.encoded().filter(F.col("subset") == "train")
     picked = sel.chi2_selector(20).fit(tr).selectedFeatures
     return spark.createDataFrame([(int(g), i) for i, g in enumerate(sorted(picked))], "gidx long, pos int")
+
+
+# ---- the whole preparation run -------------------------------------------------------------------
+
+@register("prep_flow")
+def q_prep_flow(spark, d):
+    """Import -> split -> normed -> masked -> encode -> picked (chi2 top 20) -> crossed -> packed,
+    each step materialised and resumable; per subset rows, width, positives and weight mass."""
+    from clickforge.plans.prep import FeaturePrep, PrepConfig
+    cfg = PrepConfig(key=ID, label=Y, numeric=NUM, categorical=CAT, rules=FIXTURE_RULES,
+                     minimum=fx.MASK_MIN, top=20, crosses=True)
+    prep = FeaturePrep(spark, scratch_path(spark, "prep"), cfg)
+    packed = prep.run(Prepared(spark, d).whole)
+    out = None
+    for sub, df in packed.items():
+        width = crs.vector_width(df, "features")
+        s = df.groupBy(F.lit(sub).alias("subset")).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.col(Y).cast("long")).alias("positives"),
+            F.sum("weight").alias("weight_sum")).withColumn("width", F.lit(width))
+        out = s if out is None else out.unionByName(s)
+    return rounded(out)

@@ -391,5 +391,13 @@ q("chi2_selector_picks", _CHI + ", top AS (SELECT * FROM sc ORDER BY stat DESC,
   "SELECT gidx, CAST(row_number() OVER (ORDER BY gidx) - 1 AS INTEGER) AS pos FROM top")
 
 
+# ---- the whole preparation run ----------------------------------------------------------------
+
+q("prep_flow", PRE + index_ctes() + ", kk AS (SELECT count(*) AS k FROM sidx), br AS (SELECT avg(label) AS rate FROM train)\n"
+  f"SELECT subset, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives, "
+  f"{R('sum(CASE WHEN label = 0 THEN rate ELSE 1.0 - rate END)')} AS weight_sum, "
+  f"CAST({len(NUM)} + 20 + {len(NUM)} * k AS INTEGER) AS width FROM imp, br, kk GROUP BY subset, k")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
