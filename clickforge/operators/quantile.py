@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], p: float = 0.5, buckets: int = 1024,
-                    exact_below: int = 50_000, max_passes: int = 40) -> dict[str, float | None]:
+                    exact_below: int = 50_000, max_passes: int = 200) -> dict[str, float | None]:
     """Linear-interpolated quantile ``p`` of every column (same definition as ``percentile``).
 
     Returns ``{col: value}`` (``None`` for an all-NULL column); the driver only
@@ -51,6 +51,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], p: float = 0.5, buckets: int
             lo, hi = first[f"lo_{c}"], first[f"hi_{c}"]
             targets.append([c, k, lo, hi, 0, n, lo if lo == hi else None])
 
+    stalled: set[int] = set()
     for _ in range(max_passes):
         active = [i for i, t in enumerate(targets) if t[6] is None]
         if not active:
@@ -60,10 +61,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], p: float = 0.5, buckets: int
             c, _k, lo, hi, _below, rows, _v = targets[i]
             v = x[c]
             inside = v.between(F.lit(lo), F.lit(hi))
+            width = hi - lo
             if rows <= exact_below:
                 key = v  # final pass for this target: group by the value itself
+            elif not math.isfinite(width) or i in stalled:
+                # range too wide for equal-width bins (or no progress): split at the midpoint
+                key = F.when(v <= F.lit(lo / 2 + hi / 2), F.lit(0.0)).otherwise(F.lit(1.0))
             else:
-                width = hi - lo
                 key = F.least(F.floor((v - F.lit(lo)) / F.lit(width) * F.lit(buckets)),
                               F.lit(buckets - 1)).cast("double")
             entries.append(F.when(inside, F.struct(F.lit(i).alias("t"), key.alias("k"), v.alias("v"))))
@@ -82,6 +86,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], p: float = 0.5, buckets: int
             acc = t[4]
             for r in rows:
                 if acc + r["n"] > t[1]:
+                    if (r["vmin"], r["vmax"], r["n"]) == (t[2], t[3], t[5]):
+                        stalled.add(i)
+                    else:
+                        stalled.discard(i)
                     t[2], t[3], t[4], t[5] = r["vmin"], r["vmax"], acc, r["n"]
                     if r["vmin"] == r["vmax"]:
                         t[6] = r["vmin"]
@@ -89,6 +97,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], p: float = 0.5, buckets: int
                 acc += r["n"]
             else:  # cannot happen unless the data changed between passes
                 raise RuntimeError("quantile refinement lost its rank; is the input deterministic?")
+    if any(t[6] is None for t in targets):
+        raise RuntimeError(f"quantile refinement did not converge in {max_passes} passes")
     for c, (pos, k1, k2) in plan.items():
         vals = {t[1]: t[6] for t in targets if t[0] == c}
         v1, v2 = vals[k1], vals[k2]

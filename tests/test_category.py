@@ -53,3 +53,21 @@ def test_one_hot_long_matches_ml(spark):
     for r in model.transform(df).select("id", vector_to_array("v").alias("v")).collect():
         ml |= {(r["id"], j) for j, x in enumerate(r["v"]) if x}
     assert long == ml
+
+
+def test_salted_shuffle_join_path(spark):
+    """No broadcast at all: the salted sort-merge path must give the broadcast result."""
+    rows = [(i, "hot" if i % 3 else f"v{i % 7}") for i in range(300)] + [(1000 + i, None) for i in range(50)]
+    df = spark.createDataFrame(rows, "id int, c1 string")
+    fr = cat.fit_frequent_values(cat.fit_category_stats(df, ["c1"]), 20)
+    expect = {tuple(r) for r in cat.mask_uncommon(df, ["c1"], fr).collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = cat.mask_uncommon(df, ["c1"], fr, broadcast_rows=0, hot_rows=50)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        got = {tuple(r) for r in salted.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" not in plan
+    assert got == expect

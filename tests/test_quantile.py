@@ -21,3 +21,9 @@ def test_single_row_and_constant(spark):
     df = spark.createDataFrame([(5.0, 1.0), (5.0, None)], "a double, b double")
     got = exact_quantiles(df, ["a", "b"])
     assert got == {"a": 5.0, "b": 1.0}
+
+
+def test_extreme_range_uses_bisection(spark):
+    vals = [-1.0e308, 1.0e308, 3.0, 4.0, 5.0]
+    df = spark.createDataFrame([(v,) for v in vals], "a double")
+    assert exact_quantiles(df, ["a"], buckets=4, exact_below=1)["a"] == 4.0
