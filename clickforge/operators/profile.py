@@ -143,10 +143,13 @@ def numeric_measurements(df: DataFrame, cols: list[str], exact: bool = True,
     ``exact`` uses the bounded-memory refinement in :mod:`quantile`; otherwise the
     sketch-based ``approxQuantile`` the reference used.
     """
-    medians = exact_quantiles(df, cols) if exact else approx_quantiles(df, cols, 0.5, relative_error)
-    desc = describe(df, cols)
-    med = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(medians[c]).cast("double"))])
-    return desc.withColumn("median", med[F.col("feature")])
+    rows = describe(df, cols).collect()          # one pass; one row per feature
+    known = {r["feature"]: (r["count"], r["min"], r["max"]) for r in rows}
+    medians = exact_quantiles(df, cols, known=known) if exact else approx_quantiles(df, cols, 0.5, relative_error)
+    schema = "feature string, count long, mean double, stddev double, min double, max double, median double"
+    return df.sparkSession.createDataFrame(
+        [(r["feature"], r["count"], r["mean"], r["stddev"], r["min"], r["max"], medians[r["feature"]]) for r in rows],
+        schema)
 
 
 def median_skewness(measurements: DataFrame) -> DataFrame:

@@ -26,15 +26,20 @@ from pyspark.sql import functions as F
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], p: float = 0.5, buckets: int = 1024,
-                    exact_below: int = 50_000, max_passes: int = 200) -> dict[str, float | None]:
+                    exact_below: int = 50_000, max_passes: int = 200,
+                    known: dict[str, tuple] | None = None) -> dict[str, float | None]:
     """Linear-interpolated quantile ``p`` of every column (same definition as ``percentile``).
 
     Returns ``{col: value}`` (``None`` for an all-NULL column); the driver only
-    holds per-bin counts, never column values in bulk.
+    holds per-bin counts, never column values in bulk. ``known`` = {col: (count, min, max)}
+    from an earlier pass skips the first scan.
     """
     x = {c: F.col(c).cast("double") for c in cols}
-    first = df.agg(*[e for c in cols for e in (F.count(x[c]).alias(f"n_{c}"), F.min(x[c]).alias(f"lo_{c}"),
-                                               F.max(x[c]).alias(f"hi_{c}"))]).first()
+    if known is not None:
+        first = {k: v for c in cols for k, v in zip((f"n_{c}", f"lo_{c}", f"hi_{c}"), known[c])}
+    else:
+        first = df.agg(*[e for c in cols for e in (F.count(x[c]).alias(f"n_{c}"), F.min(x[c]).alias(f"lo_{c}"),
+                                                   F.max(x[c]).alias(f"hi_{c}"))]).first()
     result: dict[str, float | None] = {}
     # target: [col, rank, lo, hi, below, rows_in_range, value]
     targets: list[list] = []
