@@ -59,13 +59,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture as a lazy DataFrame (joins planned by Catalyst; small dims broadcast by size)."""
-    li = table(spark, sf_dir, "lineitem")
-    # A fact table stored as one unsplittable file would run the whole plan in one task.
-    # Spread it over the cluster first when it arrives in fewer splits than there are cores.
+    # A table stored as one unsplittable file would run the whole plan in one task: spread
+    # the two large inputs when they arrive in fewer splits than there are cores (both, so
+    # the size-based join choice still broadcasts the smaller side and streams the larger).
     cores = spark.sparkContext.defaultParallelism
-    if li.rdd.getNumPartitions() < cores:
-        li = li.repartition(cores)
-    o = table(spark, sf_dir, "orders")
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+    li = spread(table(spark, sf_dir, "lineitem"))
+    o = spread(table(spark, sf_dir, "orders"))
     p = table(spark, sf_dir, "part")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
