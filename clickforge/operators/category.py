@@ -74,14 +74,29 @@ def mask_uncommon(df: DataFrame, cols: list[str], frequent: DataFrame, replaceme
     return out.select(*df.columns)
 
 
-def fit_string_index(freq: DataFrame) -> DataFrame:
-    """(feature, value, idx): most frequent value = 0, ties by value ascending (E4, relational).
+def fit_string_index(freq: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(feature, value, counts, idx): most frequent value = 0, ties by value ascending (E4, relational).
 
-    Matches ``StringIndexer(stringOrderType='frequencyDesc')``. The window holds one
-    feature's distinct values, i.e. the model itself (bounded by rows / min after masking).
+    Matches ``StringIndexer(stringOrderType='frequencyDesc')`` without ranking a whole
+    feature in one task: rows are range-partitioned on (feature, counts desc, value),
+    ranked inside each (partition, feature) piece, and shifted by the sizes of the same
+    feature's pieces in earlier partitions (a table of at most partitions x features rows).
     """
-    w = Window.partitionBy("feature").orderBy(F.col("counts").desc(), F.col("value").asc())
-    return freq.filter(F.col("value").isNotNull()).withColumn("idx", F.row_number().over(w) - 1)
+    spark = freq.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("feature").asc(), F.col("counts").desc(), F.col("value").asc()]
+    ranged = (freq.filter(F.col("value").isNotNull())
+                  .repartitionByRange(parts, *order)
+                  .withColumn("__p", F.spark_partition_id()))
+    if spark.sparkContext.getCheckpointDir():
+        ranged = ranged.checkpoint(eager=True)   # pin the partition ids: later reads must agree
+    w_piece = Window.partitionBy("__p", "feature").orderBy(F.col("counts").desc(), F.col("value").asc())
+    local = ranged.withColumn("__r", F.row_number().over(w_piece) - 1)
+    sizes = ranged.groupBy("__p", "feature").agg(F.count(F.lit(1)).alias("__n"))
+    w_off = Window.partitionBy("feature").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0))).drop("__n")
+    return (local.join(F.broadcast(offs), ["__p", "feature"])
+                 .select("feature", "value", "counts", (F.col("__off") + F.col("__r")).cast("int").alias("idx")))
 
 
 def feature_offsets(index: DataFrame, cols: list[str]) -> DataFrame:

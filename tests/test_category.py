@@ -71,3 +71,13 @@ def test_salted_shuffle_join_path(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" not in plan
     assert got == expect
+
+
+def test_distributed_index_equals_single_window(spark):
+    from pyspark.sql import Window
+    rows = [("c1", f"v{i}", (i * 37) % 11 + 1) for i in range(400)] + [("c2", f"w{i}", i % 3 + 1) for i in range(150)]
+    freq = spark.createDataFrame(rows, "feature string, value string, counts long")
+    w = Window.partitionBy("feature").orderBy(F.col("counts").desc(), F.col("value").asc())
+    expect = {tuple(r) for r in freq.withColumn("idx", F.row_number().over(w) - 1).collect()}
+    got = {tuple(r) for r in cat.fit_string_index(freq, partitions=7).collect()}
+    assert got == expect
