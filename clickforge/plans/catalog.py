@@ -745,3 +745,28 @@ def q_prep_flow(spark, d):
             F.sum("weight").alias("weight_sum")).withColumn("width", F.lit(width))
         out = s if out is None else out.unionByName(s)
     return rounded(out)
+
+
+@register("normed_frame")
+def q_normed(spark, d):
+    """E1 as the reference writes it: label, std_features vector (9), categoricals with NULL -> deadbeef."""
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array("std_features")
+    out = Prepared(spark, d).normed()
+    return rounded(out.select(ID, "subset", Y, *[arr[i].alias(f"s{i}") for i in range(len(NUM))], *CAT))
+
+
+@register("toy_click_ratio")
+def q_toy_ratio(spark, d):
+    """Size, clicks and click percentage of the fixed-size toy extract."""
+    toy = spl.hash_ordered_sample(Prepared(spark, d).train, ID, 1000, 2019)
+    return rounded(toy.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(Y).cast("long")).alias("clicks"))
+                      .withColumn("click_pct", F.col("clicks") * 100.0 / F.col("rows")))
+
+
+@register("raw_field_counts")
+def q_field_counts(spark, d):
+    """Distribution of fields per line of a headerless TSV export."""
+    path = scratch_path(spark, "raw-lines")
+    files.write_tsv(Prepared(spark, d).whole.select(*_IMP_SCHEMA.names), path, header=False)
+    return files.field_counts(spark, path)

@@ -399,5 +399,13 @@ q("prep_flow", PRE + index_ctes() + ", kk AS (SELECT count(*) AS k FROM sidx), b
   f"CAST({len(NUM)} + 20 + {len(NUM)} * k AS INTEGER) AS width FROM imp, br, kk GROUP BY subset, k")
 
 
+q("normed_frame", PRE + f", s AS ({stats_cte()})\nSELECT imp_id, subset, label, "
+  + ", ".join(f"{R(std_expr(c, r))} AS s{i}" for i, (c, r) in enumerate(FIXTURE_RULES.items())) + ", "
+  + ", ".join(f"coalesce({c}, 'deadbeef') AS {c}" for c in CAT) + " FROM imp, s")
+q("toy_click_ratio", PRE + ", toy AS (SELECT imp_id, label FROM train ORDER BY md5('2019:' || imp_id), imp_id LIMIT 1000)\n"
+  f"SELECT count(*) AS rows, CAST(sum(label) AS BIGINT) AS clicks, {R('sum(label) * 100.0 / count(*)')} AS click_pct FROM toy")
+q("raw_field_counts", PRE + f"SELECT {len(_IMP_COLS)} AS fields, count(*) AS lines FROM impressions")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
