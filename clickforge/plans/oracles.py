@@ -367,7 +367,7 @@ q("sparse_to_dense", PRE + index_ctes() +
   ", ww AS (SELECT sum(width) AS w FROM wx)\n"
   f", hits AS (SELECT imp_id, gpos FROM ({unnest_long('masked', _DC, ['imp_id'])}) JOIN gx USING (feature, value))\n"
   ", grid AS (SELECT imp_id, unnest(range(0, CAST(w AS BIGINT))) AS pos FROM masked, ww)\n"
-  "SELECT grid.imp_id, CAST(grid.pos AS INTEGER) AS pos, CASE WHEN hits.gpos IS NULL THEN 0.0 ELSE 1.0 END AS value "
+  "SELECT grid.imp_id, CAST(grid.pos AS INTEGER) AS pos, CAST(CASE WHEN hits.gpos IS NULL THEN 0.0 ELSE 1.0 END AS DOUBLE) AS value "
   "FROM grid LEFT JOIN hits ON grid.imp_id = hits.imp_id AND grid.pos = hits.gpos")
 
 # ---- sources and sinks ------------------------------------------------------------------------
