@@ -116,9 +116,12 @@ def one_hot_long(df: DataFrame, cols: list[str], index: DataFrame, ids: list[str
     Values unseen in the index get no entry (the all-zero block of ``handleInvalid='keep'``
     with ``dropLast=True``).
     """
-    offs = feature_offsets(index, cols)
-    table = index.join(F.broadcast(offs), "feature").select(
-        "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx"))
+    if "gidx" in index.columns:      # a precomputed layout (feature, value, idx, gidx)
+        table = index.select("feature", "value", "idx", "gidx")
+    else:
+        offs = feature_offsets(index, cols)
+        table = index.join(F.broadcast(offs), "feature").select(
+            "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx"))
     long = join_bounded(unpivot(df, cols, ids=ids), table, ["feature", "value"], limit=broadcast_rows)
     return long.select(*ids, "feature", "idx", "gidx")
 

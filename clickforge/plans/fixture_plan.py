@@ -175,7 +175,7 @@ class Prepared:
 
     def one_hot(self) -> DataFrame:
         """(imp_id, subset, label, feature, idx, gidx) for every subset."""
-        return cat.one_hot_long(self.masked(), fx.CATEGORICAL, self.string_index(), [fx.ID, "subset", fx.LABEL])
+        return cat.one_hot_long(self.masked(), fx.CATEGORICAL, self.gindex(), [fx.ID, "subset", fx.LABEL])
 
     def cat_width(self) -> int:
         return self._memo("kw", lambda: self.string_index().count())
