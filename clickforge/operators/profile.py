@@ -198,7 +198,10 @@ def threshold_cardinality(freq: DataFrame, minimum: int) -> DataFrame:
         F.sum((F.col("counts") >= minimum).cast("long")).alias("frequent_inclusive"),
         F.sum((F.col("counts") <= minimum).cast("long")).alias("uncommon"),
         F.sum(F.when(F.col("counts") <= minimum, F.col("counts")).otherwise(0)).alias("uncommon_rows"))
-    return g.withColumn("width_after_mask", F.col("frequent") + (F.col("uncommon") > 0).cast("long"))
+    g = g.withColumn("width_after_mask", F.col("frequent") + (F.col("uncommon") > 0).cast("long"))
+    # running total of the encoded width in feature order (one row per feature: bounded window)
+    w = Window.orderBy("feature").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return g.withColumn("running_width", F.sum("width_after_mask").over(w))
 
 
 def label_distribution(df: DataFrame, label: str = "label", by: list[str] | None = None) -> DataFrame:

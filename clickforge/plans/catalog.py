@@ -770,3 +770,12 @@ def q_field_counts(spark, d):
     path = scratch_path(spark, "raw-lines")
     files.write_tsv(Prepared(spark, d).whole.select(*_IMP_SCHEMA.names), path, header=False)
     return files.field_counts(spark, path)
+
+
+@register("undersample_random")
+def q_under_random(spark, d):
+    """``sampleBy`` form of undersampling: negatives at rate pos / neg, positives kept (P5, rows-only)."""
+    tr = Prepared(spark, d).train.select(ID, Y)
+    pos, neg = spl.class_counts(tr, Y)
+    return tr.sampleBy(Y, {0: pos / neg if neg else 1.0, 1: 1.0}, seed=2019).groupBy(Y).agg(
+        F.count(F.lit(1)).alias("rows"))

@@ -158,12 +158,14 @@ q("top_k_values", PRE + f", f AS ({cat_freq_cte('train')})\nSELECT * FROM (SELEC
 q("distinct_counts", PRE + f", f AS ({cat_freq_cte('impressions')})\n"
   "SELECT feature, count(value) AS distinct_values FROM f GROUP BY feature")
 q("threshold_cardinality", PRE + f", filled AS ({filled_cte()})\n, f AS ({cat_freq_cte('(SELECT * FROM filled WHERE subset = ' + chr(39) + 'train' + chr(39) + ')')})\n"
-  f"SELECT feature, count(*) AS distinct_values, CAST(sum(CASE WHEN counts > {MIN} THEN 1 ELSE 0 END) AS BIGINT) AS frequent, "
+  f", tc AS (SELECT feature, count(*) AS distinct_values, CAST(sum(CASE WHEN counts > {MIN} THEN 1 ELSE 0 END) AS BIGINT) AS frequent, "
   f"CAST(sum(CASE WHEN counts >= {MIN} THEN 1 ELSE 0 END) AS BIGINT) AS frequent_inclusive, "
   f"CAST(sum(CASE WHEN counts <= {MIN} THEN 1 ELSE 0 END) AS BIGINT) AS uncommon, "
   f"CAST(sum(CASE WHEN counts <= {MIN} THEN counts ELSE 0 END) AS BIGINT) AS uncommon_rows, "
   f"CAST(sum(CASE WHEN counts > {MIN} THEN 1 ELSE 0 END) + CASE WHEN sum(CASE WHEN counts <= {MIN} THEN 1 ELSE 0 END) > 0 "
-  "THEN 1 ELSE 0 END AS BIGINT) AS width_after_mask FROM f GROUP BY feature")
+  "THEN 1 ELSE 0 END AS BIGINT) AS width_after_mask FROM f GROUP BY feature)\n"
+  "SELECT *, CAST(sum(width_after_mask) OVER (ORDER BY feature ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+  "AS BIGINT) AS running_width FROM tc")
 q("masked_cardinality", PRE + index_ctes() + "SELECT feature, count(DISTINCT value) AS cardinality FROM ("
   + unnest_long("(SELECT * FROM masked WHERE subset = 'train')", CAT, []) + ") GROUP BY feature")
 
