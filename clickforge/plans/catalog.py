@@ -286,10 +286,12 @@ def q_pack(spark, d):
 @register("assembled_long")
 def q_assembled(spark, d):
     """Entries of the assembled std + one-hot vector, summarised per index over all rows."""
-    from pyspark.ml.functions import vector_to_array
     p = Prepared(spark, d)
     packed = crs.pack(p.encoded(), Y, None, inputs=["std_features", "cat_features"], keep=[ID])
-    long = packed.select(F.posexplode(vector_to_array("features")).alias("idx", "value")).filter(F.col("value") != 0)
+    path = scratch_path(spark, "packed")
+    packed.write.mode("errorifexists").parquet(path)
+    # stored vectors read back as (type, size, indices, values): O(non-zeros), not O(width)
+    long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["features"]), "features", [ID])
     return rounded(long.groupBy("idx").agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))
 
 
@@ -541,12 +543,11 @@ def q_null_free(spark, d):
 @register("feature_hash")
 def q_hash(spark, d):
     """FeatureHasher of the 12 categoricals into 1024 slots: non-zeros and total mass per row."""
-    from pyspark.ml.functions import vector_to_array
     imp = cat.fill_categorical(Prepared(spark, d).whole, CAT)
-    h = crs.feature_hasher(CAT, 1024, "hashed").transform(imp)
-    arr = vector_to_array("hashed")
-    return h.select(ID, F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
-                    F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("total"))
+    path = scratch_path(spark, "hashed")
+    crs.feature_hasher(CAT, 1024, "hashed").transform(imp).select(ID, "hashed").write.parquet(path)
+    long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["hashed"]), "hashed", [ID])
+    return long.groupBy(ID).agg(F.count(F.lit(1)).alias("nnz"), F.sum("value").alias("total"))
 
 
 @register("libsvm_round_trip")

@@ -172,3 +172,30 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None)
     if num_features:
         r = r.option("numFeatures", str(num_features))
     return r.load(path)
+
+
+# ---- sparse access to stored vectors (no densifying) ------------------------------------------
+
+def read_vectors_as_structs(spark: SparkSession, path: str, vector_cols: list[str]) -> DataFrame:
+    """Scan a Parquet table whose ``vector_cols`` hold ML vectors as their storage struct
+    ``(type, size, indices, values)``, so sparse entries can be read natively."""
+    from pyspark.ml.linalg import VectorUDT
+    schema = spark.read.parquet(path).schema
+    struct_t = VectorUDT().sqlType()
+    new = StructType([StructField(f.name, struct_t, True) if f.name in vector_cols else f for f in schema.fields])
+    return spark.read.schema(new).parquet(path)
+
+
+def vector_entries(df: DataFrame, col: str, ids: list[str]) -> DataFrame:
+    """(ids..., idx, value) for the non-zero entries of a struct-typed vector column.
+
+    Sparse vectors contribute their stored (index, value) pairs, dense ones their non-zero
+    positions: work is proportional to the stored entries, never to the vector width.
+    """
+    v = F.col(col)
+    sparse = F.arrays_zip(v["indices"].alias("idx"), v["values"].alias("value"))
+    dense = F.transform(v["values"], lambda x, i: F.struct(i.alias("idx"), x.alias("value")))
+    pairs = F.when(v["type"] == 0, sparse).otherwise(dense)
+    return (df.select(*ids, F.inline(pairs))
+              .filter(F.col("value") != 0)
+              .select(*ids, "idx", "value"))

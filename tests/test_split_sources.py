@@ -58,3 +58,14 @@ def test_model_and_libsvm_round_trip(spark):
     files.write_libsvm(model.transform(df), path)
     got = files.read_libsvm(spark, path, 2).select("label", vector_to_array("features").alias("f")).collect()
     assert sorted((r["label"], tuple(r["f"])) for r in got) == sorted((float(l), tuple(v)) for l, v in zip([1, 0, 1], a))
+
+
+def test_vector_entries_sparse_and_dense(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    df = spark.createDataFrame([(1, Vectors.sparse(6, [1, 4], [2.0, -1.0])), (2, Vectors.dense([0.0, 3.0, 0.0, 5.0]))],
+                               StructType([StructField("id", IntegerType()), StructField("v", VectorUDT())]))
+    path = tempfile.mkdtemp(dir="/tmp") + "/vec"
+    df.write.parquet(path)
+    got = {tuple(r) for r in files.vector_entries(files.read_vectors_as_structs(spark, path, ["v"]), "v", ["id"]).collect()}
+    assert got == {(1, 1, 2.0), (1, 4, -1.0), (2, 1, 3.0), (2, 3, 5.0)}
