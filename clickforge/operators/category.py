@@ -110,11 +110,12 @@ def feature_offsets(index: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def one_hot_long(df: DataFrame, cols: list[str], index: DataFrame, ids: list[str],
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                 broadcast_rows: int = BROADCAST_ROWS, hot_keys: DataFrame | None = None) -> DataFrame:
     """Sparse one-hot in long form: (ids..., feature, idx, gidx) with gidx = offset + idx.
 
     Values unseen in the index get no entry (the all-zero block of ``handleInvalid='keep'``
-    with ``dropLast=True``).
+    with ``dropLast=True``). ``hot_keys`` (feature, value) are salted when the layout table
+    is too large to broadcast (see :func:`hot_values`).
     """
     if "gidx" in index.columns:      # a precomputed layout (feature, value, idx, gidx)
         table = index.select("feature", "value", "idx", "gidx")
@@ -122,7 +123,8 @@ def one_hot_long(df: DataFrame, cols: list[str], index: DataFrame, ids: list[str
         offs = feature_offsets(index, cols)
         table = index.join(F.broadcast(offs), "feature").select(
             "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx"))
-    long = join_bounded(unpivot(df, cols, ids=ids), table, ["feature", "value"], limit=broadcast_rows)
+    long = join_bounded(unpivot(df, cols, ids=ids), table, ["feature", "value"], limit=broadcast_rows,
+                        hot_keys=hot_keys)
     return long.select(*ids, "feature", "idx", "gidx")
 
 
@@ -145,3 +147,9 @@ def encoding_pipeline(cols: list[str], output: str = "cat_features", keep_unseen
 def fit_category_stats(train: DataFrame, cols: list[str]) -> DataFrame:
     """Category statistics table of the train subset (A7), kept as a DataFrame."""
     return category_frequencies(train, cols)
+
+
+def hot_values(stats: DataFrame, rows: int, partitions: int) -> DataFrame:
+    """(feature, value) whose train count exceeds rows / (2 * partitions): at most 2 * partitions
+    values per feature (counts of a feature sum to ``rows``), the keys worth salting."""
+    return stats.filter(F.col("counts") > rows / (2 * partitions)).select("feature", "value")

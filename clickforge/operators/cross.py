@@ -33,14 +33,14 @@ def numeric_long(df: DataFrame, cols: list[str], ids: list[str]) -> DataFrame:
 
 
 def cross_long(df: DataFrame, num_cols: list[str], cat_cols: list[str], gindex: DataFrame, width: int,
-               ids: list[str]) -> DataFrame:
+               ids: list[str], hot_keys: DataFrame | None = None) -> DataFrame:
     """(ids..., cidx, value): cidx = i * K + gidx(j), value = numeric_i (one-hot is 1.0) (E9 long form).
 
     ``gindex`` (feature, value, gidx) is the bounded encoding table, broadcast after a size check.
     """
     with_x = df.withColumn("__x", F.array(*[F.col(c).cast("double") for c in num_cols]))
     hot = unpivot(with_x, cat_cols, ids=ids + ["__x"])
-    hot = join_bounded(hot, gindex.select("feature", "value", "gidx"), ["feature", "value"])
+    hot = join_bounded(hot, gindex.select("feature", "value", "gidx"), ["feature", "value"], hot_keys=hot_keys)
     return hot.select(*ids, "gidx", F.posexplode("__x").alias("i", "value")) \
               .select(*ids, (F.col("i") * F.lit(width) + F.col("gidx")).alias("cidx"), "value")
 

@@ -1,8 +1,11 @@
-"""Size-checked broadcast joins.
+"""Size-checked broadcast joins, with a salted shuffle join beyond the limit.
 
 A side is broadcast only after its row count has been measured (a small count job,
-or a count already known from statistics) and found under ``limit``; otherwise the
-join is left to a shuffle (sort-merge) join, where AQE's skew handling splits hot keys.
+or a count already known from statistics) and found under ``limit``. Otherwise the
+join shuffles; keys known to be hot (their counts are in the fitted statistics, and a
+bounded list of them is passed in) are spread over ``salt_buckets`` reducers on the big
+side and replicated on the small side, so no reducer receives a hot key's rows alone.
+Without a hot list, AQE's skew-join handling splits oversized partitions.
 """
 
 from __future__ import annotations
@@ -11,9 +14,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 2_000_000
+SALT_BUCKETS = 64
 
 
-def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner", rows: int | None = None,
-                 limit: int = BROADCAST_ROWS) -> DataFrame:
+def join_bounded(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", rows: int | None = None,
+                 limit: int = BROADCAST_ROWS, hot_keys: DataFrame | None = None,
+                 salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     n = small.count() if rows is None else rows
-    return big.join(F.broadcast(small) if n <= limit else small, on, how)
+    if n <= limit:
+        return big.join(F.broadcast(small), on, how)
+    if hot_keys is None:
+        return big.join(small, on, how)
+    hot = hot_keys.select(*on).distinct().withColumn("__hot", F.lit(True))
+    if hot.count() > BROADCAST_ROWS:
+        raise ValueError("hot-key list must be small enough to broadcast")
+    salt_of_row = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salt_buckets)).cast("int")
+    big_s = (big.join(F.broadcast(hot), on, "left")
+                .withColumn("__salt", F.when(F.col("__hot"), salt_of_row).otherwise(F.lit(0)))
+                .drop("__hot"))
+    small_s = (small.join(F.broadcast(hot), on, "left")
+                    .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                                     .otherwise(F.array(F.lit(0)))))
+                    .drop("__hot"))
+    return big_s.join(small_s, on + ["__salt"], how).drop("__salt")

@@ -269,7 +269,8 @@ def q_cross(spark, d):
     """Numeric x one-hot crosses, long form, summarised per cross index on train."""
     p = Prepared(spark, d)
     k = p.cat_width()
-    long = crs.cross_long(p.std_masked().filter(F.col("subset") == "train"), STD, CAT, p.gindex(), k, [ID])
+    long = crs.cross_long(p.std_masked().filter(F.col("subset") == "train"), STD, CAT, p.gindex(), k, [ID],
+                          hot_keys=p.hot_keys())
     return rounded(long.groupBy("cidx").agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))
 
 

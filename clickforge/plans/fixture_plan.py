@@ -175,7 +175,16 @@ class Prepared:
 
     def one_hot(self) -> DataFrame:
         """(imp_id, subset, label, feature, idx, gidx) for every subset."""
-        return cat.one_hot_long(self.masked(), fx.CATEGORICAL, self.gindex(), [fx.ID, "subset", fx.LABEL])
+        return cat.one_hot_long(self.masked(), fx.CATEGORICAL, self.gindex(), [fx.ID, "subset", fx.LABEL],
+                                hot_keys=self.hot_keys())
+
+    def hot_keys(self) -> DataFrame:
+        """(feature, value) pairs heavy enough to salt in shuffle joins (bounded per feature)."""
+        def build():
+            rows = self.train.count()
+            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            return cat.hot_values(self.masked_train_stats(), rows, parts)
+        return self._memo("hot", build)
 
     def cat_width(self) -> int:
         return self._memo("kw", lambda: self.string_index().count())

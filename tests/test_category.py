@@ -81,3 +81,21 @@ def test_distributed_index_equals_single_window(spark):
     expect = {tuple(r) for r in freq.withColumn("idx", F.row_number().over(w) - 1).collect()}
     got = {tuple(r) for r in cat.fit_string_index(freq, partitions=7).collect()}
     assert got == expect
+
+
+def test_salted_one_hot_join_equals_broadcast(spark):
+    rows = [(i, "hot" if i % 4 else f"v{i % 9}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, c1 string")
+    stats = cat.fit_category_stats(df, ["c1"])
+    idx = cat.fit_string_index(stats, partitions=3)
+    expect = {tuple(r) for r in cat.one_hot_long(df, ["c1"], idx, ["id"]).collect()}
+    hot = cat.hot_values(stats, 400, 4)
+    assert [r["value"] for r in hot.collect()] == ["hot"]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got_df = cat.one_hot_long(df, ["c1"], idx, ["id"], broadcast_rows=0, hot_keys=hot)
+        got = {tuple(r) for r in got_df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == expect
