@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,16 +50,23 @@ class FeaturePrep:
 
     # -- artifacts -------------------------------------------------------------------------------
     def _table(self, name: str, build) -> DataFrame:
-        path = f"{self.root}/stats.{name}"
-        if not files.is_complete(self.spark, path):
-            build().write.mode("errorifexists").parquet(path)
-        return self.spark.read.parquet(path)
+        """A statistics table: reuse the complete copy, else write a fresh attempt."""
+        done = self.store.resolve("stats", name)
+        if done is None:
+            build().write.mode("errorifexists").parquet(self.store.fresh("stats", name))
+            done = self.store.resolve("stats", name)
+        return self.spark.read.parquet(done)
 
     def _model(self, name: str, fit) -> PipelineModel:
-        path = f"{self.root}/model.{name}"
-        if not files.path_exists(self.spark, f"{path}/metadata"):
+        """A fitted stage: load the latest attempt marked done, else fit, save, mark."""
+        attempts = self.store._attempts(self.store.base("model", name))
+        done = [p for p in attempts[:-1] if files.is_marked(self.spark, p)]
+        if not done:
+            path = attempts[-1]
             fit().write().save(path)
-        return PipelineModel.load(path)
+            files.mark_done(self.spark, path)
+            done = [path]
+        return PipelineModel.load(done[-1])
 
     def _each(self, step: str, input_step: str, build) -> str:
         for sub in SUBSETS:
@@ -116,9 +122,3 @@ class FeaturePrep:
         return self.store.run(subset, "toy", lambda df: spl.hash_ordered_sample(
             df, self.cfg.key, self.cfg.toy_rows, self.cfg.seed), self.packed_step)[0]
 
-
-def assembled_widths(packed: DataFrame, features: str = "features") -> int:
-    return crs.vector_width(packed, features)
-
-
-__all__ = ["FeaturePrep", "PrepConfig", "assembled_widths", "VectorAssembler"]

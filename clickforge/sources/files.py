@@ -155,6 +155,16 @@ def save_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def mark_done(spark: SparkSession, path: str) -> None:
+    """Write an empty ``_DONE`` marker (for outputs that have no ``_SUCCESS`` of their own)."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_DONE")
+    fs.create(p, False).close()
+
+
+def is_marked(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path.rstrip('/')}/_DONE")
+
+
 def save_model(model: PipelineModel, path: str) -> PipelineModel:
     """Persist a fitted pipeline and load it back."""
     model.write().save(path)
