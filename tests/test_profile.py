@@ -32,3 +32,26 @@ def test_top_k_ties_by_value(spark):
 def test_correlation_one_pass(spark):
     df = spark.range(100).select(F.col("id").cast("double").alias("x"), (2 * F.col("id")).cast("double").alias("y"))
     assert prof.correlation_matrix(df, ["x", "y"]).first()["corr"] == 1.0
+
+
+def test_histogram_last_bin_closed_and_edges(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (4.0,), (None,)], "x double")
+    h = {r["bin"]: (r["lower"], r["upper"], r["count"]) for r in prof.equal_width_histogram(df, ["x"], bins=4).collect()}
+    assert h[0] == (0.0, 1.0, 1) and h[1] == (1.0, 2.0, 1) and h[2] == (2.0, 3.0, 1)
+    assert h[3] == (3.0, 4.0, 1)          # max lands in the last (closed) bin; NULL ignored
+
+
+def test_co_null_and_special_values(spark):
+    df = spark.createDataFrame([(None, None, -1.0), (None, 1.0, 0.0), (2.0, None, 0.0)], "a double, b double, c double")
+    co = {(r["col_a"], r["col_b"]): (r["both_null"], r["a_null"]) for r in prof.co_null_counts(df, ["a", "b", "c"]).collect()}
+    assert co[("a", "b")] == (1, 2) and co[("b", "c")] == (0, 2)
+    sv = {(r["feature"], r["op"], r["special"]): r["rows"] for r in prof.special_value_counts(df, ["c"]).collect()}
+    assert sv[("c", "eq", -1.0)] == 1 and sv[("c", "eq", 0.0)] == 2 and sv[("c", "lt", 0.0)] == 1
+
+
+def test_threshold_cardinality_running_width(spark):
+    freq = spark.createDataFrame([("f1", "a", 50), ("f1", "b", 40), ("f2", "x", 41), ("f2", "y", 41)],
+                                 "feature string, value string, counts long")
+    r = {x["feature"]: x for x in prof.threshold_cardinality(freq, 40).collect()}
+    assert (r["f1"]["frequent"], r["f1"]["frequent_inclusive"], r["f1"]["width_after_mask"]) == (1, 2, 2)
+    assert r["f2"]["width_after_mask"] == 2 and r["f2"]["running_width"] == 4

@@ -69,3 +69,17 @@ def test_vector_entries_sparse_and_dense(spark):
     df.write.parquet(path)
     got = {tuple(r) for r in files.vector_entries(files.read_vectors_as_structs(spark, path, ["v"]), "v", ["id"]).collect()}
     assert got == {(1, 1, 2.0), (1, 4, -1.0), (2, 1, 3.0), (2, 3, 5.0)}
+
+
+def test_hash_sample_is_partitioning_independent(spark, sf):
+    tr = fx.subsets(spark, sf)["train"].select("imp_id", "label")
+    a = [r["imp_id"] for r in spl.hash_ordered_sample(tr.repartition(3), "imp_id", 50).collect()]
+    b = [r["imp_id"] for r in spl.hash_ordered_sample(tr.repartition(7), "imp_id", 50).collect()]
+    assert sorted(a) == sorted(b) and len(a) == 50
+
+
+def test_label_recode_round_trip(spark):
+    from clickforge.functions.scalar import label_recode
+    df = spark.createDataFrame([(0,), (1,)], "label int")
+    out = df.select(label_recode("label").alias("y")).select("y", label_recode("y", to_signed=False).alias("b")).collect()
+    assert [(r["y"], r["b"]) for r in out] == [(-1, 0), (1, 1)]
