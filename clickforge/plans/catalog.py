@@ -781,3 +781,15 @@ def q_under_random(spark, d):
     pos, neg = spl.class_counts(tr, Y)
     return tr.sampleBy(Y, {0: pos / neg if neg else 1.0, 1: 1.0}, seed=2019).groupBy(Y).agg(
         F.count(F.lit(1)).alias("rows"))
+
+
+@register("interaction_entries")
+def q_interaction(spark, d):
+    """Spark ML ``Interaction`` of std_features x cat_features on train, non-zero entries per index."""
+    p = Prepared(spark, d)
+    enc = p.encoded().filter(F.col("subset") == "train")
+    path = scratch_path(spark, "crossed")
+    crs.interaction().transform(enc).select(ID, "cxn_features").write.parquet(path)
+    long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["cxn_features"]), "cxn_features", [ID])
+    return rounded(long.groupBy(F.col("idx").cast("long").alias("cidx"))
+                       .agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))

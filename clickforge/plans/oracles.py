@@ -409,5 +409,9 @@ q("toy_click_ratio", PRE + ", toy AS (SELECT imp_id, label FROM train ORDER BY m
 q("raw_field_counts", PRE + f"SELECT {len(_IMP_COLS)} AS fields, count(*) AS lines FROM impressions")
 
 
+q("interaction_entries", ORACLES["cross_long"].replace(
+    "FROM hx, kk GROUP BY 1", "FROM hx, kk WHERE xv <> 0 GROUP BY 1"))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
