@@ -793,3 +793,13 @@ def q_interaction(spark, d):
     long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["cxn_features"]), "cxn_features", [ID])
     return rounded(long.groupBy(F.col("idx").cast("long").alias("cidx"))
                        .agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))
+
+
+@register("string_indexer_labels")
+def q_indexer_labels(spark, d):
+    """Spark ML ``StringIndexer`` (frequencyDesc) fit on masked train: its label order per feature."""
+    p = Prepared(spark, d)
+    model = cat.encoding_pipeline(CAT).fit(p.masked().filter(F.col("subset") == "train"))
+    labels = model.stages[0].labelsArray            # the fitted model itself: one list per feature
+    rows = [(c, v, i) for c, vals in zip(CAT, labels) for i, v in enumerate(vals)]
+    return spark.createDataFrame(rows, "feature string, value string, idx int")

@@ -412,6 +412,8 @@ q("raw_field_counts", PRE + f"SELECT {len(_IMP_COLS)} AS fields, count(*) AS lin
 q("interaction_entries", ORACLES["cross_long"].replace(
     "FROM hx, kk GROUP BY 1", "FROM hx, kk WHERE xv <> 0 GROUP BY 1"))
 
+q("string_indexer_labels", PRE + index_ctes() + "SELECT feature, value, idx FROM sidx")
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
