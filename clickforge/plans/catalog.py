@@ -669,7 +669,7 @@ def q_svm_descent(spark, d):
     tr, ho = _svm_frames(Prepared(spark, d))
     tr, ho = tr.cache(), ho.cache()
     hist = svm.svm_descent(tr, ho, svm.baseline_weights(tr), steps=20, lr=0.1, reg=0.1)
-    return files.save_table(svm.history_frame(spark, hist), scratch_path(spark, "svm-history"))
+    return rounded(files.save_table(svm.history_frame(spark, hist), scratch_path(spark, "svm-history")))
 
 
 @register("svm_reg_sweep")
@@ -684,7 +684,7 @@ def q_svm_sweep(spark, d):
     for reg in regs:
         df = svm.history_frame(spark, hist[reg][-1:], reg=float(reg))
         out = df if out is None else out.unionByName(df)
-    return out
+    return rounded(out)
 
 
 @register("sgd_svm_auc")
@@ -700,7 +700,7 @@ def q_sgd_svm(spark, d):
 
 
 def rank_auc_rows(scored: DataFrame) -> DataFrame:
-    return ev.rank_auc(scored, "score", Y, by=["subset"])
+    return rounded(ev.rank_auc(scored, "score", Y, by=["subset"]))
 
 
 # ---- more library-stage checks ------------------------------------------------------------------

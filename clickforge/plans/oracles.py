@@ -415,5 +415,75 @@ q("interaction_entries", ORACLES["cross_long"].replace(
 q("string_indexer_labels", PRE + index_ctes() + "SELECT feature, value, idx FROM sidx")
 
 
+def _svm_chain(tag: str, src: str, steps: int, lr: float, reg: float) -> str:
+    """CTEs ``{tag}w0 .. {tag}w{steps}``: baseline on ``src`` then ``steps`` sub-gradient updates."""
+    parts = [f", {tag}w0 AS (SELECT avg(y) AS {tag}w0_0, " + ", ".join(f"0.0 AS {tag}w0_{i}" for i in range(1, _D + 1))
+             + f" FROM {src})\n"]
+    for k in range(1, steps + 1):
+        p_ = f"{tag}w{k - 1}"
+        m = _margin(p_)
+        parts.append(f", {tag}g{k} AS (SELECT count(*) AS n, " + ", ".join(
+            f"sum(CASE WHEN y * {m} < 1 THEN y * x{j} ELSE 0.0 END) AS g_{j}" for j in range(_D + 1))
+            + f" FROM {src}, {p_})\n")
+        parts.append(f", {tag}w{k} AS (SELECT " + ", ".join(
+            f"{p_}_{j} - {lr} * ((-g_{j}) / n" + (f" + {reg} * {p_}_{j}" if j > 0 else " + 0.0") + f") AS {tag}w{k}_{j}"
+            for j in range(_D + 1)) + f" FROM {p_}, {tag}g{k})\n")
+    return "".join(parts)
+
+
+def _svm_points() -> str:
+    b = md5_bucket_sql("imp_id", 1)
+    return (f", s AS ({stats_cte()})\n"
+            ", pts AS (SELECT imp_id, subset, CASE WHEN label = 0 THEN -1 ELSE label END AS y, 1.0 AS x0, "
+            + ", ".join(f"{STD_SQL[c]} AS x{i + 1}" for i, c in enumerate(NUM)) + " FROM imp, s)\n"
+            f", fit AS (SELECT * FROM pts WHERE subset = 'train' AND {b} < 80)\n"
+            f", ho AS (SELECT * FROM pts WHERE subset = 'train' AND {b} >= 80)\n")
+
+
+def _loss_weights(tag: str, ks: list[int]) -> tuple[str, str]:
+    loss = union_all([
+        f"SELECT {k} AS step, (SELECT avg(greatest(0.0, 1 - y * {_margin(f'{tag}w{k}')})) FROM fit, {tag}w{k}) AS train_loss, "
+        f"(SELECT avg(greatest(0.0, 1 - y * {_margin(f'{tag}w{k}')})) FROM ho, {tag}w{k}) AS test_loss" for k in ks])
+    weights = union_all([
+        f"SELECT {k} AS step, CAST(unnest(range(0, {_D + 1})) AS INTEGER) AS idx, unnest(["
+        + ", ".join(f"{tag}w{k}_{j}" for j in range(_D + 1)) + f"]) AS weight FROM {tag}w{k}" for k in ks])
+    return loss, weights
+
+
+def _svm_descent_sql(steps: int = 20, lr: float = 0.1, reg: float = 0.1) -> str:
+    """Unrolled descent on the 80 % ``fit`` part of train, losses on fit and hold-out."""
+    loss, weights = _loss_weights("", list(range(1, steps + 1)))
+    return (PRE + _svm_points() + _svm_chain("", "fit", steps, lr, reg) + f", loss AS ({loss})\n, wts AS ({weights})\n"
+            f"SELECT CAST(step AS INTEGER) AS step, idx, {R('weight')} AS weight, {R('train_loss')} AS train_loss, "
+            f"{R('test_loss')} AS test_loss FROM wts JOIN loss USING (step)")
+
+
+def _svm_sweep_sql(regs=(0.001, 0.01, 0.1, 1.0, 10.0), steps: int = 20, lr: float = 0.1) -> str:
+    chains, finals = [], []
+    for n, r in enumerate(regs):
+        tag = f"r{n}_"
+        chains.append(_svm_chain(tag, "fit", steps, lr, r))
+        loss, weights = _loss_weights(tag, [steps])
+        finals.append(f"SELECT CAST({r} AS DOUBLE) AS reg, CAST(step AS INTEGER) AS step, idx, {R('weight')} AS weight, "
+                      f"{R('train_loss')} AS train_loss, {R('test_loss')} AS test_loss "
+                      f"FROM ({weights}) JOIN ({loss}) USING (step)")
+    return PRE + _svm_points() + "".join(chains) + union_all(finals)
+
+
+q("svm_descent", _svm_descent_sql())
+q("svm_reg_sweep", _svm_sweep_sql())
+
+
+q("sgd_svm_auc", PRE + _svm_points() + ", trn AS (SELECT * FROM pts WHERE subset = 'train')\n"
+  + _svm_chain("", "trn", 50, 0.1, 0.01)
+  + f", sco AS (SELECT subset, CASE WHEN y = 1 THEN 1 ELSE 0 END AS label, {_margin('w50')} AS score FROM pts, w50)\n"
+  ", ag AS (SELECT subset, score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, "
+  "sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM sco GROUP BY subset, score)\n"
+  ", cu AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY subset ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING "
+  "AND 1 PRECEDING), 0) AS below FROM ag)\n"
+  "SELECT subset, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives, "
+  f"{R('sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg))')} AS auc FROM cu GROUP BY subset")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
