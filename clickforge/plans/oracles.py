@@ -485,5 +485,15 @@ q("sgd_svm_auc", PRE + _svm_points() + ", trn AS (SELECT * FROM pts WHERE subset
   f"{R('sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg))')} AS auc FROM cu GROUP BY subset")
 
 
+q("resumable_step", ORACLES["mask_uncommon"])
+q("model_round_trip", PRE + "SELECT imp_id, true AS same FROM impressions")
+q("libsvm_round_trip", PRE + index_ctes() + _STDM + ", kk AS (SELECT count(*) AS k FROM sidx)\n"
+  ", hits AS (SELECT imp_id, count(*) AS h FROM (" + unnest_long("sm", CAT, ["imp_id"]) + ") JOIN gidx USING (feature, value) "
+  "GROUP BY imp_id)\n"
+  "SELECT CAST(label AS DOUBLE) AS label, CAST(" + " + ".join(f"CASE WHEN {c}_std <> 0 THEN 1 ELSE 0 END" for c in NUM)
+  + f" + coalesce(h, 0) AS INTEGER) AS nnz, CAST({len(NUM)} + k AS INTEGER) AS width "
+  "FROM sm LEFT JOIN hits USING (imp_id), kk")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
