@@ -21,11 +21,24 @@ def test_lr_learns_and_noise_does_not(spark, sf):
     frames = catalog._packed_frames(p)
     res = {r["subset"]: r["auc"] for r in mdl.evaluate(spark, "lr", mdl.logistic(30), frames).collect()}
     assert res["train"] > 0.9 and res["tests"] > 0.85
-    noisy = {k: v.drop("label").withColumnRenamed("label_noise", "label") if "label_noise" in v.columns else v
-             for k, v in frames.items()}
     assert set(res) == {"train", "tests", "valid"}
 
 
+def test_shuffled_label_gives_chance_auc(spark, sf):
+    from pyspark.sql import functions as F
+    p = Prepared(spark, sf)
+    frames = {k: v.withColumn("label", (F.rand(7) < 0.25).cast("int")) for k, v in catalog._packed_frames(p).items()}
+    res = {r["subset"]: r["auc"] for r in mdl.evaluate(spark, "lr", mdl.logistic(10), frames).collect()}
+    assert abs(res["tests"] - 0.5) < 0.1
+
+
+def test_tree_models_learn(spark, sf):
+    frames = catalog._packed_frames(Prepared(spark, sf))
+    for name, est in [("tree", mdl.decision_tree()), ("gbt", mdl.gbt(5)), ("svc", mdl.linear_svc(20))]:
+        res = {r["subset"]: r["auc"] for r in mdl.evaluate(spark, name, est, frames).collect()}
+        assert res["tests"] > 0.8, (name, res)
+
+
 @pytest.mark.parametrize("name", ["ctr_by_category", "numeric_measurements", "mask_uncommon", "string_index",
                                   "chi2_top_n", "rank_auc", "svm_one_step", "oversample_exact"])
 def test_oracle_agrees_at_sf0001(spark, sf, name):

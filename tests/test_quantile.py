@@ -27,3 +27,13 @@ def test_extreme_range_uses_bisection(spark):
     vals = [-1.0e308, 1.0e308, 3.0, 4.0, 5.0]
     df = spark.createDataFrame([(v,) for v in vals], "a double")
     assert exact_quantiles(df, ["a"], buckets=4, exact_below=1)["a"] == 4.0
+
+
+def test_approx_median_within_rank_error(spark):
+    from clickforge.operators.quantile import approx_quantiles
+    rng = np.random.default_rng(5)
+    a = rng.lognormal(size=20000)
+    df = spark.createDataFrame([(float(x),) for x in a], "a double")
+    m = approx_quantiles(df, ["a"], 0.5, 0.005)["a"]
+    rank = (a < m).sum()
+    assert abs(rank - 10000) <= 0.005 * 20000 + 1
