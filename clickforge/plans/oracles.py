@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 
+from clickforge.functions.hashing import md5_bucket_sql
 from clickforge.plans.fixture_plan import FIXTURE_RULES
 from clickforge.sources import fixture as fx
 
@@ -263,7 +264,6 @@ q("assembled_long", PRE + index_ctes() + _STDM +
 
 # ---- splits and rebalancing -------------------------------------------------------------------
 
-from clickforge.functions.hashing import md5_bucket_sql  # noqa: E402
 
 q("hash_split_counts", PRE + "SELECT subset, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM imp GROUP BY subset")
 q("holdout_split", PRE + f"SELECT CASE WHEN {md5_bucket_sql('imp_id', 1)} < 80 THEN 'fit' ELSE 'holdout' END AS part, "
