@@ -55,3 +55,20 @@ def test_threshold_cardinality_running_width(spark):
     r = {x["feature"]: x for x in prof.threshold_cardinality(freq, 40).collect()}
     assert (r["f1"]["frequent"], r["f1"]["frequent_inclusive"], r["f1"]["width_after_mask"]) == (1, 2, 2)
     assert r["f2"]["width_after_mask"] == 2 and r["f2"]["running_width"] == 4
+
+
+def test_constant_column_standardises_to_zero(spark):
+    from clickforge.operators import numeric as num
+    df = spark.createDataFrame([(1, 5.0, 1.0), (0, 5.0, None), (1, 5.0, 3.0)], "label int, k double, x double")
+    stats = num.stats_dict(num.fit_numeric_stats(df, ["k", "x"]))
+    assert stats["k"]["stddev"] == 0.0 and stats["x"]["median"] == 2.0
+    out = num.standardize_columns(df, stats, {"k": "median_z", "x": "scale1sd"}).collect()
+    assert [r["k_std"] for r in out] == [0.0, 0.0, 0.0]          # sd = 0: no error, 0.0
+    assert out[1]["x_std"] == 2.0 / stats["x"]["stddev"]        # NULL imputed with the train median
+
+
+def test_single_class_auc_is_null(spark):
+    from clickforge.operators import evaluate as ev
+    df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "label int, score double")
+    r = ev.rank_auc(df, "score", "label").first()
+    assert r["negatives"] == 0 and r["auc"] is None
