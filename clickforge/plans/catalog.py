@@ -40,6 +40,11 @@ def register(name: str):
     return deco
 
 
+def exact_sum(col: str):
+    """Order-independent sum of doubles (DECIMAL accumulation): equal on every engine and retry."""
+    return F.round(F.sum(F.col(col).cast("decimal(38,12)")), 6).cast("double")
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every floating column (engine-independent comparison)."""
     return df.select(*[F.round(F.col(f.name), places).alias(f.name)
@@ -274,7 +279,7 @@ def q_cross(spark, d):
     k = p.cat_width()
     long = crs.cross_long(p.std_masked().filter(F.col("subset") == "train"), STD, CAT, p.gindex(), k, [ID],
                           hot_keys=p.hot_keys())
-    return rounded(long.groupBy("cidx").agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))
+    return rounded(long.groupBy("cidx").agg(F.count(F.lit(1)).alias("entries"), exact_sum("value").alias("sum_value")))
 
 
 @register("pack_weights")
@@ -296,7 +301,7 @@ def q_assembled(spark, d):
     packed.write.mode("errorifexists").parquet(path)
     # stored vectors read back as (type, size, indices, values): O(non-zeros), not O(width)
     long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["features"]), "features", [ID])
-    return rounded(long.groupBy("idx").agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))
+    return rounded(long.groupBy("idx").agg(F.count(F.lit(1)).alias("entries"), exact_sum("value").alias("sum_value")))
 
 
 # ---- splits and rebalancing ----------------------------------------------------------------------
@@ -792,7 +797,7 @@ def q_interaction(spark, d):
     crs.interaction().transform(enc).select(ID, "cxn_features").write.parquet(path)
     long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["cxn_features"]), "cxn_features", [ID])
     return rounded(long.groupBy(F.col("idx").cast("long").alias("cidx"))
-                       .agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("sum_value")))
+                       .agg(F.count(F.lit(1)).alias("entries"), exact_sum("value").alias("sum_value")))
 
 
 @register("string_indexer_labels")

@@ -250,7 +250,7 @@ q("cross_long", PRE + index_ctes() + _STDM +
   "SELECT *, unnest([" + ", ".join(f"'{c}'" for c in CAT) + "]) AS feature, unnest([" + ", ".join(CAT)
   + "]) AS value FROM sm WHERE subset = 'train'))\n"
   ", hx AS (SELECT imp_id, gidx, unnest(range(0, 9)) AS i, unnest(xs) AS xv FROM hot JOIN gidx USING (feature, value))\n"
-  f"SELECT CAST(i * k + gidx AS BIGINT) AS cidx, count(*) AS entries, {R('sum(xv)')} AS sum_value FROM hx, kk GROUP BY 1")
+  f"SELECT CAST(i * k + gidx AS BIGINT) AS cidx, count(*) AS entries, {R('round(sum(CAST(xv AS DECIMAL(38,12))), 6)')} AS sum_value FROM hx, kk GROUP BY 1")
 
 q("pack_weights", PRE + index_ctes() + ", br AS (SELECT avg(label) AS rate FROM train), kk AS (SELECT count(*) AS k FROM sidx)\n"
   f"SELECT imp_id, subset, label, {R('CASE WHEN label = 0 THEN rate ELSE 1.0 - rate END')} AS weight, "
@@ -260,7 +260,7 @@ q("assembled_long", PRE + index_ctes() + _STDM +
   ", nums AS (SELECT unnest(range(0, 9)) AS idx, unnest([" + ", ".join(f"{c}_std" for c in NUM) + "]) AS value FROM sm)\n"
   ", hot AS (SELECT " + str(len(NUM)) + " + gidx AS idx, 1.0 AS value FROM (" + unnest_long("sm", CAT, []) + ") JOIN gidx USING (feature, value))\n"
   ", allv AS (SELECT idx, value FROM nums WHERE value <> 0 UNION ALL SELECT idx, value FROM hot)\n"
-  f"SELECT CAST(idx AS INTEGER) AS idx, count(*) AS entries, {R('sum(value)')} AS sum_value FROM allv GROUP BY idx")
+  f"SELECT CAST(idx AS INTEGER) AS idx, count(*) AS entries, {R('round(sum(CAST(value AS DECIMAL(38,12))), 6)')} AS sum_value FROM allv GROUP BY idx")
 
 # ---- splits and rebalancing -------------------------------------------------------------------
 
