@@ -11,7 +11,8 @@ one distributed aggregation whose output is bounded by ``targets x buckets``:
    returns per-bin counts and the real min/max inside each bin;
 3. the bin holding the rank becomes the new interval (its real min/max, so the
    bounds are data values); once an interval holds at most ``exact_below`` rows,
-   one last pass groups those rows by value and the rank is read off exactly.
+   one last pass groups those rows by value and the rank is read off exactly
+   (defaults: 512 bins, exact below 2,048 rows: every pass returns a few thousand rows).
 
 Hot values are harmless: a bin's count is a sum, never a list. All targets of all
 columns share each pass, so the whole median table costs a handful of scans.
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], p: float = 0.5, buckets: int = 1024,
-                    exact_below: int = 50_000, max_passes: int = 200,
+def exact_quantiles(df: DataFrame, cols: list[str], p: float = 0.5, buckets: int = 512,
+                    exact_below: int = 2048, max_passes: int = 200,
                     known: dict[str, tuple] | None = None) -> dict[str, float | None]:
     """Linear-interpolated quantile ``p`` of every column (same definition as ``percentile``).
 
