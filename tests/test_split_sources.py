@@ -83,3 +83,11 @@ def test_label_recode_round_trip(spark):
     df = spark.createDataFrame([(0,), (1,)], "label int")
     out = df.select(label_recode("label").alias("y")).select("y", label_recode("y", to_signed=False).alias("b")).collect()
     assert [(r["y"], r["b"]) for r in out] == [(-1, 0), (1, 1)]
+
+
+def test_import_is_keyed_by_source_and_reused(spark, sf):
+    from clickforge.plans.fixture_plan import import_path, import_root
+    a = import_path(spark, sf)
+    assert import_path(spark, sf) == a                      # complete import is reused
+    assert files.is_complete(spark, a)
+    assert import_root(spark, sf) != import_root(spark, "/root/testdata/sf0.01")
