@@ -5,8 +5,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from clickforge.llm import pii
+from clickforge.llm import quality as qual
 from clickforge.llm.common import load
+from clickforge.llm.line_dedup import drop_repeated_lines
 from clickforge.llm.near_dup import near_duplicates
+from clickforge.llm.packing import pack_documents
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -36,10 +43,112 @@ pairs AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS n, any_value(b.n) AS m
   FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (SELECT x, y FROM pairs WHERE 100 * c >= 75 * (n + m - c)),
-both AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
-reach(d, t) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.d, e.y FROM reach r JOIN both e ON r.t = e.x),
+sym AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(d, t) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.d, e.y FROM reach r JOIN sym e ON r.t = e.x),
 comp AS (SELECT d, min(t) AS c FROM reach GROUP BY d)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id, c = doc_id AS kept
 FROM sets JOIN comp ON doc_id = d""")
 def op2(spark, sf_dir):
     return near_duplicates(load(spark, sf_dir, "documents"))
+
+
+def quality_sql() -> str:
+    words = ", ".join(f"({k}, '{v}')" for k, w in enumerate(qual.COMMON) for v in sorted({w, w[0].upper() + w[1:]}))
+    other = len(qual.COMMON)
+    (n1, c1, w1), (n2, c2, w2) = qual.LIMITS
+
+    def js(table: str, key: str) -> str:
+        """Distance of every document from every language over the shares in ``table``."""
+        p, q = "p.share", "q.share"
+        return f"""
+  SELECT p.doc_id, q.lang, CAST(round(1000000 * sqrt(greatest(0.0, sum(
+    (CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END
+     + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({p} + {q})) ELSE 0 END) / 2)))) AS BIGINT) AS {key}
+  FROM {table} p JOIN {table}_ref q ON p.k = q.k GROUP BY 1, 2"""
+
+    def ref(table: str) -> str:
+        return f"""
+  SELECT lang, k, s / sum(s) OVER (PARTITION BY lang) AS share FROM (
+    SELECT lang, k, sum(CAST(round(1000000 * share) AS BIGINT)) AS s FROM {table} JOIN base USING (doc_id)
+    WHERE n >= {n1} AND lang IN (SELECT lang FROM langs) GROUP BY 1, 2)"""
+
+    return rf"""
+WITH base AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS_SQL} AS w, len({WORDS_SQL}) AS n FROM documents),
+feats AS (
+  SELECT doc_id, t, n, coalesce(len(array_to_string(w, '')), 0) AS wc,
+    len(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines,
+    len(regexp_replace(t, '\P{{L}}+', '', 'g')) AS letters, len(regexp_replace(t, '\P{{Lu}}+', '', 'g')) AS upper,
+    len(regexp_replace(t, '\P{{N}}+', '', 'g')) AS digits, len(regexp_replace(t, '\P{{P}}+', '', 'g')) AS punct FROM base),
+grams AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, n - 3)) AS i FROM base WHERE n >= 5)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
+reps AS (
+  SELECT doc_id, CAST(sum(least(5, coalesce(nxt - i, 5))) AS BIGINT) AS n_repeat_words
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM twice) GROUP BY 1),
+chars AS (
+  SELECT doc_id, k, c / len(t) AS share FROM (
+    SELECT doc_id, t, unnest([0, 1, 2, 3, 4, 5]) AS k,
+      unnest([upper, letters - upper, digits, punct, len(t) - wc, wc - letters - digits - punct]) AS c FROM feats WHERE n > 0)),
+listed(k, v) AS (VALUES {words}),
+hits AS (SELECT doc_id, k, count(*) AS c FROM (SELECT doc_id, unnest(w) AS v FROM base) JOIN listed USING (v) GROUP BY 1, 2),
+common AS (
+  SELECT doc_id, k, coalesce(c, 0) / n AS share FROM (SELECT doc_id, n, unnest(range({other})) AS k FROM base WHERE n > 0)
+  LEFT JOIN hits USING (doc_id, k)
+  UNION ALL SELECT doc_id, {other}, (n - coalesce(s, 0)) / n FROM base
+  LEFT JOIN (SELECT doc_id, sum(c) AS s FROM hits GROUP BY 1) USING (doc_id) WHERE n > 0),
+sized AS (SELECT lang, count(*) AS c FROM base WHERE lang IS NOT NULL AND n >= {n1} GROUP BY 1),
+langs AS (SELECT lang FROM sized WHERE c >= {qual.MIN_LANG_SHARE} * (SELECT sum(c) FROM sized)),
+chars_ref AS ({ref("chars")}),
+common_ref AS ({ref("common")}),
+far AS (
+  SELECT doc_id, min(cd) AS char_distance, min(wd) AS word_distance,
+    bool_and(cd > {round(c1 * 1e6)} OR wd > {round(w1 * 1e6)}) AS far_1, bool_and(cd > {round(c2 * 1e6)} OR wd > {round(w2 * 1e6)}) AS far_2
+  FROM ({js("chars", "cd")}) JOIN ({js("common", "wd")}) USING (doc_id, lang) GROUP BY 1),
+told AS (
+  SELECT *, n < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n AS base_failed,
+    CASE WHEN n >= {n2} THEN far_2 WHEN n >= {n1} THEN far_1 ELSE false END AS is_far
+  FROM feats LEFT JOIN reps USING (doc_id) LEFT JOIN far USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(wc AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  base_failed, NOT base_failed AND NOT coalesce(is_far, false) AS kept, char_distance, word_distance FROM told"""
+
+
+@query("op5_quality_rules", quality_sql())
+def op5(spark, sf_dir):
+    out = qual.quality_rules(load(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id", "quality.*")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                      "char_distance", "word_distance")
+
+
+@query("op8_line_dedup", rf"""
+WITH lines AS (
+  SELECT doc_id, i, x, translate(regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UPPER}', '{LOWER}') AS k
+  FROM (SELECT doc_id, unnest(l) AS x, unnest(range(len(l))) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+firsts AS (SELECT k, min(doc_id) AS f FROM lines WHERE len(k) >= 10 GROUP BY k HAVING min(doc_id) < max(doc_id)),
+marked AS (SELECT doc_id, i, x, coalesce(doc_id > f, false) AS gone FROM lines LEFT JOIN firsts USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""")
+def op8(spark, sf_dir):
+    out = drop_repeated_lines(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op9_packing")
+def op9(spark, sf_dir):
+    out = pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op3_personal_data")
+def op3(spark, sf_dir):
+    out = pii.personal_data(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(pii.of_kind("spans", k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return out.select("doc_id", *counts[:4], F.sha2(pii.spelled(pii.of_kind("spans", *pii.BASE_KINDS)), 256).alias("base_sha256"),
+                      pii.spelled(F.col("spans")).alias("spans"), *counts[4:],
+                      F.array_max(F.transform("spans", lambda s: s["score"])).alias("top_score"))
