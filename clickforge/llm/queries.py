@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickforge.llm import pii
 from clickforge.llm import quality as qual
 from clickforge.llm.common import load
+from clickforge.llm.decontam import find_leaks
 from clickforge.llm.line_dedup import drop_repeated_lines
 from clickforge.llm.near_dup import near_duplicates
 from clickforge.llm.packing import pack_documents
@@ -152,3 +153,10 @@ def op3(spark, sf_dir):
     return out.select("doc_id", *counts[:4], F.sha2(pii.spelled(pii.of_kind("spans", *pii.BASE_KINDS)), 256).alias("base_sha256"),
                       pii.spelled(F.col("spans")).alias("spans"), *counts[4:],
                       F.array_max(F.transform("spans", lambda s: s["score"])).alias("top_score"))
+
+
+@query("op4_decontamination")
+def op4(spark, sf_dir):
+    """One row per document and benchmark item found in it."""
+    out = find_leaks(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
