@@ -15,6 +15,7 @@ from clickforge.llm.decontam import find_leaks
 from clickforge.llm.line_dedup import drop_repeated_lines
 from clickforge.llm.near_dup import near_duplicates
 from clickforge.llm.packing import pack_documents
+from clickforge.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +161,11 @@ def op4(spark, sf_dir):
     """One row per document and benchmark item found in it."""
     out = find_leaks(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
     return out.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    docs, labels = load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    machine = fit_toxicity(docs, labels.where(~held_out).select("doc_id", "toxic"))
+    return score_toxicity(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
