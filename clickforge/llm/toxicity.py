@@ -1,6 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are words and word beginnings of four and five characters, hashed to 2^18 places. The machine adds a
+Terms are words, word beginnings of three to six characters, and beginnings that several words share (inflected
+forms of one stem), hashed to 2^18 places. The machine adds a
 linear weight per term and the inner product of factor vectors per pair of terms, so a pair (an insult with a
 group) can count for more than its parts. It is fitted by Adam on a bounded sample of labelled texts
 (SAMPLE per class, each text once), over the KEPT_TERMS terms whose share differs most between the classes.
@@ -22,9 +23,11 @@ from clickforge.llm.common import GOLDEN, RUN_BYTES, keep, mix64, powers
 from clickforge.llm.decontam import fold
 
 TERM_BITS = 18
-BEGINNINGS = (4, 5)
+BEGINNINGS = (3, 4, 5, 6)
+#: A beginning is a term of its own for each of these numbers of distinct words that share it.
+LEVELS = (1, 2, 3, 5)
 #: Labelled texts per class in the fitting sample, and terms in the model.
-SAMPLE, KEPT_TERMS, LEAST_TEXTS = 6000, 1024, 4
+SAMPLE, KEPT_TERMS, LEAST_TEXTS = 6000, 512, 4
 RANK, EPOCHS, BATCH, RATE, DECAY = 8, 40, 256, 0.02, 1e-4
 FLAG_AT = 0.7
 
@@ -43,19 +46,37 @@ def term_lists(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     text = np.searchsorted(starts, at[first], "right") - 1
     offset = np.cumsum(length) - length
     inner = np.arange(int(length.sum())) - np.repeat(offset, length)
+
+    def keys(text: np.ndarray, h: np.ndarray) -> np.ndarray:
+        return (text.astype(np.int64) << TERM_BITS) | (mix64(h) >> np.uint64(64 - TERM_BITS)).astype(np.int64)
+
     with np.errstate(over="ignore"):
         values = (code[np.repeat(first, length) + inner].astype(np.uint64) + np.uint64(1)) * powers(int(length.max()))[inner]
-        whole = np.add.reduceat(values, offset)
-        found = [(text, mix64(whole + length.astype(np.uint64) * GOLDEN))]
+        whole = np.add.reduceat(values, offset) + length.astype(np.uint64) * GOLDEN
+        _, once = np.unique(mix64(whole) ^ mix64(text.astype(np.uint64)), return_index=True)  # each word of a text once
+        text, length, offset = text[once], length[once], offset[once]
+        found = [keys(text, whole[once])]
         for k in BEGINNINGS:
             long = length > k
-            part = sum((values[offset[long] + j] for j in range(1, k)), values[offset[long]].copy())
-            found.append((text[long], mix64(part ^ np.uint64(0xA5A5 + k))))
-    key = np.concatenate([(t.astype(np.int64) << TERM_BITS) | (h >> np.uint64(64 - TERM_BITS)).astype(np.int64) for t, h in found])
-    key = np.unique(key)
+            part = values[offset[long]]
+            for j in range(1, k):
+                part = part + values[offset[long] + j]
+            owner, order = text[long].astype(np.uint64), np.uint64(0xA5A5 + 16 * k)
+            pair, n = _counted(owner, part ^ order)
+            for level in LEVELS:
+                found.append(keys(pair[0][n >= level], pair[1][n >= level] + np.uint64(level) * GOLDEN))
+    key = np.unique(np.concatenate(found))
     return key >> TERM_BITS, key & ((1 << TERM_BITS) - 1)
 
 
+def _counted(owner: np.ndarray, value: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Distinct (owner, value) pairs and how often each occurs."""
+    order = np.lexsort((value, owner))
+    owner, value = owner[order], value[order]
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])])[: len(owner)])
+    return (owner[new], value[new]), np.diff(np.append(new, len(owner)))
+
+
 def _runs(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     row = 0
     while row < len(texts):
