@@ -12,6 +12,7 @@ from clickforge.llm import pii
 from clickforge.llm import quality as qual
 from clickforge.llm.common import load
 from clickforge.llm.decontam import find_leaks
+from clickforge.llm.language import fit_languages, label_languages
 from clickforge.llm.line_dedup import drop_repeated_lines
 from clickforge.llm.near_dup import near_duplicates
 from clickforge.llm.packing import pack_documents
@@ -169,3 +170,12 @@ def op10(spark, sf_dir):
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     machine = fit_toxicity(docs, labels.where(~held_out).select("doc_id", "toxic"))
     return score_toxicity(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op7_language")
+def op7(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = label_languages(docs.select("doc_id", "text"), fit_languages(docs.where(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score",
+                      F.size("language.spans").cast("long").alias("n_spans"))
