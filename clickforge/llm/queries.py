@@ -8,6 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from clickforge.llm import licenses as lic
 from clickforge.llm import pii
 from clickforge.llm import quality as qual
 from clickforge.llm.common import load
@@ -16,6 +17,7 @@ from clickforge.llm.language import fit_languages, label_languages
 from clickforge.llm.line_dedup import drop_repeated_lines
 from clickforge.llm.near_dup import near_duplicates
 from clickforge.llm.packing import pack_documents
+from clickforge.llm.sharding import shard_documents
 from clickforge.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict = {}
@@ -179,3 +181,45 @@ def op7(spark, sf_dir):
     out = label_languages(docs.select("doc_id", "text"), fit_languages(docs.where(~held_out)))
     return out.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score",
                       F.size("language.spans").cast("long").alias("n_spans"))
+
+
+def licence_sql() -> str:
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    keywords = " OR ".join(f"contains(lower(t), {text(k)})" for k in lic.KEYWORDS)
+    cases = " ".join(f"WHEN regexp_matches(s, {text(p)}) THEN {text(n)}" for n, p in lic.SENTENCES)
+    steps, last = [], "told"
+    for k, (name, pattern) in enumerate(lic.RULES):
+        whole = text(f"(^|,){pattern}")
+        steps.append(f"r{k} AS MATERIALIZED (SELECT * EXCLUDE (left_over, names), regexp_replace(left_over, {whole}, '\\1', 'g') AS left_over, "
+                     f"CASE WHEN regexp_matches(left_over, {whole}) AND NOT list_contains(names, {text(name)}) THEN list_append(names, {text(name)}) ELSE names END AS names FROM {last})")
+        last = f"r{k}"
+    return rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+cut AS (
+  SELECT doc_id, string_split(lower(regexp_replace(regexp_replace(regexp_replace(t, {text(lic.LEADER)}, '', 'g'),
+    {text(lic.SENTENCE_END)}, '' || chr(1), 'g'), '[ 	
+]+', ' ', 'g')), chr(1)) AS ss FROM docs WHERE {keywords}),
+ids AS (
+  SELECT doc_id, list_filter(list_transform(ss, lambda s: CASE {cases} END), lambda x: x IS NOT NULL) AS ids FROM cut),
+told AS (
+  SELECT doc_id, coalesce(ids, []) AS ids, CASE WHEN len(ids) > 0 THEN array_to_string(ids, ',') || ',' ELSE '' END AS left_over,
+    CAST([] AS VARCHAR[]) AS names FROM docs LEFT JOIN ids USING (doc_id)),
+{", ".join(steps)}
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentences,
+  coalesce(array_to_string(names, ','), '') AS licences, CAST(len(left_over) - len(replace(left_over, ',', '')) AS BIGINT) AS unmatched FROM {last}"""
+
+
+@query("op1_licences", licence_sql())
+def op1(spark, sf_dir):
+    out = lic.scan_licenses(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.size("licence.sentences").cast("long").alias("n_sentences"),
+                      F.array_join("licence.sentences", ",").alias("sentences"),
+                      F.array_join("licence.names", ",").alias("licences"), F.col("licence.unmatched").alias("unmatched"))
+
+
+@query("op6_sharding")
+def op6(spark, sf_dir):
+    out = shard_documents(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
