@@ -137,4 +137,6 @@ def scan_licenses(docs: DataFrame, text_col: str = "text") -> DataFrame:
     left = F.col(f"_left{len(RULES)}")
     names = F.when(some, F.array_distinct(F.array_compact(F.array(*hits)))).otherwise(F.array().cast("array<string>"))
     unmatched = (F.length(left) - F.length(F.replace(left, F.lit(","), F.lit("")))).cast("long")
-    return df.select("_row.*", F.struct(F.col("_ids").alias("sentences"), names.alias("names"), unmatched.alias("unmatched")).alias("licence"))
+    told = F.struct(F.col("_ids").alias("sentences"), names.alias("names"), unmatched.alias("unmatched"))
+    # an array of one: a filter on the result stays above it and is not expanded into all these expressions
+    return df.select("_row", F.explode(F.array(told)).alias("_licence")).select("_row.*", F.col("_licence").alias("licence"))
