@@ -71,9 +71,9 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
     df = with_histograms(with_words(df, F.col("text")).where(f"lang is not null and n_words >= {LIMITS[0][0]}"))
     sums = [F.sum(F.round(MILLION * F.col("_chars")[k] / F.length("_t")).cast("long")).alias(f"c{k}") for k in range(len(CLASSES))]
     sums += [F.sum(F.round(MILLION * F.col("_common")[k] / F.col("n_words")).cast("long")).alias(f"w{k}") for k in range(len(COMMON) + 1)]
-    found = df.groupBy("lang").agg(F.count("*").alias("n"), *sums)
-    total = found.agg(F.sum("n").alias("total"))
-    rows = found.join(F.broadcast(total), F.col("n") >= MIN_LANG_SHARE * F.col("total")).orderBy("lang").collect()
+    found = keep(df.groupBy("lang").agg(F.count("*").alias("n"), *sums), "quality-languages")
+    total = found.agg(F.sum("n").alias("n")).first().n or 0
+    rows = found.where(F.col("n") >= MIN_LANG_SHARE * total).orderBy("lang").collect()  # at most 1 / MIN_LANG_SHARE rows
 
     def share(row, names):
         whole = sum(row[x] for x in names)
@@ -120,11 +120,11 @@ def quality_rules(docs: DataFrame, references: list[tuple[str, list[float], list
 
     A null or empty text has no words, so it fails the base rule (fewer than ten words). Without any language
     holding a hundredth of the documents the method rejects nothing. Repeated rows get equal results; every
-    other column passes through untouched.
+    other column passes through untouched, but one named ``quality`` is replaced.
     """
     if references is None:
         references = language_references(docs, text_col, lang_col)
-    df = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text_col].cast("string").alias("_text"))
+    df = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "quality"]).alias("_row"), docs[text_col].cast("string").alias("_text"))
     df = with_repeats(with_histograms(with_words(df, F.col("_text"))))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD))
     df = df.withColumn("_lines", lines).withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
