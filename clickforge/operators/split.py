@@ -12,23 +12,17 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickforge.functions.hashing import md5_bucket
-
-SCALE = 10_000  # resolution of hash thresholds
+from clickforge.functions.hashing import HASH_SPAN, md5_place, share_edges
 
 
 def hash_split(df: DataFrame, key: str, seed: int = 2019, ratios=(0.8, 0.1, 0.1),
                names=("train", "tests", "valid"), col: str = "subset") -> DataFrame:
-    """Adds ``subset`` from the md5 bucket (0..99) of the key (P1, P8). No shuffle."""
-    b = md5_bucket(key, seed, 100)
-    edges, acc = [], 0.0
-    for r in ratios[:-1]:
-        acc += r
-        edges.append(int(round(acc * 100)))
-    expr = None
-    for edge, name in zip(edges, names):
-        expr = F.when(b < edge, F.lit(name)) if expr is None else expr.when(b < edge, F.lit(name))
-    return df.withColumn(col, expr.otherwise(F.lit(names[len(edges)])))
+    """Adds ``subset`` from the 60-bit md5 place of the key (P1, P8). No shuffle; any ratios that sum to 1."""
+    place = md5_place(key, seed)
+    part = F.lit(names[len(ratios) - 1])
+    for edge, name in reversed(list(zip(share_edges(ratios), names))):
+        part = F.when(place < F.lit(edge), F.lit(name)).otherwise(part)
+    return df.withColumn(col, part)
 
 
 def split_counts(df: DataFrame, label: str = "label", col: str = "subset") -> DataFrame:
@@ -36,8 +30,8 @@ def split_counts(df: DataFrame, label: str = "label", col: str = "subset") -> Da
 
 
 def hash_sample_threshold(rate: float) -> int:
-    """Rate -> integer bucket threshold (round half up, same in SQL)."""
-    return int(math.floor(rate * SCALE + 0.5))
+    """Rate -> place below which a row is kept (60 bits, so no rate rounds to nothing)."""
+    return math.floor(rate * HASH_SPAN)
 
 
 def hash_ordered_sample(df: DataFrame, key: str, n: int, seed: int = 2019) -> DataFrame:
@@ -58,21 +52,17 @@ def oversample_exact(df: DataFrame, key: str, label: str = "label", seed: int =
                      rate: float | None = None) -> DataFrame:
     """Deterministic oversampling of positives (P4): rate = (neg - pos) / pos extra copies per positive.
 
-    Each positive gets floor(rate) copies plus one more when its hash bucket falls
+    Each positive gets floor(rate) copies plus one more when its hash place falls
     under the fractional part. Returns the original rows (``copy`` 0) and the copies
-    (``copy`` >= 1): ``explode(sequence)`` per row, no shuffle.
+    (``copy`` >= 1): one scan, ``explode(sequence)`` per row, no shuffle.
     """
     if rate is None:
         pos, neg = class_counts(df, label)
         rate = (neg - pos) / pos if pos else 0.0
     whole = math.floor(rate)
     extra = hash_sample_threshold(rate - whole)
-    copies = F.when(F.col(label) == 1, F.lit(whole) + (md5_bucket(key, seed, SCALE) < extra).cast("int")) \
-              .otherwise(F.lit(0))
-    base = df.withColumn("copy", F.lit(0))
-    dup = df.withColumn("__k", copies).filter(F.col("__k") > 0) \
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__k")))).drop("__k")
-    return base.unionByName(dup)
+    copies = F.when(F.col(label) == 1, F.lit(whole) + (md5_place(key, seed) < F.lit(extra)).cast("int")).otherwise(F.lit(0))
+    return df.select("*", F.explode(F.sequence(F.lit(0), copies)).alias("copy"))
 
 
 def undersample_hash(df: DataFrame, key: str, label: str = "label", seed: int = 11,
@@ -81,7 +71,7 @@ def undersample_hash(df: DataFrame, key: str, label: str = "label", seed: int =
     if rate is None:
         pos, neg = class_counts(df, label)
         rate = pos / neg if neg else 1.0
-    keep = (F.col(label) == 1) | (md5_bucket(key, seed, SCALE) < hash_sample_threshold(rate))
+    keep = (F.col(label) == 1) | (md5_place(key, seed) < F.lit(hash_sample_threshold(rate)))
     return df.filter(keep)
 
 
@@ -97,12 +87,21 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 2019) -> DataFr
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def reshuffle(df: DataFrame, seed: int = 2019) -> DataFrame:
+    """Rows in a seeded random order, over as many partitions as a shuffle has."""
+    return df.withColumn("__order", F.rand(seed)).repartitionByRange("__order").sortWithinPartitions("__order").drop("__order")
+
+
 def oversample_random(df: DataFrame, label: str = "label", seed: int = 2019) -> DataFrame:
-    """Poisson oversampling of positives with replacement, union, then reshuffle."""
+    """Random oversampling of positives to balance, in random order.
+
+    One scan draws each positive's number of further copies (mean (neg - pos) / pos), then one range shuffle.
+    """
     pos, neg = class_counts(df, label)
-    rate = (neg - pos) / pos if pos else 0.0
-    extra = df.filter(F.col(label) == 1).sample(withReplacement=True, fraction=rate, seed=seed)
-    return df.unionByName(extra).sample(withReplacement=False, fraction=1.0, seed=seed)
+    rate = max(0.0, (neg - pos) / pos) if pos else 0.0
+    drawn = F.when(F.col(label) == 1, F.floor(F.rand(seed) + F.lit(rate)).cast("int")).otherwise(F.lit(0))
+    grown = df.withColumn("__n", drawn).select(*df.columns, F.explode(F.sequence(F.lit(0), F.col("__n"))).alias("__copy"))
+    return reshuffle(grown.drop("__copy"), seed + 1)
 
 
 def null_free_sample(df: DataFrame, fraction: float, seed: int = 2019) -> DataFrame:

@@ -318,6 +318,18 @@ def q_holdout(spark, d):
     return spl.split_counts(spl.hash_split(tr, ID, 1, (0.8, 0.2), ("fit", "holdout"), "part"), Y, "part")
 
 
+@register("uneven_split")
+def q_uneven(spark, d):
+    """A 99.5 / 0.4 / 0.1 split (P1): small shares keep their rows."""
+    return spl.split_counts(spl.hash_split(Prepared(spark, d).whole, ID, 5, (0.995, 0.004, 0.001), col="part"), Y, "part")
+
+
+@register("tiny_rate_sample")
+def q_tiny_rate(spark, d):
+    """Negatives kept at a rate of 1 in 100,000 (P5)."""
+    return spl.undersample_hash(Prepared(spark, d).whole.select(ID, Y), ID, Y, seed=13, rate=1e-5)
+
+
 @register("toy_subsample")
 def q_toy(spark, d):
     return spl.hash_ordered_sample(Prepared(spark, d).train, ID, 1000, 2019).select(ID, Y)

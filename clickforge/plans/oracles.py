@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import itertools
 
-from clickforge.functions.hashing import md5_bucket_sql
+from clickforge.functions.hashing import HASH_SPAN, md5_place_sql, share_edges
 from clickforge.plans.fixture_plan import FIXTURE_RULES
 from clickforge.sources import fixture as fx
 
@@ -266,22 +266,26 @@ q("assembled_long", PRE + index_ctes() + _STDM +
 
 
 q("hash_split_counts", PRE + "SELECT subset, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM imp GROUP BY subset")
-q("holdout_split", PRE + f"SELECT CASE WHEN {md5_bucket_sql('imp_id', 1)} < 80 THEN 'fit' ELSE 'holdout' END AS part, "
+q("holdout_split", PRE + f"SELECT CASE WHEN {md5_place_sql('imp_id', 1)} < {share_edges((0.8, 0.2))[0]} THEN 'fit' ELSE 'holdout' END AS part, "
   "count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM train GROUP BY 1")
+q("uneven_split", PRE + "SELECT CASE WHEN p < " + str(share_edges((0.995, 0.004, 0.001))[0]) + " THEN 'train' WHEN p < "
+  + str(share_edges((0.995, 0.004, 0.001))[1]) + " THEN 'tests' ELSE 'valid' END AS part, count(*) AS rows, "
+  f"CAST(sum(label) AS BIGINT) AS positives FROM (SELECT label, {md5_place_sql('imp_id', 5)} AS p FROM impressions) GROUP BY 1")
+q("tiny_rate_sample", PRE + f"SELECT imp_id, label FROM impressions WHERE label = 1 OR {md5_place_sql('imp_id', 13)} < {int(1e-5 * HASH_SPAN)}")
 q("toy_subsample", PRE + "SELECT imp_id, label FROM train ORDER BY md5('2019:' || imp_id), imp_id LIMIT 1000")
 
 _OVER = (", cnt AS (SELECT CAST(sum(label) AS BIGINT) AS pos, CAST(count(*) - sum(label) AS BIGINT) AS neg FROM train)\n"
          ", r AS (SELECT CASE WHEN pos = 0 THEN 0.0 ELSE CAST(neg - pos AS DOUBLE) / pos END AS rate FROM cnt)\n"
-         ", kk AS (SELECT floor(rate) AS whole, floor((rate - floor(rate)) * 10000 + 0.5) AS extra FROM r)\n"
-         f", t AS (SELECT imp_id, label, CASE WHEN label = 1 THEN whole + CASE WHEN {md5_bucket_sql('imp_id', 7, 10000)} "
+         ", kk AS (SELECT floor(rate) AS whole, CAST(floor((rate - floor(rate)) * " + str(HASH_SPAN) + ") AS BIGINT) AS extra FROM r)\n"
+         f", t AS (SELECT imp_id, label, CASE WHEN label = 1 THEN whole + CASE WHEN {md5_place_sql('imp_id', 7)} "
          "< extra THEN 1 ELSE 0 END ELSE 0 END AS k FROM train, kk)\n"
          ", over AS (SELECT imp_id, label, 0 AS copy FROM train UNION ALL "
          "SELECT imp_id, label, CAST(unnest(range(1, CAST(k AS BIGINT) + 1)) AS INTEGER) AS copy FROM t WHERE k > 0)\n")
 q("oversample_exact", PRE + _OVER + "SELECT imp_id, label, CAST(copy AS INTEGER) AS copy FROM over")
 q("union_all_counts", PRE + _OVER + "SELECT label, count(*) AS rows FROM over GROUP BY label")
 q("undersample_hash", PRE + ", cnt AS (SELECT CAST(sum(label) AS BIGINT) AS pos, CAST(count(*) - sum(label) AS BIGINT) AS neg FROM train)\n"
-  ", r AS (SELECT floor(CASE WHEN neg = 0 THEN 1.0 ELSE CAST(pos AS DOUBLE) / neg END * 10000 + 0.5) AS thr FROM cnt)\n"
-  f"SELECT imp_id, label FROM train, r WHERE label = 1 OR {md5_bucket_sql('imp_id', 11, 10000)} < thr")
+  f", r AS (SELECT CAST(floor(CASE WHEN neg = 0 THEN 1.0 ELSE CAST(pos AS DOUBLE) / neg END * {HASH_SPAN}) AS BIGINT) AS thr FROM cnt)\n"
+  f"SELECT imp_id, label FROM train, r WHERE label = 1 OR {md5_place_sql('imp_id', 11)} < thr")
 
 # ---- evaluation -------------------------------------------------------------------------------
 
@@ -432,12 +436,12 @@ def _svm_chain(tag: str, src: str, steps: int, lr: float, reg: float) -> str:
 
 
 def _svm_points() -> str:
-    b = md5_bucket_sql("imp_id", 1)
+    b, edge = md5_place_sql("imp_id", 1), share_edges((0.8, 0.2))[0]
     return (f", s AS ({stats_cte()})\n"
             ", pts AS (SELECT imp_id, subset, CASE WHEN label = 0 THEN -1 ELSE label END AS y, 1.0 AS x0, "
             + ", ".join(f"{STD_SQL[c]} AS x{i + 1}" for i, c in enumerate(NUM)) + " FROM imp, s)\n"
-            f", fit AS (SELECT * FROM pts WHERE subset = 'train' AND {b} < 80)\n"
-            f", ho AS (SELECT * FROM pts WHERE subset = 'train' AND {b} >= 80)\n")
+            f", fit AS (SELECT * FROM pts WHERE subset = 'train' AND {b} < {edge})\n"
+            f", ho AS (SELECT * FROM pts WHERE subset = 'train' AND {b} >= {edge})\n")
 
 
 def _loss_weights(tag: str, ks: list[int]) -> tuple[str, str]:

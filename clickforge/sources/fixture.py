@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickforge.functions.hashing import md5_bucket, md5_bucket_sql
+from clickforge.functions.hashing import md5_place, md5_place_sql, share_edges
 
 LABEL = "label"
 NOISE_LABEL = "label_noise"
@@ -102,11 +102,14 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def subset_column(key: str = ID, seed: int = SPLIT_SEED, ratios=(80, 10)):
-    """'train' / 'tests' / 'valid' from an md5 bucket of the key (P1, reproducible)."""
-    b = md5_bucket(key, seed)
-    return (F.when(b < ratios[0], F.lit("train"))
-             .when(b < ratios[0] + ratios[1], F.lit("tests"))
+RATIOS = (0.8, 0.1, 0.1)
+
+
+def subset_column(key: str = ID, seed: int = SPLIT_SEED, ratios=RATIOS):
+    """'train' / 'tests' / 'valid' from the md5 place of the key (P1, reproducible)."""
+    place, (first, second) = md5_place(key, seed), share_edges(ratios)
+    return (F.when(place < F.lit(first), F.lit("train"))
+             .when(place < F.lit(second), F.lit("tests"))
              .otherwise(F.lit("valid")))
 
 
@@ -123,8 +126,8 @@ def subsets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # ---- SQL spellings for the DuckDB oracles -------------------------------------------------------
 
 def subset_sql(key: str = ID, seed: int = SPLIT_SEED) -> str:
-    b = md5_bucket_sql(key, seed)
-    return f"CASE WHEN {b} < 80 THEN 'train' WHEN {b} < 90 THEN 'tests' ELSE 'valid' END"
+    place, (first, second) = md5_place_sql(key, seed), share_edges(RATIOS)
+    return f"CASE WHEN {place} < {first} THEN 'train' WHEN {place} < {second} THEN 'tests' ELSE 'valid' END"
 
 
 def oracle_prelude() -> str:
