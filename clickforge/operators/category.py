@@ -2,7 +2,7 @@
 
 The frequent-value table of a feature has at most ``rows / min`` entries (counts
 sum to the row count), so it is the bounded side of every join here. It is
-broadcast only when its measured size is under ``broadcast_rows``; beyond that a
+broadcast only within a byte budget that all features of a plan share; beyond it a
 shuffle join is used in which NULLs and known-hot values (their counts are in the
 statistics) are kept out of the join key's hash partition by a deterministic salt.
 """
@@ -21,6 +21,9 @@ from clickforge.operators.joins import BROADCAST_ROWS, join_bounded
 from clickforge.operators.profile import category_frequencies, unpivot
 
 SALT_BUCKETS = 64
+#: Bytes of frequent values that one masking plan may broadcast in all, and what a value costs beside its text.
+BROADCAST_BYTES = 64 << 20
+VALUE_OVERHEAD = 48
 
 
 def fill_categorical(df: DataFrame, cols: list[str], value: str = SENTINEL_NULL) -> DataFrame:
@@ -40,30 +43,34 @@ def fit_frequent_values(freq: DataFrame, minimum: int, inclusive: bool = False)
 
 
 def mask_uncommon(df: DataFrame, cols: list[str], frequent: DataFrame, replacement: str = SENTINEL_RARE,
-                  broadcast_rows: int = BROADCAST_ROWS, hot_rows: int | None = None) -> DataFrame:
+                  broadcast_bytes: int = BROADCAST_BYTES, partitions: int | None = None) -> DataFrame:
     """Replace values absent from the frequent table with ``rarebeef`` (E2, E3 apply; F6, F7).
 
-    NULL stays NULL (``NOT IN`` on NULL is NULL -> otherwise-branch). Values unseen
-    in train are masked. One left join per feature against that feature's frequent
-    values: broadcast when small (no shuffle of the wide table), else a shuffle join
-    with NULL and hot values salted away from a single reducer.
+    NULL stays NULL (``NOT IN`` on NULL is NULL -> otherwise-branch). Values unseen in train are masked. One
+    left join per feature against its frequent values. All features share one broadcast budget in bytes, the
+    smallest tables first; what does not fit is joined by a shuffle in which NULLs and hot values (those with
+    more than 1 / (2 * partitions) of the feature's rows, so at most 2 * partitions of them) get a salt.
     """
-    sizes = {r["feature"]: (r["n"], r["top"]) for r in
-             frequent.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.max("counts").alias("top")).collect()}
+    sizes = {r["feature"]: r for r in frequent.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("counts").alias("rows"),
+        F.sum(F.octet_length("value") + VALUE_OVERHEAD).alias("bytes")).collect()}
+    fits, left = set(), broadcast_bytes
+    for c in sorted((c for c in cols if c in sizes), key=lambda c: (sizes[c]["bytes"], c)):
+        if sizes[c]["bytes"] <= left:
+            fits.add(c)
+            left -= sizes[c]["bytes"]
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df
     for c in cols:
-        n, top = sizes.get(c, (0, 0))
-        if n == 0:
+        if c not in sizes:
             out = out.withColumn(c, F.when(F.col(c).isNotNull(), F.lit(replacement)))
             continue
         fr = frequent.filter(F.col("feature") == c).select(F.col("value").alias(f"__v_{c}"))
-        if n <= broadcast_rows:
+        if c in fits:
             out = out.join(F.broadcast(fr), F.col(c) == F.col(f"__v_{c}"), "left")
             kept = F.col(f"__v_{c}").isNotNull()
         else:
-            hot_limit = hot_rows or max(1, int(top // 8))
-            hot = [r["value"] for r in frequent.filter((F.col("feature") == c) & (F.col("counts") >= hot_limit))
-                   .select("value").limit(4096).collect()]
+            hot = [r["value"] for r in hot_values(frequent.filter(F.col("feature") == c), sizes[c]["rows"], parts).collect()]
             is_hot = F.col(c).isNull() | F.col(c).isin(hot)
             salt = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*[F.col(x) for x in df.columns]),
                                                    F.lit(SALT_BUCKETS)).cast("string"))

@@ -50,16 +50,12 @@ def class_weight(label: str, rate: float):
     return F.when(F.col(label) == 0, F.lit(float(rate))).otherwise(F.lit(1.0 - float(rate)))
 
 
-def pack(df: DataFrame, label: str = "label", rate: float | None = None, inputs: list[str] | None = None,
+def pack(df: DataFrame, inputs: list[str], label: str = "label", rate: float | None = None,
          output: str = "features", keep: list[str] | None = None) -> DataFrame:
-    """Std + (top or cat) + (cxn if present) -> ``features``, plus ``weight`` when ``rate``."""
-    keep = keep or []
-    if inputs is None:
-        inputs = ["std_features"]
-        inputs += ["top_features"] if "top_features" in df.columns else ["cat_features"]
-        inputs += ["cxn_features"] if "cxn_features" in df.columns else []
-    out = assemble(inputs, output).transform(df).select(*keep, label, output)
-    return out.withColumn("weight", class_weight(label, rate)) if rate is not None else out
+    """The caller's blocks, in order, as one vector; with ``rate`` also the class weight."""
+    packed = assemble(inputs, output).transform(df)
+    weight = [] if rate is None else [class_weight(label, rate).alias("weight")]
+    return packed.select(*(keep or []), label, output, *weight)
 
 
 def vector_width(df: DataFrame, col: str) -> int:

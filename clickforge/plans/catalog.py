@@ -153,7 +153,7 @@ def q_hist(spark, d):
 @register("numeric_frequencies")
 def q_num_freq(spark, d):
     p = Prepared(spark, d)
-    return rounded(prof.numeric_frequencies(p.train, ["n04", "n09"], p.num_stats_df))
+    return rounded(prof.numeric_frequencies(p.train, NUM, p.num_stats_df))
 
 
 @register("special_value_counts")
@@ -165,7 +165,7 @@ def q_special(spark, d):
 def q_log(spark, d):
     from clickforge.functions.scalar import natural_log
     imp = Prepared(spark, d).whole
-    return rounded(imp.select(ID, *[natural_log(c).alias(f"log_{c}") for c in ("n05", "n07", "n08")]))
+    return rounded(imp.select(ID, *[natural_log(c).alias(f"log_{c}") for c in NUM]))
 
 
 @register("correlation_matrix")
@@ -275,29 +275,49 @@ def q_chi2_top(spark, d):
 
 @register("cross_long")
 def q_cross(spark, d):
-    """Numeric x one-hot crosses, long form, summarised per cross index on train."""
+    """Numeric x one-hot crosses of every subset, long form, summarised per cross index."""
     p = Prepared(spark, d)
-    k = p.cat_width()
-    long = crs.cross_long(p.std_masked().filter(F.col("subset") == "train"), STD, CAT, p.gindex(), k, [ID],
-                          hot_keys=p.hot_keys())
-    return rounded(long.groupBy("cidx").agg(F.count(F.lit(1)).alias("entries"), exact_sum("value").alias("sum_value")))
+    long = crs.cross_long(p.std_masked(), STD, CAT, p.gindex(), p.cat_width(), [ID, "subset"], hot_keys=p.hot_keys())
+    return rounded(long.groupBy("subset", "cidx").agg(F.count(F.lit(1)).alias("entries"), exact_sum("value").alias("sum_value")))
 
 
 @register("pack_weights")
 def q_pack(spark, d):
-    """Packed vector width and class weights for every row."""
+    """The packed vector with class weights, written for every subset: per row the weight, the stored entries and
+    their sum of values (E10, S12)."""
     p = Prepared(spark, d)
     rate = p.train.agg(F.avg(F.col(Y).cast("double"))).first()[0]
-    packed = crs.pack(p.encoded(), Y, rate, inputs=["std_features", "cat_features"], keep=[ID, "subset"])
+    packed = crs.pack(p.encoded(), ["std_features", "cat_features"], Y, rate, keep=[ID, "subset"])
     width = crs.vector_width(packed, "features")
-    return rounded(packed.select(ID, "subset", Y, "weight", F.lit(width).alias("width")))
+    path = scratch_path(spark, "packed-weights")
+    packed.write.parquet(path)
+    v = F.col("features")
+    return rounded(files.read_vectors_as_structs(spark, path, ["features"]).select(
+        ID, "subset", Y, "weight", F.lit(width).alias("width"),
+        F.aggregate(v["values"], F.lit(0.0), lambda a, x: a + x).alias("mass"),
+        F.size(F.filter(v["values"], lambda x: x != 0)).cast("long").alias("entries")))
+
+
+@register("packed_entries")
+def q_packed_entries(spark, d):
+    """Std + the 20 picked + crosses packed as one vector (E11), entries of every subset summarised per index."""
+    p = Prepared(spark, d)
+    enc = p.encoded()
+    pick = sel.chi2_selector(20).fit(enc.filter(F.col("subset") == "train"))
+    crossed = crs.interaction("std_features", "top_features").transform(pick.transform(enc))
+    packed = crs.pack(crossed, ["std_features", "top_features", "cxn_features"], Y, keep=[ID, "subset"])
+    path = scratch_path(spark, "packed-entries")
+    packed.write.parquet(path)
+    long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["features"]), "features", [ID, "subset"])
+    return rounded(long.groupBy("subset", F.col("idx").cast("long").alias("idx")).agg(
+        F.count(F.lit(1)).alias("entries"), exact_sum("value").alias("sum_value")))
 
 
 @register("assembled_long")
 def q_assembled(spark, d):
     """Entries of the assembled std + one-hot vector, summarised per index over all rows."""
     p = Prepared(spark, d)
-    packed = crs.pack(p.encoded(), Y, None, inputs=["std_features", "cat_features"], keep=[ID])
+    packed = crs.pack(p.encoded(), ["std_features", "cat_features"], Y, keep=[ID])
     path = scratch_path(spark, "packed")
     packed.write.mode("errorifexists").parquet(path)
     # stored vectors read back as (type, size, indices, values): O(non-zeros), not O(width)
@@ -424,7 +444,7 @@ def q_svm_step(spark, d):
 def q_svm_predict(spark, d):
     p = Prepared(spark, d)
     pts, ws = _two_steps(p)
-    return svm.predict(pts.filter(F.col("subset") == "tests"), ws[2], keep=[ID])
+    return svm.predict(pts, ws[2], keep=[ID, "subset"])
 
 
 @register("labelled_points")
@@ -484,13 +504,12 @@ def q_first_n(spark, d):
 
 @register("sparse_to_dense")
 def q_dense(spark, d):
-    """One-hot vectors of three features from the ML encoder, as dense positions."""
+    """The one-hot vector of all categoricals made dense (E15): per row its width, mass and sum of set positions."""
     from pyspark.ml.functions import vector_to_array
-    p = Prepared(spark, d)
-    cols = ["c01", "c02", "c11"]
-    m = p.masked()
-    model = cat.encoding_pipeline(cols, output="vec").fit(m.filter(F.col("subset") == "train"))
-    return model.transform(m).select(ID, F.posexplode(vector_to_array("vec")).alias("pos", "value"))
+    dense = Prepared(spark, d).encoded().select(ID, vector_to_array("cat_features").alias("dense"))
+    placed = F.transform("dense", lambda x, i: x * i)
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    return dense.select(ID, F.size("dense").alias("width"), total("dense").alias("mass"), total(placed).alias("places"))
 
 
 # ---- sources and sinks ---------------------------------------------------------------------------
@@ -573,7 +592,7 @@ def q_hash(spark, d):
 def q_libsvm(spark, d):
     """Packed (label, features) written as LIBSVM and scanned back (S6); non-zeros counted sparsely."""
     p = Prepared(spark, d)
-    packed = crs.pack(p.encoded(), Y, None, inputs=["std_features", "cat_features"], keep=[])
+    packed = crs.pack(p.encoded(), ["std_features", "cat_features"], Y, keep=[])
     width = crs.vector_width(packed, "features")
     path = scratch_path(spark, "libsvm")
     files.write_libsvm(packed, path)
@@ -619,7 +638,7 @@ def q_resumable(spark, d):
 
 def _packed_frames(p: Prepared, weighted: bool = False) -> dict[str, DataFrame]:
     rate = p.train.agg(F.avg(F.col(Y).cast("double"))).first()[0] if weighted else None
-    packed = crs.pack(p.encoded(), Y, rate, inputs=["std_features", "cat_features"], keep=["subset"])
+    packed = crs.pack(p.encoded(), ["std_features", "cat_features"], Y, rate, keep=["subset"])
     return {s: packed.filter(F.col("subset") == s).drop("subset") for s in ("train", "tests", "valid")}
 
 
@@ -808,13 +827,12 @@ def q_under_random(spark, d):
 
 @register("interaction_entries")
 def q_interaction(spark, d):
-    """Spark ML ``Interaction`` of std_features x cat_features on train, non-zero entries per index."""
-    p = Prepared(spark, d)
-    enc = p.encoded().filter(F.col("subset") == "train")
+    """Spark ML ``Interaction`` of std_features x cat_features on every subset, non-zero entries per index."""
+    enc = Prepared(spark, d).encoded()
     path = scratch_path(spark, "crossed")
-    crs.interaction().transform(enc).select(ID, "cxn_features").write.parquet(path)
-    long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["cxn_features"]), "cxn_features", [ID])
-    return rounded(long.groupBy(F.col("idx").cast("long").alias("cidx"))
+    crs.interaction().transform(enc).select(ID, "subset", "cxn_features").write.parquet(path)
+    long = files.vector_entries(files.read_vectors_as_structs(spark, path, ["cxn_features"]), "cxn_features", [ID, "subset"])
+    return rounded(long.groupBy("subset", F.col("idx").cast("long").alias("cidx"))
                        .agg(F.count(F.lit(1)).alias("entries"), exact_sum("value").alias("sum_value")))
 
 

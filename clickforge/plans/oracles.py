@@ -180,7 +180,7 @@ q("equal_width_histogram", PRE + f", bounds AS ({_bounds})\n, lv AS ({unnest_lon
   "CAST(coalesce(count, 0) AS BIGINT) AS count FROM grid LEFT JOIN cnt USING (feature, bin)")
 
 q("numeric_frequencies", PRE + f", st AS ({stats_long()})\n, g AS (SELECT feature, value, count(*) AS count FROM ("
-  + unnest_long("train", ["n04", "n09"], [], "DOUBLE") + ") WHERE value IS NOT NULL GROUP BY feature, value)\n"
+  + unnest_long("train", NUM, [], "DOUBLE") + ") WHERE value IS NOT NULL GROUP BY feature, value)\n"
   f"SELECT g.feature, {R('value')} AS value, g.count, {R('CASE WHEN stddev = 0 THEN NULL ELSE (value - median) / stddev END')} AS normed "
   "FROM g JOIN st USING (feature)")
 
@@ -191,7 +191,7 @@ q("special_value_counts", PRE + union_all(
        for c in NUM]))
 
 q("log_transform", PRE + "SELECT imp_id, " + ", ".join(
-    f"{R(f'CASE WHEN {c} > 0 THEN ln({c}) END')} AS log_{c}" for c in ("n05", "n07", "n08")) + " FROM impressions")
+    f"{R(f'CASE WHEN {c} > 0 THEN ln({c}) END')} AS log_{c}" for c in NUM) + " FROM impressions")
 
 q("correlation_matrix", PRE + union_all([f"SELECT '{a}' AS col_a, '{b}' AS col_b, {R(f'corr({a}, {b})')} AS corr FROM train"
                                          for a, b in itertools.combinations(NUM, 2)]))
@@ -246,15 +246,32 @@ _STDM = (f", s AS ({stats_cte()})\n, sm AS (SELECT masked.*, " + ", ".join(f"{e}
          + " FROM masked, s)\n")
 q("cross_long", PRE + index_ctes() + _STDM +
   ", kk AS (SELECT count(*) AS k FROM sidx)\n"
-  ", hot AS (SELECT imp_id, feature, value, [" + ", ".join(f"{c}_std" for c in NUM) + "] AS xs FROM ("
+  ", hot AS (SELECT imp_id, subset, feature, value, [" + ", ".join(f"{c}_std" for c in NUM) + "] AS xs FROM ("
   "SELECT *, unnest([" + ", ".join(f"'{c}'" for c in CAT) + "]) AS feature, unnest([" + ", ".join(CAT)
-  + "]) AS value FROM sm WHERE subset = 'train'))\n"
-  ", hx AS (SELECT imp_id, gidx, unnest(range(0, 9)) AS i, unnest(xs) AS xv FROM hot JOIN gidx USING (feature, value))\n"
-  f"SELECT CAST(i * k + gidx AS BIGINT) AS cidx, count(*) AS entries, {R('sum(xv)')} AS sum_value FROM hx, kk GROUP BY 1")
+  + "]) AS value FROM sm))\n"
+  ", hx AS (SELECT imp_id, subset, gidx, unnest(range(0, 9)) AS i, unnest(xs) AS xv FROM hot JOIN gidx USING (feature, value))\n"
+  f"SELECT subset, CAST(i * k + gidx AS BIGINT) AS cidx, count(*) AS entries, {R('sum(xv)')} AS sum_value FROM hx, kk GROUP BY 1, 2")
+
+_ROWS = (", kk AS (SELECT count(*) AS k FROM sidx)\n, hits AS (SELECT imp_id, count(*) AS h, sum(gidx) AS places FROM ("
+         + unnest_long("sm", CAT, ["imp_id"]) + ") JOIN gidx USING (feature, value) GROUP BY imp_id)\n")
+q("pack_weights", PRE + index_ctes() + _STDM + _ROWS + ", br AS (SELECT avg(label) AS rate FROM train)\n"
+  f"SELECT sm.imp_id, sm.subset, sm.label, {R('CASE WHEN label = 0 THEN rate ELSE 1.0 - rate END')} AS weight, "
+  f"CAST({len(NUM)} + k AS INTEGER) AS width, " + R(" + ".join(f"{c}_std" for c in NUM) + " + coalesce(h, 0)") + " AS mass, CAST("
+  + " + ".join(f"CASE WHEN {c}_std <> 0 THEN 1 ELSE 0 END" for c in NUM)
+  + " + coalesce(h, 0) AS BIGINT) AS entries FROM sm LEFT JOIN hits USING (imp_id), br, kk")
+q("sparse_to_dense", PRE + index_ctes() + _STDM + _ROWS +
+  "SELECT sm.imp_id, CAST(k AS INTEGER) AS width, CAST(coalesce(h, 0) AS DOUBLE) AS mass, CAST(coalesce(places, 0) AS DOUBLE) AS places "
+  "FROM sm LEFT JOIN hits USING (imp_id), kk")
 
-q("pack_weights", PRE + index_ctes() + ", br AS (SELECT avg(label) AS rate FROM train), kk AS (SELECT count(*) AS k FROM sidx)\n"
-  f"SELECT imp_id, subset, label, {R('CASE WHEN label = 0 THEN rate ELSE 1.0 - rate END')} AS weight, "
-  f"CAST({len(NUM)} + k AS INTEGER) AS width FROM imp, br, kk")
+_STDS = "[" + ", ".join(f"{c}_std" for c in NUM) + "]"
+q("packed_entries", _CHI + _STDM + ", top AS (SELECT * FROM sc ORDER BY stat DESC, gidx ASC LIMIT 20)\n"
+  ", pk AS (SELECT feature, value, row_number() OVER (ORDER BY gidx) - 1 AS pos FROM top)\n"
+  f", hot AS (SELECT imp_id, subset, xs, pos FROM (SELECT *, {_STDS} AS xs, unnest([" + ", ".join(f"'{c}'" for c in CAT)
+  + "]) AS feature, unnest([" + ", ".join(CAT) + "]) AS value FROM sm) JOIN pk USING (feature, value))\n"
+  f", allv AS (SELECT subset, idx, v FROM (SELECT subset, unnest(range(0, 9)) AS idx, unnest({_STDS}) AS v FROM sm) WHERE v <> 0\n"
+  " UNION ALL SELECT subset, 9 + pos, 1.0 FROM hot\n"
+  " UNION ALL SELECT subset, 29 + 20 * i + pos, v FROM (SELECT subset, pos, unnest(range(0, 9)) AS i, unnest(xs) AS v FROM hot) WHERE v <> 0)\n"
+  f"SELECT subset, CAST(idx AS BIGINT) AS idx, count(*) AS entries, {R('sum(v)')} AS sum_value FROM allv GROUP BY 1, 2")
 
 q("assembled_long", PRE + index_ctes() + _STDM +
   ", nums AS (SELECT unnest(range(0, 9)) AS idx, unnest([" + ", ".join(f"{c}_std" for c in NUM) + "]) AS value FROM sm)\n"
@@ -343,8 +360,8 @@ q("hinge_loss", _svm_steps(0) + f"SELECT subset, {R('avg(greatest(0.0, 1 - y * '
 q("svm_one_step", _svm_steps(2) + union_all([
     f"SELECT {s} AS step, CAST(unnest(range(0, 10)) AS INTEGER) AS idx, unnest([" + ", ".join(
         R(f"w{s}_{j}") for j in range(_D + 1)) + f"]) AS weight FROM w{s}" for s in (1, 2)]))
-q("svm_predict", _svm_steps(2) + f"SELECT imp_id, y, CASE WHEN {_margin('w2')} >= 0 THEN 1 ELSE -1 END AS prediction "
-  "FROM pts, w2 WHERE subset = 'tests'")
+q("svm_predict", _svm_steps(2) + f"SELECT imp_id, subset, y, CASE WHEN {_margin('w2')} >= 0 THEN 1 ELSE -1 END AS prediction "
+  "FROM pts, w2")
 q("labelled_points", _svm_steps(0) + "SELECT imp_id, y, " + ", ".join(f"{R(x)} AS {x}" for x in _X)
   + " FROM pts WHERE subset = 'train'")
 q("label_recode", PRE + "SELECT imp_id, label, CASE WHEN label = 0 THEN -1 ELSE label END AS y, "
@@ -364,18 +381,6 @@ q("inline_rows", PRE + f", st AS ({stats_long()})\n, rules AS (SELECT * FROM (VA
   f"{R(chr(39).join(['CASE WHEN rule = ', 'scale2sd', ' THEN 2.0 * stddev WHEN rule = ', 'max', ' THEN max ELSE stddev END']))} "
   "AS divisor FROM rules JOIN st USING (feature)")
 q("first_n_ordered", PRE + f"SELECT imp_id, {R('n07')} AS n07, label FROM train WHERE label = 1 ORDER BY n07 DESC, imp_id ASC LIMIT 20")
-_DC = ["c01", "c02", "c11"]
-q("sparse_to_dense", PRE + index_ctes() +
-  ", sx AS (SELECT * FROM sidx WHERE feature IN ('c01', 'c02', 'c11'))\n"
-  ", wx AS (SELECT feature, count(*) AS width, CASE feature WHEN 'c01' THEN 0 WHEN 'c02' THEN 1 ELSE 2 END AS pos FROM sx GROUP BY feature)\n"
-  ", ox AS (SELECT feature, coalesce(sum(width) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM wx)\n"
-  ", gx AS (SELECT feature, value, off + idx AS gpos FROM sx JOIN ox USING (feature))\n"
-  ", ww AS (SELECT sum(width) AS w FROM wx)\n"
-  f", hits AS (SELECT imp_id, gpos FROM ({unnest_long('masked', _DC, ['imp_id'])}) JOIN gx USING (feature, value))\n"
-  ", grid AS (SELECT imp_id, unnest(range(0, CAST(w AS BIGINT))) AS pos FROM masked, ww)\n"
-  "SELECT grid.imp_id, CAST(grid.pos AS INTEGER) AS pos, CAST(CASE WHEN hits.gpos IS NULL THEN 0.0 ELSE 1.0 END AS DOUBLE) AS value "
-  "FROM grid LEFT JOIN hits ON grid.imp_id = hits.imp_id AND grid.pos = hits.gpos")
-
 # ---- sources and sinks ------------------------------------------------------------------------
 
 _IMP_COLS = ["imp_id", "label", "label_noise"] + NUM + CAT
@@ -414,7 +419,7 @@ q("raw_field_counts", PRE + f"SELECT {len(_IMP_COLS)} AS fields, count(*) AS lin
 
 
 q("interaction_entries", ORACLES["cross_long"].replace(
-    "FROM hx, kk GROUP BY 1", "FROM hx, kk WHERE xv <> 0 GROUP BY 1"))
+    "FROM hx, kk GROUP BY 1, 2", "FROM hx, kk WHERE xv <> 0 GROUP BY 1, 2"))
 
 q("string_indexer_labels", PRE + index_ctes() + "SELECT feature, value, idx FROM sidx")
 

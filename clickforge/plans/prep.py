@@ -113,7 +113,8 @@ class FeaturePrep:
 
         rate = self._table("balance", lambda: self.store.read("train", step).agg(
             F.avg(F.col(c.label).cast("double")).alias("balance_rate"))).first()["balance_rate"]
-        step = self._each("packed", step, lambda df, s: crs.pack(df, c.label, rate, keep=[c.key]))
+        blocks = ["std_features", "top_features" if c.top else "cat_features", *(["cxn_features"] if c.crosses else [])]
+        step = self._each("packed", step, lambda df, s: crs.pack(df, blocks, c.label, rate, keep=[c.key]))
         self.packed_step = step
         return {sub: self.store.read(sub, step) for sub in SUBSETS}
 

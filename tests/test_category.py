@@ -25,7 +25,7 @@ def test_shuffle_path_equals_broadcast_path(spark):
     df = _data(spark)
     fr = cat.fit_frequent_values(cat.fit_category_stats(df.filter("subset = 't'"), ["c1"]), 1)
     a = {tuple(r) for r in cat.mask_uncommon(df, ["c1"], fr).collect()}
-    b = {tuple(r) for r in cat.mask_uncommon(df, ["c1"], fr, broadcast_rows=0, hot_rows=2).collect()}
+    b = {tuple(r) for r in cat.mask_uncommon(df, ["c1"], fr, broadcast_bytes=0, partitions=2).collect()}
     assert a == b
 
 
@@ -64,7 +64,7 @@ def test_salted_shuffle_join_path(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        salted = cat.mask_uncommon(df, ["c1"], fr, broadcast_rows=0, hot_rows=50)
+        salted = cat.mask_uncommon(df, ["c1"], fr, broadcast_bytes=0, partitions=2)
         plan = salted._jdf.queryExecution().executedPlan().toString()
         got = {tuple(r) for r in salted.collect()}
     finally:

@@ -58,6 +58,8 @@ def test_pack_weights(spark):
                                 (1, Vectors.dense([2.0]), Vectors.sparse(3, [0], [1.0]))],
                                StructType([StructField("label", IntegerType()), StructField("std_features", VectorUDT()),
                                            StructField("cat_features", VectorUDT())]))
-    out = crs.pack(df, "label", 0.25).collect()
+    blocks = ["std_features", "cat_features"]
+    out = crs.pack(df, blocks, "label", 0.25).collect()
+    assert out[0]["features"].toArray().tolist() == [1.0, 0.0, 0.0, 1.0]
     assert [r["weight"] for r in out] == [0.25, 0.75]
-    assert crs.vector_width(crs.pack(df, "label", 0.25), "features") == 4
+    assert crs.vector_width(crs.pack(df, blocks), "features") == 4
