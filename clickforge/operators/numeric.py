@@ -81,23 +81,9 @@ def imputer(cols: list[str], strategy: str = "median", suffix: str = "_imp", rel
 
 
 def unit_variance_pipeline(cols: list[str], strategy: str = "mean", with_mean: bool = False,
-                           output: str = "scaled_features") -> Pipeline:
+                           output: str = "scaled_features", relative_error: float = 0.001) -> Pipeline:
     """Imputer -> VectorAssembler -> StandardScaler (E13, E14), fit on train."""
-    imp = imputer(cols, strategy)
+    imp = imputer(cols, strategy, relative_error=relative_error)
     asm = VectorAssembler(inputCols=imp.getOutputCols(), outputCol="__num_vec")
     scl = StandardScaler(inputCol="__num_vec", outputCol=output, withStd=True, withMean=with_mean)
     return Pipeline(stages=[imp, asm, scl])
-
-
-def unit_variance_columns(df: DataFrame, cols: list[str], stats: dict[str, dict],
-                          fill: dict[str, float], suffix: str = "_uv") -> DataFrame:
-    """Relational twin of the scaler on imputed values: x / stddev (stddev of the imputed train)."""
-    out = impute_numeric(df, fill)
-    return out.withColumns({f"{c}{suffix}": F.try_divide(F.col(c).cast("double"), F.lit(stats[c]["stddev"]))
-                            for c in cols})
-
-
-def imputed_stddevs(train: DataFrame, cols: list[str], fill: dict[str, float]) -> dict[str, float]:
-    """Sample stddev of each column after imputation (what ``StandardScaler`` divides by)."""
-    r = impute_numeric(train, fill).agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    return {c: r[c] for c in cols}

@@ -54,17 +54,30 @@ def high_null_columns(df: DataFrame, cols: list[str], pct: float = 40.0) -> Data
     return null_profile(df, cols).filter(F.col("null_pct") > pct)
 
 
+def _in_parts(df: DataFrame, items: list, size: int, build) -> DataFrame:
+    """``build(part of items)`` for parts small enough that Spark compiles their aggregation, one scan each."""
+    out = None
+    for k in range(0, len(items), size):
+        part = build(items[k: k + size])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+#: Aggregation buffers with more columns than this run outside whole-stage code generation.
+BUFFER_COLUMNS = 90
+
+
 def co_null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """For each column pair (a < b): rows where both are NULL, and rows where a is NULL."""
-    pairs = list(itertools.combinations(cols, 2))
-    aggs = [F.sum((F.col(a).isNull() & F.col(b).isNull()).cast("long")).alias(f"{a}|{b}") for a, b in pairs]
-    aggs += [F.sum(F.col(a).isNull().cast("long")).alias(f"{a}|") for a in cols]
-    wide = df.agg(*aggs)
-    long = wide.select(*[F.col(f"`{a}|`").alias(f"na_{a}") for a in cols],
-                       _stack([(f"{a}|{b}", F.col(f"`{a}|{b}`")) for a, b in pairs], "pair", "both_null"))
-    a_null = F.coalesce(*[F.when(F.split("pair", r"\|")[0] == a, F.col(f"na_{a}")) for a in cols])
-    return long.select(F.split("pair", r"\|")[0].alias("col_a"), F.split("pair", r"\|")[1].alias("col_b"),
-                       F.col("both_null").cast("long").alias("both_null"), a_null.cast("long").alias("a_null"))
+    def build(pairs):
+        firsts = sorted({a for a, _ in pairs})
+        aggs = [F.count_if(F.col(a).isNull() & F.col(b).isNull()).alias(f"p{k}") for k, (a, b) in enumerate(pairs)]
+        wide = df.agg(*aggs, *[F.count_if(F.col(a).isNull()).alias(f"n{k}") for k, a in enumerate(firsts)])
+        return wide.select(F.inline(F.array(*[F.struct(
+            F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{k}").alias("both_null"),
+            F.col(f"n{firsts.index(a)}").alias("a_null")) for k, (a, b) in enumerate(pairs)])))
+
+    return _in_parts(df, list(itertools.combinations(cols, 2)), BUFFER_COLUMNS - len(cols), build)
 
 
 def label_by_null(df: DataFrame, cols: list[str], label: str = "label") -> DataFrame:
@@ -230,28 +243,30 @@ def ctr_by_category(df: DataFrame, cols: list[str], label: str = "label") -> Dat
 
 # ---- histograms, frequencies, special values, correlation (A13-A16) ------------------------------
 
-def equal_width_histogram(df: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
-    """n equal-width bins over [min, max] per column; last bin closed; NULLs ignored.
+def equal_width_histogram(df: DataFrame, cols: list[str], bins: int | dict[str, int] = 10) -> DataFrame:
+    """Equal-width bins over [min, max] per column, as many as ``bins`` says for it; last bin closed; NULLs ignored.
 
     Bin = least(floor((x - min) / (max - min) * n), n - 1); empty bins are listed
     with count 0. A constant column gets one bin holding every row.
     """
+    number = {c: bins if isinstance(bins, int) else bins[c] for c in cols}
     x = {c: F.col(c).cast("double") for c in cols}
     rng = df.agg(*[e for c in cols for e in (F.min(x[c]).alias(f"lo_{c}"), F.max(x[c]).alias(f"hi_{c}"))])
-    bounds = rng.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"lo_{c}").alias("lo"),
-                                                      F.col(f"hi_{c}").alias("hi")) for c in cols])))
+    bounds = rng.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(number[c]).alias("bins"),
+                                                      F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi")) for c in cols])))
     long = unpivot(df, cols, cast="double").filter(F.col("value").isNotNull())
     # bounds has one row per column: a bounded broadcast
+    n = F.col("bins")
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)))
+        F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n), n - 1))
     counts = long.join(F.broadcast(bounds), "feature").groupBy("feature", b.cast("int").alias("bin")) \
                  .agg(F.count(F.lit(1)).alias("count"))
     grid = bounds.filter(F.col("lo").isNotNull()).select(
-        "feature", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    step = (F.col("hi") - F.col("lo")) / bins
+        "feature", "bins", "lo", "hi", F.explode(F.sequence(F.lit(0), n - 1)).alias("bin"))
+    step = (F.col("hi") - F.col("lo")) / n
     return grid.join(counts, ["feature", "bin"], "left").select(
         "feature", "bin", (F.col("lo") + step * F.col("bin")).alias("lower"),
-        F.when(F.col("bin") == bins - 1, F.col("hi")).otherwise(F.col("lo") + step * (F.col("bin") + 1)).alias("upper"),
+        F.when(F.col("bin") == n - 1, F.col("hi")).otherwise(F.col("lo") + step * (F.col("bin") + 1)).alias("upper"),
         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
@@ -280,12 +295,14 @@ def special_value_counts(df: DataFrame, cols: list[str], specials=(-1.0, 0.0)) -
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair (a < b) in one aggregation.
+    """Pearson correlation of every column pair (a < b).
 
-    Pairwise-complete (rows where both are non-NULL), no sampling.
+    Pairwise-complete (rows where both are non-NULL), no sampling. One compiled aggregation
+    over a pruned scan per fifteen pairs (a pair needs six buffer columns).
     """
-    pairs = list(itertools.combinations(cols, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
-    long = wide.select(_stack([(f"{a}|{b}", F.col(f"`{a}|{b}`")) for a, b in pairs], "pair", "corr"))
-    parts = F.split("pair", r"\|")
-    return long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "corr")
+    def build(pairs):
+        wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
+        return wide.select(F.inline(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{k}").alias("corr"))
+                                              for k, (a, b) in enumerate(pairs)])))
+
+    return _in_parts(df, list(itertools.combinations(cols, 2)), BUFFER_COLUMNS // 6, build)

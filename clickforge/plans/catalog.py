@@ -145,9 +145,13 @@ def q_masked_card(spark, d):
             .groupBy("feature").agg(F.countDistinct("value").alias("cardinality"))
 
 
+#: Bins of each numeric column's histogram.
+HIST_BINS = {"n01": 50, "n02": 12, "n03": 10, "n04": 7, "n05": 1000, "n06": 25, "n07": 5000, "n08": 400, "n09": 50}
+
+
 @register("equal_width_histogram")
 def q_hist(spark, d):
-    return rounded(prof.equal_width_histogram(Prepared(spark, d).train, NUM, bins=10))
+    return rounded(prof.equal_width_histogram(Prepared(spark, d).train, NUM, bins=HIST_BINS))
 
 
 @register("numeric_frequencies")
@@ -526,6 +530,43 @@ def q_tsv(spark, d):
     return rounded(files.read_tsv(spark, path, _IMP_SCHEMA, header=True))
 
 
+@register("import_headerless")
+def q_import(spark, d):
+    """Headerless TSV with an explicit schema imported to Parquet once; a second call reuses it."""
+    src, dest = scratch_path(spark, "import-src"), scratch_path(spark, "import-dest")
+    files.write_tsv(Prepared(spark, d).whole.select(*_IMP_SCHEMA.names), src, header=False)
+    files.import_tsv(spark, src, dest, _IMP_SCHEMA)
+    return rounded(files.import_tsv(spark, src, dest, _IMP_SCHEMA))
+
+
+@register("malformed_fields")
+def q_malformed(spark, d):
+    """The export read with brands and nations declared as numbers: fields that do not fit, per column."""
+    from pyspark.sql.types import StructField, StructType
+    path = scratch_path(spark, "malformed")
+    files.write_tsv(Prepared(spark, d).whole.select(*_IMP_SCHEMA.names), path, header=False)
+    wrong = StructType([StructField(f.name, DoubleType(), True) if f.name in ("c03", "c07") else f for f in _IMP_SCHEMA.fields])
+    return files.malformed_fields(spark, path, wrong)
+
+
+@register("impute_median")
+def q_impute_median(spark, d):
+    """Spark ML ``Imputer`` with the median strategy on columns that hold NULLs (N10); error 0: an actual value."""
+    p = Prepared(spark, d)
+    model = num.imputer(NUM, "median", relative_error=0.0).fit(p.train)
+    return rounded(model.transform(p.imp).select(ID, "subset", *[f"{c}_imp" for c in NUM]))
+
+
+@register("centred_scale")
+def q_centred(spark, d):
+    """Imputer(mean) -> StandardScaler with mean and deviation (E13), fit on train."""
+    from pyspark.ml.functions import vector_to_array
+    p = Prepared(spark, d)
+    model = num.unit_variance_pipeline(NUM, strategy="mean", with_mean=True).fit(p.train)
+    arr = vector_to_array(F.col("scaled_features"))
+    return rounded(model.transform(p.imp).select(ID, "subset", *[arr[i].alias(f"{c}_cs") for i, c in enumerate(NUM)]))
+
+
 @register("raw_field_profile")
 def q_raw_profile(spark, d):
     """Headerless TSV export profiled as raw text: rows, empty fields, distinct values per field."""

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, field
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickforge.operators import category as cat
 from clickforge.operators import numeric as num
-from clickforge.session import ensure_checkpoint_dir, scratch_path
+from clickforge.session import stable_root
 from clickforge.sources import files
 from clickforge.sources import fixture as fx
 
@@ -53,13 +55,12 @@ def _compute_key(spark: SparkSession, sf_dir: str) -> str:
 def import_path(spark: SparkSession, sf_dir: str) -> str:
     """S1 + P1 + S11: the fixture imported once as Parquet partitioned by ``subset``.
 
-    Written under the session's shared checkpoint folder, keyed by the sources' content,
+    Written under the shared checkpoint folder, keyed by the sources' content and the code,
     and reused while complete (``_SUCCESS``); an interrupted import is left alone and the
     next attempt writes a fresh folder. Later passes read pruned columns instead of
     re-running the joins, ``subset = 'train'`` prunes partitions, and lineage stops here.
     """
-    store = files.StepStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickforge-import/"
-                                   f"{_source_key(spark, sf_dir)}")
+    store = files.StepStore(spark, import_root(spark, sf_dir))
     done = store.resolve("whole")
     if done is not None:
         return done
@@ -70,7 +71,19 @@ def import_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def import_root(spark: SparkSession, sf_dir: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickforge-import/{_source_key(spark, sf_dir)}"
+    """Where a source's import and fitted steps live: by the sources' content and by this code, so neither a
+    changed table nor a changed rule, threshold or operator is ever served an older fit."""
+    return f"{stable_root(spark)}/clickforge-import/{_source_key(spark, sf_dir)}-{_code_version()}"
+
+
+@lru_cache(1)
+def _code_version() -> str:
+    digest = hashlib.md5()
+    package = Path(__file__).resolve().parents[1]
+    for part in ("functions", "operators", "plans", "sources"):
+        for file in sorted((package / part).glob("*.py")):
+            digest.update(file.read_bytes())
+    return digest.hexdigest()[:12]
 
 
 @dataclass
@@ -117,14 +130,6 @@ class Prepared:
             return self.spark.read.parquet(done)
         return self._memo(("step", name), run)
 
-    def written(self, df: DataFrame, name: str) -> DataFrame:
-        """Write an intermediate table to a fresh scratch folder and scan it back (cuts lineage)."""
-        if not self.materialize:
-            return df
-        path = scratch_path(self.spark, name)
-        df.write.mode("errorifexists").parquet(path)
-        return self.spark.read.parquet(path)
-
     def subset(self, name: str) -> DataFrame:
         return self.imp.filter(F.col("subset") == name).drop("subset")
 

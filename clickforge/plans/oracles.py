@@ -170,13 +170,14 @@ q("threshold_cardinality", PRE + f", filled AS ({filled_cte()})\n, f AS ({cat_fr
 q("masked_cardinality", PRE + index_ctes() + "SELECT feature, count(DISTINCT value) AS cardinality FROM ("
   + unnest_long("(SELECT * FROM masked WHERE subset = 'train')", CAT, []) + ") GROUP BY feature")
 
-_bounds = union_all([f"SELECT '{c}' AS feature, min({c}) AS lo, max({c}) AS hi FROM train" for c in NUM])
+HIST_BINS = {"n01": 50, "n02": 12, "n03": 10, "n04": 7, "n05": 1000, "n06": 25, "n07": 5000, "n08": 400, "n09": 50}
+_bounds = union_all([f"SELECT '{c}' AS feature, {HIST_BINS[c]} AS n, min({c}) AS lo, max({c}) AS hi FROM train" for c in NUM])
 q("equal_width_histogram", PRE + f", bounds AS ({_bounds})\n, lv AS ({unnest_long('train', NUM, [], 'DOUBLE')})\n"
-  ", cnt AS (SELECT feature, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) / (hi - lo) * 10), 9) END "
+  ", cnt AS (SELECT feature, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) / (hi - lo) * n), n - 1) END "
   "AS INTEGER) AS bin, count(*) AS count FROM lv JOIN bounds USING (feature) WHERE value IS NOT NULL GROUP BY 1, 2)\n"
-  ", grid AS (SELECT feature, lo, hi, CAST(unnest(range(0, 10)) AS INTEGER) AS bin FROM bounds WHERE lo IS NOT NULL)\n"
-  f"SELECT feature, bin, {R('lo + (hi - lo) / 10 * bin')} AS lower, "
-  f"{R('CASE WHEN bin = 9 THEN hi ELSE lo + (hi - lo) / 10 * (bin + 1) END')} AS upper, "
+  ", grid AS (SELECT feature, n, lo, hi, CAST(unnest(range(0, n)) AS INTEGER) AS bin FROM bounds WHERE lo IS NOT NULL)\n"
+  f"SELECT feature, bin, {R('lo + (hi - lo) / n * bin')} AS lower, "
+  f"{R('CASE WHEN bin = n - 1 THEN hi ELSE lo + (hi - lo) / n * (bin + 1) END')} AS upper, "
   "CAST(coalesce(count, 0) AS BIGINT) AS count FROM grid LEFT JOIN cnt USING (feature, bin)")
 
 q("numeric_frequencies", PRE + f", st AS ({stats_long()})\n, g AS (SELECT feature, value, count(*) AS count FROM ("
@@ -503,6 +504,16 @@ q("reshuffled", PRE + "SELECT count(*) AS rows, count(DISTINCT imp_id) AS ids, C
 q("feature_hash", PRE + f"SELECT imp_id, CAST({len(CAT)} AS DOUBLE) AS total, true AS counts, true AS in_width FROM impressions")
 
 
+_INTS = ("label", fx.NOISE_LABEL)
+q("import_headerless", ORACLES["tsv_round_trip"])
+q("malformed_fields", PRE + union_all(
+    [f"SELECT '{c}' AS field, CAST(" + (f"count({c})" if c in ("c03", "c07") else "count(*) FILTER (false)") + " AS BIGINT) AS malformed FROM impressions"
+     for c in [ID, *_INTS, *NUM, *CAT]]))
+q("impute_median", PRE + ", s AS (SELECT " + ", ".join(f"quantile_disc({c}, 0.5) AS m_{c}" for c in NUM) + " FROM train)\n"
+  "SELECT imp_id, subset, " + ", ".join(f"{R(f'coalesce({c}, m_{c})')} AS {c}_imp" for c in NUM) + " FROM imp, s")
+q("centred_scale", PRE + ", m AS (SELECT " + ", ".join(f"avg({c}) AS a_{c}" for c in NUM) + " FROM train)\n, s AS (SELECT "
+  + ", ".join(f"avg(coalesce({c}, a_{c})) AS m_{c}, stddev_samp(coalesce({c}, a_{c})) AS d_{c}" for c in NUM) + " FROM train, m)\n"
+  "SELECT imp_id, subset, " + ", ".join(f"{R(f'(coalesce({c}, a_{c}) - m_{c}) / d_{c}')} AS {c}_cs" for c in NUM) + " FROM imp, m, s")
 q("resumable_step", ORACLES["mask_uncommon"])
 q("model_round_trip", PRE + "SELECT imp_id, true AS same FROM impressions")
 q("libsvm_round_trip", PRE + index_ctes() + _STDM + ", kk AS (SELECT count(*) AS k FROM sidx)\n"

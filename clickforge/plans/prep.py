@@ -59,14 +59,7 @@ class FeaturePrep:
 
     def _model(self, name: str, fit) -> PipelineModel:
         """A fitted stage: load the latest attempt marked done, else fit, save, mark."""
-        attempts = self.store._attempts(self.store.base("model", name))
-        done = [p for p in attempts[:-1] if files.is_marked(self.spark, p)]
-        if not done:
-            path = attempts[-1]
-            fit().write().save(path)
-            files.mark_done(self.spark, path)
-            done = [path]
-        return PipelineModel.load(done[-1])
+        return PipelineModel.load(self.store.fitted(name, lambda path: fit().write().save(path)))
 
     def _each(self, step: str, input_step: str, build) -> str:
         for sub in SUBSETS:
@@ -76,9 +69,13 @@ class FeaturePrep:
     # -- steps -----------------------------------------------------------------------------------
     def split(self, whole: DataFrame) -> str:
         """Hash split written as three subsets (skipped when complete)."""
-        tagged = spl.hash_split(whole, self.cfg.key, self.cfg.seed)
-        for sub in SUBSETS:
-            if self.store.resolve(sub) is None:
+        missing = [sub for sub in SUBSETS if self.store.resolve(sub) is None]
+        if missing:
+            # one pass writes all subsets, a folder each; the three steps read their own folder
+            path = self.store.fresh("split")
+            spl.hash_split(whole, self.cfg.key, self.cfg.seed).write.mode("errorifexists").partitionBy("subset").parquet(path)
+            tagged = self.store.spark.read.parquet(path)
+            for sub in missing:
                 self.store.write(tagged.filter(F.col("subset") == sub).drop("subset"), sub)
         return ""
 

@@ -56,6 +56,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def stable_root(spark: SparkSession) -> str:
+    """The configured shared folder itself (a session's checkpoint folder is a new one inside it each time)."""
+    own = ensure_checkpoint_dir(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (root or own).rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for materialised steps."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

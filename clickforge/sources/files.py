@@ -62,6 +62,15 @@ def import_tsv(spark: SparkSession, src: str, dest: str, schema: StructType, hea
     return spark.read.parquet(dest)
 
 
+def malformed_fields(spark: SparkSession, path: str, schema: StructType, header: bool = False) -> DataFrame:
+    """(field, malformed): non-empty fields of a TSV that the schema's type cannot hold (they read as NULL)."""
+    raw = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+    text = read_tsv(spark, path, raw, header)
+    counts = text.agg(*[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name)
+                        for f in schema.fields])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("field"), F.col(f.name).alias("malformed")) for f in schema.fields])))
+
+
 def raw_field_profile(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """Raw-file profile: per field position rows, empty fields and distinct values."""
     lines = spark.read.text(path)
@@ -82,8 +91,8 @@ def field_counts(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
 class StepStore:
     """Materialised pipeline steps named by breadcrumbs: ``<subset>.parquet.<step>.<step>``.
 
-    ``write`` is create-only. ``run`` skips a step whose output is complete, refits
-    when a required model artifact is missing, and never overwrites: a partial
+    ``write`` is create-only. ``run`` skips a step whose output is complete, ``fitted``
+    refits a model that is missing or incomplete; neither overwrites: a partial
     output (no ``_SUCCESS``) is left alone and the new attempt goes to ``@<n>``.
     Written steps also cut the lineage of long plans (executor loss recomputes from
     the last written step, not from the raw input).
@@ -120,17 +129,27 @@ class StepStore:
         return self.spark.read.parquet(p)
 
     def write(self, df: DataFrame, subset: str, step: str = "") -> str:
-        """Create-only write (errors if that exact folder exists)."""
+        """Create-only write: a fresh attempt folder, never over an existing one."""
         p = self.fresh(subset, step)
         df.write.mode("errorifexists").parquet(p)
         return p
 
-    def run(self, subset: str, step: str, build: Callable[[DataFrame], DataFrame], input_step: str = "",
-            model_path: str | None = None, fit: Callable[[DataFrame], None] | None = None) -> tuple[DataFrame, bool]:
-        """Returns (output, ran). Skips when complete; (re)fits when ``model_path`` is missing."""
+    def fitted(self, name: str, fit: Callable[[str], None]) -> str:
+        """The folder of a fitted model: the latest attempt marked done, else ``fit(path)`` into a fresh one.
+
+        A model folder counts only with its ``_DONE`` marker, so one left half written is fitted anew.
+        """
+        attempts = self._attempts(self.base("model", name))
+        done = [p for p in attempts[:-1] if is_marked(self.spark, p)]
+        if done:
+            return done[-1]
+        fit(attempts[-1])
+        mark_done(self.spark, attempts[-1])
+        return attempts[-1]
+
+    def run(self, subset: str, step: str, build: Callable[[DataFrame], DataFrame], input_step: str = "") -> tuple[DataFrame, bool]:
+        """Returns (output, ran). Skips when complete."""
         src = self.read(subset, input_step)
-        if fit is not None and model_path is not None and not path_exists(self.spark, model_path):
-            fit(src)
         out_step = f"{input_step}.{step}".strip(".")
         done = self.resolve(subset, out_step)
         if done is not None:
