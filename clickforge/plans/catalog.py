@@ -827,6 +827,28 @@ def q_svm_sweep(spark, d):
     return rounded(out)
 
 
+def _packed_points(p: Prepared):
+    packed = crs.pack(p.encoded(), ["std_features", "cat_features"], Y, keep=[ID, "subset"])
+    return svm.vector_points(packed, Y, keep=[ID, "subset"]), crs.vector_width(packed, "features")
+
+
+@register("svm_packed_steps")
+def q_svm_packed(spark, d):
+    """Two SVM steps on the packed sparse vectors of train (M7c, M7d, E16): every weight of both."""
+    pts, width = _packed_points(Prepared(spark, d))
+    hist = svm.vector_descent(pts.filter(F.col("subset") == "train"), width, steps=2)
+    return rounded(_weights_frame(spark, [(h["step"], h["weights"]) for h in hist]))
+
+
+@register("svm_packed_loss")
+def q_svm_packed_loss(spark, d):
+    """Hinge loss and predicted clicks per subset under the weights of one packed step (M7b, M7e)."""
+    pts, width = _packed_points(Prepared(spark, d))
+    w = svm.vector_descent(pts.filter(F.col("subset") == "train"), width, steps=1)[-1]["weights"]
+    clicks = svm.vector_predict(pts, w, keep=["subset"]).groupBy("subset").agg(F.count_if(F.col("prediction") == 1).alias("clicks"))
+    return rounded(svm.vector_hinge_loss(pts, w, by=["subset"]).join(clicks, "subset"))
+
+
 @register("sgd_svm_auc")
 def q_sgd_svm(spark, d):
     """Spark's SGD SVM, 1,000 iterations at most, regParam 0.01; AUC of its margins (M6, V1)."""

@@ -504,6 +504,29 @@ q("reshuffled", PRE + "SELECT count(*) AS rows, count(DISTINCT imp_id) AS ids, C
 q("feature_hash", PRE + f"SELECT imp_id, CAST({len(CAT)} AS DOUBLE) AS total, true AS counts, true AS in_width FROM impressions")
 
 
+def _packed_svm_sql(steps: int, lr: float = 0.1, reg: float = 0.1) -> str:
+    """Entries of the packed vectors (place 0: bias) and ``steps`` descent steps on train as weight tables w0, w1, ..."""
+    vals = ", ".join(f"{c}_std" for c in NUM)
+    out = (PRE + index_ctes() + _STDM + ", kk AS (SELECT count(*) AS k FROM sidx)\n"
+           ", yy AS (SELECT imp_id, subset, CASE WHEN label = 0 THEN -1 ELSE 1 END AS y FROM imp)\n"
+           f", ent AS (SELECT imp_id, 0 AS i, 1.0 AS v FROM yy\n UNION ALL SELECT imp_id, unnest(range(1, {len(NUM) + 1})), unnest([{vals}]) FROM sm\n"
+           f" UNION ALL SELECT imp_id, {len(NUM) + 1} + gidx, 1.0 FROM ({unnest_long('sm', CAT, ['imp_id'])}) JOIN gidx USING (feature, value))\n"
+           ", n AS (SELECT count(*) AS n, avg(y) AS mean_y FROM yy WHERE subset = 'train')\n"
+           f", w0 AS (SELECT i, CASE WHEN i = 0 THEN mean_y ELSE 0.0 END AS w FROM (SELECT unnest(range(0, {len(NUM) + 1} + k)) AS i FROM kk), n)\n")
+    for s in range(steps):
+        out += (f", m{s} AS MATERIALIZED (SELECT imp_id, any_value(y) AS y, any_value(subset) AS subset, sum(v * w) AS m FROM ent JOIN w{s} USING (i) "
+                "JOIN yy USING (imp_id) GROUP BY imp_id)\n"
+                f", g{s} AS (SELECT i, sum(y * v) AS g FROM ent JOIN m{s} USING (imp_id) WHERE subset = 'train' AND y * m < 1 GROUP BY i)\n"
+                f", w{s + 1} AS MATERIALIZED (SELECT i, w - {lr} * (-coalesce(g, 0.0) / n + CASE WHEN i = 0 THEN 0.0 ELSE {reg} * w END) AS w "
+                f"FROM w{s} LEFT JOIN g{s} USING (i), n)\n")
+    return out
+
+
+q("svm_packed_steps", _packed_svm_sql(2) + union_all(
+    [f"SELECT {s} AS step, CAST(i AS INTEGER) AS idx, {R('w')} AS weight FROM w{s}" for s in (1, 2)]))
+q("svm_packed_loss", _packed_svm_sql(1) + ", last AS (SELECT imp_id, sum(v * w) AS m FROM ent JOIN w1 USING (i) GROUP BY imp_id)\n"
+  f"SELECT subset, {R('avg(greatest(0.0, 1 - y * m))')} AS hinge_loss, count(*) FILTER (WHERE m >= 0) AS clicks "
+  "FROM last JOIN yy USING (imp_id) GROUP BY subset")
 _INTS = ("label", fx.NOISE_LABEL)
 q("import_headerless", ORACLES["tsv_round_trip"])
 q("malformed_fields", PRE + union_all(

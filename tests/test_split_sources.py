@@ -91,3 +91,60 @@ def test_import_is_keyed_by_source_and_reused(spark, sf):
     assert import_path(spark, sf) == a                      # complete import is reused
     assert files.is_complete(spark, a)
     assert import_root(spark, sf) != import_root(spark, "/root/testdata/sf0.01")
+
+
+def test_small_rates_and_ratios_keep_rows(spark):
+    df = spark.range(200_000).selectExpr("id as k", "cast(id < 5 as int) as label")
+    kept = spl.undersample_hash(df, "k", rate=1e-3)
+    n = kept.filter("label = 0").count()
+    assert kept.filter("label = 1").count() == 5 and 120 < n < 290
+    assert spl.undersample_hash(df, "k").filter("label = 0").count() >= 0  # 5 / 199,995: no error, no rounding to a bucket
+    assert spl.hash_sample_threshold(2.5e-5) > 0
+    parts = {r["subset"]: r["rows"] for r in spl.split_counts(spl.hash_split(df, "k", 3, (0.995, 0.004, 0.001))).collect()}
+    assert sum(parts.values()) == 200_000 and 600 < parts["tests"] < 1000 and 120 < parts["valid"] < 290
+    import pytest
+    with pytest.raises(ValueError):
+        spl.hash_split(df, "k", 3, (0.9, 0.2))
+
+
+def test_reshuffle_keeps_rows_and_changes_order(spark):
+    df = spark.range(5000).selectExpr("id as k")
+    got = [r["k"] for r in spl.reshuffle(df, 1).collect()]
+    assert sorted(got) == list(range(5000)) and got != sorted(got)
+    ups = sum(a < b for a, b in zip(got, got[1:]))
+    assert 2200 < ups < 2800
+
+
+def test_a_half_written_model_is_fitted_again(spark, tmp_path):
+    import os
+
+    from clickforge.sources import files
+    store = files.StepStore(spark, str(tmp_path))
+    os.makedirs(f"{tmp_path}/model.parquet.m/metadata")
+    calls = []
+
+    def fit(path):
+        calls.append(path)
+        os.makedirs(path)
+
+    first = store.fitted("m", fit)
+    assert first.endswith("@1") and store.fitted("m", fit) == first and len(calls) == 1
+
+
+def test_import_folder_is_stable_and_follows_the_code(spark, sf, monkeypatch):
+    from clickforge.plans import fixture_plan as plan
+    monkeypatch.setattr(plan, "stable_root", lambda s: "/shared")
+    one = plan.import_root(spark, sf)
+    assert one == plan.import_root(spark, sf) and one.startswith("/shared/clickforge-import/")
+    monkeypatch.setattr(plan, "_code_version", lambda: "other")
+    assert plan.import_root(spark, sf) != one
+
+
+def test_malformed_fields(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from clickforge.sources import files
+    path = tmp_path / "x.tsv"
+    path.write_text("1\ta\n\tb\nq\tc\n")
+    schema = StructType([StructField("n", IntegerType()), StructField("s", StringType())])
+    assert {r["field"]: r["malformed"] for r in files.malformed_fields(spark, str(path), schema).collect()} == {"n": 1, "s": 0}
