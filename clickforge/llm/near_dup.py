@@ -206,6 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row = feats.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_1")).alias("set_1"),
                        F.when(F.col("n_shingles") > 0, F.col("set_2")).alias("set_2"))
     row = row.join(classes, ["set_1", "set_2"], "left")
-    out = row.join(final, "node", "left").withColumn("component_id", F.coalesce("component", "node", "doc_id"))
+    out = row.join(final, "node", "left").withColumn(
+        "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id",
                       F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
