@@ -17,12 +17,11 @@ from pyspark.sql import Window
 
 from clickforge.functions.scalar import SENTINEL_NULL, SENTINEL_RARE
 from clickforge.session import ensure_checkpoint_dir
-from clickforge.operators.joins import BROADCAST_ROWS, join_bounded
+from clickforge.operators.joins import BROADCAST_BYTES, join_bounded
 from clickforge.operators.profile import category_frequencies, unpivot
 
 SALT_BUCKETS = 64
-#: Bytes of frequent values that one masking plan may broadcast in all, and what a value costs beside its text.
-BROADCAST_BYTES = 64 << 20
+#: What a broadcast value costs beside its text.
 VALUE_OVERHEAD = 48
 
 
@@ -118,7 +117,7 @@ def feature_offsets(index: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def one_hot_long(df: DataFrame, cols: list[str], index: DataFrame, ids: list[str],
-                 broadcast_rows: int = BROADCAST_ROWS, hot_keys: DataFrame | None = None) -> DataFrame:
+                 broadcast_bytes: int = BROADCAST_BYTES, hot_keys: DataFrame | None = None) -> DataFrame:
     """Sparse one-hot in long form: (ids..., feature, idx, gidx) with gidx = offset + idx.
 
     Values unseen in the index get no entry (the all-zero block of ``handleInvalid='keep'``
@@ -131,7 +130,7 @@ def one_hot_long(df: DataFrame, cols: list[str], index: DataFrame, ids: list[str
         offs = feature_offsets(index, cols)
         table = index.join(F.broadcast(offs), "feature").select(
             "feature", "value", "idx", (F.col("offset") + F.col("idx")).alias("gidx"))
-    long = join_bounded(unpivot(df, cols, ids=ids), table, ["feature", "value"], limit=broadcast_rows,
+    long = join_bounded(unpivot(df, cols, ids=ids), table, ["feature", "value"], broadcast_bytes=broadcast_bytes,
                         hot_keys=hot_keys)
     return long.select(*ids, "feature", "idx", "gidx")
 

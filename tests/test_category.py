@@ -94,7 +94,7 @@ def test_salted_one_hot_join_equals_broadcast(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got_df = cat.one_hot_long(df, ["c1"], idx, ["id"], broadcast_rows=0, hot_keys=hot)
+        got_df = cat.one_hot_long(df, ["c1"], idx, ["id"], broadcast_bytes=0, hot_keys=hot)
         got = {tuple(r) for r in got_df.collect()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
