@@ -21,10 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickforge.llm.common import id_and_text, keep, text_runs
+from clickforge.llm.common import CHUNKS, Bits, id_and_text, keep, maybe_in, merge_chunk, pack_chunk, text_runs
 
 FILTER_BITS = 1 << 27
-CHUNKS = 64
 MIN_CHARS = 10
 SPACES = b" \t\n\v\f\r"
 
@@ -48,45 +47,6 @@ def _run_keys(raw: np.ndarray, offsets: np.ndarray, min_chars: int) -> tuple[lis
     return keys, np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys)), np.array(counts)
 
 
-class Bits:
-    """A Bloom filter of two probes over a byte array."""
-
-    def __init__(self, bits: int, data: np.ndarray | None = None):
-        self.mask = np.uint64(bits - 1)
-        self.data = np.zeros(bits // 8, np.uint8) if data is None else data
-
-    def probes(self, hashes: np.ndarray):
-        for p in (hashes & self.mask, (hashes >> np.uint64(31)) & self.mask):
-            yield (p >> np.uint64(3)).astype(np.int64), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8)
-
-    def add(self, hashes: np.ndarray) -> None:
-        for at, bit in self.probes(hashes):
-            np.bitwise_or.at(self.data, at, bit)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for at, bit in self.probes(hashes):
-            found &= (self.data[at] & bit) != 0
-        return found
-
-
-def _pack(chunk: np.ndarray) -> bytes:
-    """The bytes that are not zero with their places, or the whole chunk where that is shorter."""
-    at = np.flatnonzero(chunk)
-    if len(at) * 5 >= len(chunk):
-        return chunk.tobytes()
-    return at.astype(np.uint32).tobytes() + chunk[at].tobytes()
-
-
-def _merge(into: np.ndarray, packed: bytes) -> tuple[np.ndarray | slice, np.ndarray]:
-    """Places and bytes of a packed chunk."""
-    data = np.frombuffer(packed, np.uint8)
-    if len(data) == len(into):
-        return slice(None), data
-    n = len(data) // 5
-    return np.frombuffer(packed, np.uint32, n), data[4 * n:]
-
-
 def _task_filters(bits: int, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = Bits(bits), Bits(bits)
@@ -99,8 +59,8 @@ def _task_filters(bits: int, min_chars: int):
         for c in range(CHUNKS):
             part = once.data[c * size: (c + 1) * size]
             if part.any():
-                yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "once": [_pack(part)],
-                                                  "twice": [_pack(twice.data[c * size: (c + 1) * size])]})
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "once": [pack_chunk(part)],
+                                                  "twice": [pack_chunk(twice.data[c * size: (c + 1) * size])]})
     return run
 
 
@@ -113,10 +73,10 @@ def _merged_filters(bits: int):
                 c = row["chunk"]
                 for d in (once, twice):
                     d.setdefault(c, np.zeros(bits // 8 // CHUNKS, np.uint8))
-                at, new = _merge(once[c], row["once"])
+                at, new = merge_chunk(once[c], row["once"])
                 twice[c][at] |= once[c][at] & new
                 once[c][at] |= new
-                at, new = _merge(twice[c], row["twice"])
+                at, new = merge_chunk(twice[c], row["twice"])
                 twice[c][at] |= new
         for c, data in twice.items():
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "bits": [data.tobytes()]})
@@ -175,7 +135,15 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row that repeats that doc_id). A null text counts as one empty line and stays null; an empty text is one
     empty line. Rows with a null doc_id are left alone and count nowhere. Other columns pass through.
     """
-    gone = repeated_lines(docs, id_col, text_col).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("line").alias("__gone"))
-    out = docs.join(gone, docs[id_col].cast("long") == gone["__doc"], "left")
-    out = out.withColumn("lines", _rebuild(docs[text_col], F.col("__gone")))
+    gone = keep(repeated_lines(docs, id_col, text_col).groupBy(F.col("doc_id").alias("__doc"))
+                .agg(F.collect_list("line").alias("__gone")), "line-drops")
+    own = docs[id_col].cast("long")
+    maybe = maybe_in(gone.select("__doc"))
+    if maybe is None:
+        out = docs.join(gone, own == gone["__doc"], "left")
+    else:  # only documents that lose lines, and a few more, are shuffled to meet their lists
+        flag = F.coalesce(maybe(own), F.lit(False))
+        rest = docs.where(~flag).withColumn("__doc", F.lit(None).cast("long")).withColumn("__gone", F.lit(None).cast("array<binary>"))
+        out = docs.where(flag).join(gone, own == gone["__doc"], "left").unionByName(rest)
+    out = out.withColumn("lines", _rebuild(F.col(text_col), F.col("__gone")))
     return out.withColumn(text_col, F.col("lines.text")).drop("__doc", "__gone")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clickforge.llm.common import keep, load
 from clickforge.llm.decontam import without_leaks
 from clickforge.llm.line_dedup import drop_repeated_lines
-from clickforge.llm.near_dup import near_duplicates
+from clickforge.llm.near_dup import without_near_duplicates
 from clickforge.llm.packing import pack_documents
 from clickforge.llm.quality import quality_rules
 
@@ -32,8 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
