@@ -68,15 +68,11 @@ class FeaturePrep:
 
     # -- steps -----------------------------------------------------------------------------------
     def split(self, whole: DataFrame) -> str:
-        """Hash split written as three subsets (skipped when complete)."""
-        missing = [sub for sub in SUBSETS if self.store.resolve(sub) is None]
-        if missing:
-            # one pass writes all subsets, a folder each; the three steps read their own folder
+        """Hash split written once, partitioned by subset (skipped when complete)."""
+        if self.store.resolve("split") is None:
             path = self.store.fresh("split")
             spl.hash_split(whole, self.cfg.key, self.cfg.seed).write.mode("errorifexists").partitionBy("subset").parquet(path)
-            tagged = self.store.spark.read.parquet(path)
-            for sub in missing:
-                self.store.write(tagged.filter(F.col("subset") == sub).drop("subset"), sub)
+        self.store.whole = self.store.resolve("split")
         return ""
 
     def run(self, whole: DataFrame) -> dict[str, DataFrame]:

@@ -100,6 +100,8 @@ class StepStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        #: one table partitioned by ``subset`` that stands for the subsets' first step
+        self.whole: str | None = None
 
     def base(self, subset: str, step: str = "") -> str:
         return f"{self.root}/{subset}.parquet.{step}".rstrip(".")
@@ -123,6 +125,8 @@ class StepStore:
 
     def read(self, subset: str, step: str = "") -> DataFrame:
         """S3: Parquet scan of a subset at a step."""
+        if self.whole and not step:
+            return self.spark.read.parquet(self.whole).filter(F.col("subset") == subset).drop("subset")
         p = self.resolve(subset, step)
         if p is None:
             raise FileNotFoundError(self.base(subset, step))
