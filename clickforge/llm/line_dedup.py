@@ -108,7 +108,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     twice = docs.sparkSession.sparkContext.broadcast(bytes(whole))
     suspects = keep(text.mapInArrow(_suspects(twice, filter_bits, min_chars), "doc_id long, line binary"), "line-suspects")
     firsts = suspects.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    return suspects.join(firsts.drop("last"), "line").where("doc_id > first").select("doc_id", "line").distinct()
+    firsts = keep(firsts.drop("last"), "line-firsts")  # so that Spark can split a very common line in the join
+    return suspects.join(firsts, "line").where("doc_id > first").select("doc_id", "line").distinct()
 
 
 _REBUILT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])

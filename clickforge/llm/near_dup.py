@@ -156,7 +156,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = id_and_text(docs, id_col, text_col)
     feats = keep(text.mapInArrow(_features, FEATURES), "near-features")
     real = feats.where("n_shingles > 0 and doc_id is not null")
-    classes = real.groupBy("set_1", "set_2").agg(F.min("doc_id").alias("node"))
+    # kept, so that Spark can split the rows of a set that very many documents share when it joins them back
+    classes = keep(real.groupBy("set_1", "set_2").agg(F.min("doc_id").alias("node")), "near-sets-seen")
     reps = keep(real.join(classes, (real.set_1 == classes.set_1) & (real.set_2 == classes.set_2) & (real.doc_id == classes.node))
                 .select("node", "odd", "bands").dropDuplicates(["node", "odd"]), "near-classes")
 
