@@ -870,8 +870,14 @@ def q_impute_mean(spark, d):
 
 @register("approx_measurements")
 def q_approx_measure(spark, d):
-    """The reference's sketch median (relativeError 0.005) next to the statistics table (A4, rows-only)."""
-    return rounded(prof.numeric_measurements(Prepared(spark, d).train, NUM, exact=False))
+    """The sketch median (A4, relative error 0.005): whether its rank on train is within the promised error."""
+    train = Prepared(spark, d).train
+    median = {r["feature"]: r["median"] for r in prof.numeric_measurements(train, NUM, exact=False).collect()}
+    counts = train.agg(*[e for c in NUM for e in (
+        F.count(c).alias(f"n_{c}"), F.count_if(F.col(c) < median[c]).alias(f"a_{c}"), F.count_if(F.col(c) <= median[c]).alias(f"b_{c}"))])
+    within = lambda c: (F.col(f"a_{c}") <= 0.505 * F.col(f"n_{c}") + 1) & (F.col(f"b_{c}") >= 0.495 * F.col(f"n_{c}") - 1)
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n_{c}").alias("count"),
+                                                     within(c).alias("rank_ok")) for c in NUM])))
 
 
 @register("chi2_selector_picks")

@@ -497,6 +497,7 @@ q("random_split", PRE + "SELECT unnest([0, 1, 2]) AS part, n AS source_rows, i A
 q("bernoulli_sample", PRE + "SELECT count(*) AS source_rows, true AS share_ok, CAST(0 AS BIGINT) AS unknown, CAST(0 AS BIGINT) AS repeated FROM impressions")
 q("null_free_toy", PRE + "SELECT count(*) AS source_rows, true AS share_ok, CAST(0 AS BIGINT) AS unknown, CAST(0 AS BIGINT) AS repeated "
   "FROM impressions WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in FEATURES))
+q("approx_measurements", PRE + union_all([f"SELECT '{c}' AS feature, count({c}) AS count, true AS rank_ok FROM train" for c in NUM]))
 q("oversample_random", PRE + "SELECT label, count(*) AS source_rows, count(DISTINCT imp_id) AS ids, true AS even FROM train GROUP BY label")
 q("undersample_random", PRE + "SELECT label, count(*) AS source_rows, true AS share_ok FROM train GROUP BY label")
 q("reshuffled", PRE + "SELECT count(*) AS rows, count(DISTINCT imp_id) AS ids, CAST(sum(CAST(trunc(n05 * 100) AS BIGINT)) AS BIGINT) AS mass, "
