@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickforge.session import scratch_path
 
@@ -117,8 +116,6 @@ def as_long(a: np.ndarray) -> pa.Array:
 
 #: Parts in which a filter travels and merges.
 CHUNKS = 64
-#: Bits of the filter of document ids; more than an eighth as many ids are joined by a shuffle instead.
-ID_FILTER_BITS = 1 << 26
 
 
 class Bits:
@@ -160,43 +157,6 @@ def merge_chunk(into: np.ndarray, packed: bytes) -> tuple[np.ndarray | slice, np
     return np.frombuffer(packed, np.uint32, n), data[4 * n:]
 
 
-def _task_bits(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Bits(bits)
-        for batch in batches:
-            own.add(mix64(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
-        size = bits // 8 // CHUNKS
-        for c in range(CHUNKS):
-            part = own.data[c * size: (c + 1) * size]
-            if part.any():
-                yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "bits": [pack_chunk(part)]})
-    return run
-
-
-def maybe_in(ids: DataFrame, bits: int = ID_FILTER_BITS):
-    """A test ``column -> boolean`` that holds for every id of the one-column ``ids`` and few others, or None.
-
-    The filter has a fixed size, which bounds the broadcast; None says that the ids are too many for it. Users
-    follow it with the exact join, or do not mind a few rows more, so results do not depend on it.
-    """
-    ids = ids.where(ids[ids.columns[0]].isNotNull())
-    if ids.count() * 8 > bits:
-        return None
-    whole, size = np.zeros(bits // 8, np.uint8), bits // 8 // CHUNKS
-    for row in ids.mapInArrow(_task_bits(bits), "chunk int, bits binary").toLocalIterator():
-        part = whole[row.chunk * size: (row.chunk + 1) * size]
-        at, new = merge_chunk(part, row.bits)
-        part[at] |= new
-    data = ids.sparkSession.sparkContext.broadcast(whole.tobytes())
-
-    @F.arrow_udf(T.BooleanType())
-    def test(column: pa.Array) -> pa.Array:
-        own = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        return pa.array(Bits(bits, np.frombuffer(data.value, np.uint8)).has(mix64(own)))
-
-    return test
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over the undirected ``edges`` (a, b).
 

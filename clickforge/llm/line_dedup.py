@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickforge.llm.common import CHUNKS, Bits, id_and_text, keep, maybe_in, merge_chunk, pack_chunk, text_runs
+from clickforge.llm.common import CHUNKS, Bits, id_and_text, keep, merge_chunk, pack_chunk, text_runs
 
 FILTER_BITS = 1 << 27
 MIN_CHARS = 10
@@ -136,15 +136,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row that repeats that doc_id). A null text counts as one empty line and stays null; an empty text is one
     empty line. Rows with a null doc_id are left alone and count nowhere. Other columns pass through.
     """
-    gone = keep(repeated_lines(docs, id_col, text_col).groupBy(F.col("doc_id").alias("__doc"))
-                .agg(F.collect_list("line").alias("__gone")), "line-drops")
-    own = docs[id_col].cast("long")
-    maybe = maybe_in(gone.select("__doc"))
-    if maybe is None:
-        out = docs.join(gone, own == gone["__doc"], "left")
-    else:  # only documents that lose lines, and a few more, are shuffled to meet their lists
-        flag = F.coalesce(maybe(own), F.lit(False))
-        rest = docs.where(~flag).withColumn("__doc", F.lit(None).cast("long")).withColumn("__gone", F.lit(None).cast("array<binary>"))
-        out = docs.where(flag).join(gone, own == gone["__doc"], "left").unionByName(rest)
-    out = out.withColumn("lines", _rebuild(F.col(text_col), F.col("__gone")))
+    gone = repeated_lines(docs, id_col, text_col).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("line").alias("__gone"))
+    out = docs.join(gone, docs[id_col].cast("long") == gone["__doc"], "left")
+    out = out.withColumn("lines", _rebuild(docs[text_col], F.col("__gone")))
     return out.withColumn(text_col, F.col("lines.text")).drop("__doc", "__gone")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickforge.llm.common import GOLDEN, components, id_and_text, keep, maybe_in, mix64, seeded, text_runs, word_hashes, word_spans
+from clickforge.llm.common import GOLDEN, components, id_and_text, keep, mix64, seeded, text_runs, word_hashes, word_spans
 
 WORDS = 5
 SAMPLES, BANDS, ROWS = 128, 32, 4
@@ -165,9 +165,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
     members = keep(buckets.join(shared.drop("last"), "bucket"), "near-buckets")
     sources = members.select("node").distinct()
-    maybe = maybe_in(sources)
-    near = text.join(sources, text.doc_id == sources.node, "left_semi") if maybe is None else text.where(maybe("doc_id"))
-    sets = keep(near.where("doc_id is not null").mapInArrow(_sets, "node long, shingles array<long>"), "near-sets")
+    # a sort-merge join at every size, so that small inputs show what large ones cost
+    near = text.join(sources.hint("merge"), text.doc_id == sources.node, "left_semi")
+    sets = keep(near.mapInArrow(_sets, "node long, shingles array<long>"), "near-sets")
     sketch = reps.join(sources, "node", "left_semi").select("node", "odd")
 
     star = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
@@ -217,10 +217,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, with their columns (a null doc_id stays)."""
-    gone = keep(near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id").distinct(), "near-gone")
-    own = docs[id_col].cast("long")
-    maybe = maybe_in(gone)
-    if maybe is None:
-        return docs.join(gone, own == gone.doc_id, "left_anti")
-    flag = F.coalesce(maybe(own), F.lit(False))
-    return docs.where(flag).join(gone, own == gone.doc_id, "left_anti").unionByName(docs.where(~flag))
+    gone = near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id").distinct()
+    return docs.join(gone.hint("merge"), docs[id_col].cast("long") == gone.doc_id, "left_anti")
