@@ -1,16 +1,19 @@
 """Quality rules: repetition rules and the divergence of a text from its language's profile.
 
 All in DataFrame expressions: one narrow projection per document, no shuffle, no Python. The references are one
-row per language (those of at least one in a hundred documents, so at most a hundred rows), summed over all
-documents in whole millionths, so they do not depend on the order of rows.
+row per language, summed over all documents in whole millionths, so they do not depend on the order of rows.
+Languages of at least one in a hundred documents (at most a hundred rows) are compared with every document; any
+rarer language is a row of a table joined by ``lang``, so its documents are also compared with their own reference.
 
-A document is rejected by the method when for every language its character classes or its common words lie
+A document is rejected by the method when for each of these languages its character classes or its common words lie
 further (Jensen-Shannon distance, base 2) from the reference than the limit for its length; short documents
 are not judged, since a histogram of few words says little.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +37,18 @@ MIN_WORDS, MAX_REPEAT_PERCENT, SPAN = 10, 20, 5
 #: (words, greatest distance of the character classes, of the common words), the longest guard that a text meets.
 LIMITS = ((50, 0.28, 0.40), (200, 0.22, 0.34))
 MILLION = 1_000_000
+#: From this share of the documents on, a language's reference is compared with documents of every language.
 MIN_LANG_SHARE = 0.01
 
 
+@dataclass
+class References:
+    """``common``: (language, character-class shares, common-word shares); ``rare``: the same as rows of ``_lang``, ``_rc``, ``_rw``."""
+
+    common: list[tuple[str, list[float], list[float]]]
+    rare: DataFrame | None
+
+
 def _count(text: Column, not_wanted: str) -> Column:
     """Code points left when runs of ``not_wanted`` are removed."""
     return F.length(F.regexp_replace(text, not_wanted, ""))
@@ -66,29 +78,36 @@ def with_histograms(df: DataFrame) -> DataFrame:
     return df.withColumn("_chars", chars).withColumn("_common", F.array(*common, F.col("n_words") - F.length("_c")))
 
 
-def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, list[float], list[float]]]:
-    """(language, character-class shares, common-word shares), the mean over its documents of at least 50 words."""
+def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
+    """Shares of every language, the mean over its documents of at least 50 words."""
     df = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text"))
     df = with_histograms(with_words(df, F.col("text")).where(f"lang is not null and n_words >= {LIMITS[0][0]}"))
-    sums = [F.sum(F.round(MILLION * F.col("_chars")[k] / F.length("_t")).cast("long")).alias(f"c{k}") for k in range(len(CLASSES))]
-    sums += [F.sum(F.round(MILLION * F.col("_common")[k] / F.col("n_words")).cast("long")).alias(f"w{k}") for k in range(len(COMMON) + 1)]
+    char_sums, word_sums = [f"c{k}" for k in range(len(CLASSES))], [f"w{k}" for k in range(len(COMMON) + 1)]
+    sums = [F.sum(F.round(MILLION * F.col("_chars")[k] / F.length("_t")).cast("long")).alias(x) for k, x in enumerate(char_sums)]
+    sums += [F.sum(F.round(MILLION * F.col("_common")[k] / F.col("n_words")).cast("long")).alias(x) for k, x in enumerate(word_sums)]
     found = keep(df.groupBy("lang").agg(F.count("*").alias("n"), *sums), "quality-languages")
     total = found.agg(F.sum("n").alias("n")).first().n or 0
-    rows = found.where(F.col("n") >= MIN_LANG_SHARE * total).orderBy("lang").collect()  # at most 1 / MIN_LANG_SHARE rows
+    is_common = F.col("n") >= MIN_LANG_SHARE * total
+    rows = found.where(is_common).orderBy("lang").collect()  # at most 1 / MIN_LANG_SHARE rows
 
     def share(row, names):
         whole = sum(row[x] for x in names)
         return [row[x] / whole for x in names]
 
-    return [(r.lang, share(r, [f"c{k}" for k in range(len(CLASSES))]), share(r, [f"w{k}" for k in range(len(COMMON) + 1)])) for r in rows]
+    def shares(names):
+        whole = sum((F.col(x) for x in names[1:]), F.col(names[0]))
+        return F.array(*[F.col(x) / whole for x in names])
 
+    rare = found.where(~is_common).select(F.col("lang").alias("_lang"), shares(char_sums).alias("_rc"), shares(word_sums).alias("_rw"))
+    return References([(r.lang, share(r, char_sums), share(r, word_sums)) for r in rows], None if rare.isEmpty() else rare)
 
-def js_distance(shares: str, reference: list[float]) -> Column:
-    """Jensen-Shannon distance of an array of shares from fixed ones, in millionths (a whole number)."""
+
+def js_distance(shares: str, reference: Column) -> Column:
+    """Jensen-Shannon distance of two arrays of shares, in millionths (a whole number)."""
     def part(p: Column, q: Column) -> Column:
         return (F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0) + F.when(q > 0, q * F.log2(2 * q / (p + q))).otherwise(0.0)) / 2
 
-    parts = F.zip_with(shares, F.array(*[F.lit(float(x)) for x in reference]), part)
+    parts = F.zip_with(shares, reference, part)
     return F.round(MILLION * F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)))).cast("long")
 
 
@@ -113,19 +132,23 @@ def with_repeats(df: DataFrame) -> DataFrame:
         f"aggregate(transform(_p, (x, i) -> least({SPAN}L, coalesce(get(_p, i + 1) - x, {SPAN}L))), 0L, (a, x) -> a + x)"))
 
 
-def quality_rules(docs: DataFrame, references: list[tuple[str, list[float], list[float]]] | None = None,
+def quality_rules(docs: DataFrame, references: References | None = None,
                   text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with a struct column ``quality``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     char_distance, word_distance (millionths, to the nearest language; null without references or words),
     base_failed, kept.
 
-    A null or empty text has no words, so it fails the base rule (fewer than ten words). Without any language
-    holding a hundredth of the documents the method rejects nothing. Repeated rows get equal results; every
+    A null or empty text has no words, so it fails the base rule (fewer than ten words). A document without a
+    language is compared with the common languages only; without any of them the method does not judge it. Repeated rows get equal results; every
     other column passes through untouched, but one named ``quality`` is replaced.
     """
     if references is None:
         references = language_references(docs, text_col, lang_col)
-    df = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "quality"]).alias("_row"), docs[text_col].cast("string").alias("_text"))
+    columns = [F.struct(*[docs[c] for c in docs.columns if c != "quality"]).alias("_row"), docs[text_col].cast("string").alias("_text")]
+    if references.rare is None:
+        df = docs.select(*columns)
+    else:
+        df = docs.select(*columns, docs[lang_col].cast("string").alias("_lang")).join(references.rare, "_lang", "left")
     df = with_repeats(with_histograms(with_words(df, F.col("_text"))))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD))
     df = df.withColumn("_lines", lines).withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
@@ -135,9 +158,17 @@ def quality_rules(docs: DataFrame, references: list[tuple[str, list[float], list
     judged = F.col("n_words") > 0
     df = df.withColumn("_chars", F.transform("_chars", lambda x: F.try_divide(x, F.length("_t"))))
     df = df.withColumn("_common", F.transform("_common", lambda x: F.try_divide(x, F.col("n_words"))))
-    df = df.withColumn("_d", F.when(judged, F.array(*[F.struct(
-        js_distance("_chars", chars).alias("c"), js_distance("_common", words).alias("w")) for _, chars, words in references]))
-        if references else F.lit(None).cast("array<struct<c:bigint,w:bigint>>"))
+
+    def distances(chars: Column, words: Column) -> Column:
+        return F.struct(js_distance("_chars", chars).alias("c"), js_distance("_common", words).alias("w"))
+
+    near = [distances(*[F.array(*[F.lit(float(x)) for x in shares]) for shares in both]) for _, *both in references.common]
+    none = F.lit(None).cast("array<struct<c:bigint,w:bigint>>")
+    compared = F.array(*near) if near else none
+    if references.rare is not None:
+        own = distances(F.col("_rc"), F.col("_rw"))
+        compared = F.when(F.col("_rc").isNotNull(), F.array(*near, own)).otherwise(compared)
+    df = df.withColumn("_d", F.when(judged, compared))
     far = F.lit(False)
     for words, most_c, most_w in LIMITS:
         bad = F.forall("_d", lambda d: (d["c"] > round(most_c * MILLION)) | (d["w"] > round(most_w * MILLION)))
