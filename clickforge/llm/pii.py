@@ -30,6 +30,14 @@ CONTEXT = {
 }
 CONTEXT_GAIN, ADDED_LEAST, NEAR = 0.15, 0.4, 40
 
+#: Length of a country's account numbers; of other codes, any of the lengths allowed to all.
+IBAN_LENGTHS = {k: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC"}.items() for k in codes.split()}
+IBAN_LEAST, IBAN_MOST = 15, 34
+
 _CONTEXT = {k: re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, v.split())) + r")(?!\w)", re.I) for k, v in CONTEXT.items()}
 _DIGIT = re.compile("[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -37,7 +45,9 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_NEXT = re.compile(r" ?[A-Z0-9]")
+_WORD_CHAR = re.compile("[A-Za-z0-9]")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 
 
@@ -76,7 +86,7 @@ def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
             yield "ip", *m.span()
     for m in _CARD.finditer(text):
         if m.end() - m.start() <= 37 and 13 <= len(d := _digits(m.group())) <= 19 and luhn(d):
@@ -86,15 +96,32 @@ def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
             yield "phone", *m.span()
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping account numbers, ending where no letter or digit follows, confirmed by mod-97.
+
+    A number has its country's length; for an unknown country code the longest end that passes counts.
+    """
+    m = _IBAN_START.search(text)
+    while m:
+        start, end = m.start(), m.end()
+        ends, size = [], 4
+        fixed = IBAN_LENGTHS.get(text[start:start + 2])
+        while size < (fixed or IBAN_MOST) and (n := _IBAN_NEXT.match(text, end)):
+            end, size = n.end(), size + 1
+            if size >= (fixed or IBAN_LEAST) and not _WORD_CHAR.match(text, end):
+                ends.append(end)
+        end = next((e for e in reversed(ends) if mod_97(text[start:e].replace(" ", ""))), None)
+        if end:
+            yield start, end
+        m = _IBAN_START.search(text, end or start + 1)
+
+
 def added_spans(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
     """Candidates of the two further kinds that do not touch a base span."""
     if not _DIGIT.search(text):
         return
-    for kind, pattern in (("iban", _IBAN), ("local_phone", _LOCAL_PHONE)):
-        for m in pattern.finditer(text):
-            start, end = m.span()
-            if kind == "iban" and not mod_97(m.group().replace(" ", "")):
-                continue
+    for kind, places in (("iban", ibans(text)), ("local_phone", (m.span() for m in _LOCAL_PHONE.finditer(text)))):
+        for start, end in places:
             if all(end <= a or b <= start for _, a, b in taken):
                 yield kind, start, end
 
