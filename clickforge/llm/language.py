@@ -3,7 +3,7 @@
 A word's script (by Unicode ranges) narrows the languages it may belong to; its score for each is the sum of
 the log-probabilities of its letter trigrams. Viterbi over the words of a text, with a penalty for switching,
 labels spans; the language with the most letters is the text's. The model is fitted on a bounded sample:
-about SAMPLE texts of each language that has at least MIN_SHARE of the labelled texts.
+about SAMPLE texts of each language, however rare (all its texts where it has no more).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from clickforge.llm.common import mix64
 from clickforge.llm.decontam import fold
 
-SAMPLE, MIN_SHARE = 1500, 0.005
+SAMPLE, DRAWS = 1500, 10**12
 GRAM_BITS = 15
 SMOOTH = 0.5
 SWITCH = 12.0
@@ -28,6 +28,8 @@ SWITCH = 12.0
 SCRIPT_SHARE = 0.01
 #: Scores held at once (words times languages).
 AT_ONCE = 6_000_000
+#: Trigrams times languages looked up at once.
+LOOKUPS = 1_000_000
 
 #: First code point of each block of a script. 0: no letter script of its own.
 SCRIPT_STARTS = [(0x0000, 0), (0x0041, 1), (0x0250, 0), (0x0370, 2), (0x0400, 3), (0x0530, 4), (0x0590, 5), (0x0600, 6),
@@ -65,14 +67,30 @@ def words_of(texts: list[str]):
 
 @dataclass
 class LanguageModel:
-    """Log-probability of each trigram bucket (bucket, language) and the languages that use each script."""
+    """Log-probabilities of trigram buckets and the languages that use each script.
+
+    ``base`` is the log-probability of a bucket that a language has not seen; the entries ``first[b]`` to
+    ``first[b + 1]`` of ``owner`` and ``lift`` are the languages that have seen bucket b and what it adds.
+    """
 
     languages: list[str]
-    gram: np.ndarray
+    base: np.ndarray
+    first: np.ndarray
+    owner: np.ndarray
+    lift: np.ndarray
     uses: np.ndarray
 
     def word_scores(self, n: int, script: np.ndarray, word: np.ndarray, gram: np.ndarray) -> np.ndarray:
-        scores = np.stack([np.bincount(word, self.gram[gram, k], n) for k in range(len(self.languages))], axis=1)
+        k = len(self.languages)
+        scores = np.bincount(word, minlength=n)[:, None] * self.base
+        most = max(1, LOOKUPS // k)
+        for at in range(0, len(gram), most):
+            w, g = word[at: at + most], gram[at: at + most]
+            low, high = int(w[0]), int(w[-1]) + 1  # words ascend
+            size = self.first[g + 1] - self.first[g]
+            entry = np.arange(int(size.sum())) + np.repeat(self.first[g] - (np.cumsum(size) - size), size)
+            cell = np.repeat((w - low) * k, size) + self.owner[entry]
+            scores[low:high] += np.bincount(cell, self.lift[entry], (high - low) * k).reshape(-1, k)
         allowed = self.uses[script]
         return np.where(allowed | ~allowed.any(axis=1, keepdims=True), scores, scores - 1000.0)
 
@@ -140,49 +158,46 @@ def _runs(texts: pa.Array, most: int) -> Iterator[list[str]]:
         yield run
 
 
-def _counts(languages: list[str]):
-    index = {x: k for k, x in enumerate(languages)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = np.zeros((len(languages), 1 << GRAM_BITS), np.int64)
-        scripts = np.zeros((len(languages), SCRIPTS), np.int64)
-        for batch in batches:
-            lang, texts = np.array([index[x] for x in batch.column(0).to_pylist()]), batch.column(1)
-            at = 0
-            for part in _runs(texts, 2_000_000):
-                text, script, _, _, _, word, gram = words_of(part)
-                own = lang[at: at + len(part)]
-                at += len(part)
-                if len(text):
-                    np.add.at(scripts, (own[text], script), 1)
-                    np.add.at(grams, (own[text[word]], gram), 1)
-        for kind, table in ((0, grams), (1, scripts)):
-            k, b = np.nonzero(table)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind)), pa.array(k), pa.array(b), pa.array(table[k, b])],
-                                             names=["kind", "lang", "bucket", "n"])
-    return run
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, lang, bucket, n) of the trigrams (kind 0) and scripts (kind 1) seen in (lang, text)."""
+    for batch in batches:
+        lang, texts = batch.column(0).to_numpy(), batch.column(1)
+        at = 0
+        for part in _runs(texts, 2_000_000):
+            text, script, _, _, _, word, gram = words_of(part)
+            own = lang[at: at + len(part)]
+            at += len(part)
+            for kind, owner, bucket in ((0, own[text[word]], gram), (1, own[text], script)):
+                key, n = np.unique((owner << GRAM_BITS) | bucket, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind)), pa.array(key >> GRAM_BITS),
+                                                  pa.array(key & ((1 << GRAM_BITS) - 1)), pa.array(n)], names=["kind", "lang", "bucket", "n"])
 
 
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """The model of the languages in ``docs`` (null languages and texts skipped; none left: a model without languages)."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang")) \
         .where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    kept = counts.join(F.broadcast(counts.agg(F.sum("n").alias("total"))), F.col("n") >= MIN_SHARE * F.col("total"))
-    sizes = {r.lang: r.n for r in kept.orderBy("lang").collect()}  # at most 1 / MIN_SHARE rows
-    languages = list(sizes)
-    table, uses = np.zeros((len(languages), 1 << GRAM_BITS)), np.zeros((len(languages), SCRIPTS))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()  # a row per language
+    languages = [r.lang for r in sizes]
+    uses = np.zeros((len(languages), SCRIPTS))
+    seen = [np.zeros(0, np.int64)] * 3
     if languages:
-        wanted = F.lit(False)
-        draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("language")), F.lit(1_000_000))
-        for lang, n in sizes.items():
-            wanted = wanted | ((F.col("lang") == lang) & (draw < int(1_000_000 * min(1.0, SAMPLE / n))))
-        found = rows.where(wanted).select("lang", "text").mapInArrow(_counts(languages), "kind long, lang long, bucket long, n long")
-        for r in found.groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n")).collect():  # languages x buckets at most
-            (uses if r.kind else table)[r.lang, r.bucket] = r.n
-    gram = np.log(table + SMOOTH) - np.log((table + SMOOTH).sum(axis=1, keepdims=True))
+        draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("language")), F.lit(DRAWS))
+        limits = docs.sparkSession.createDataFrame(
+            [(r.lang, k, int(DRAWS * min(1.0, SAMPLE / r.n))) for k, r in enumerate(sizes)], "lang string, k long, most long")
+        found = rows.join(F.broadcast(limits), "lang").where(draw < F.col("most")).select("k", "text") \
+            .mapInArrow(_counts, "kind long, lang long, bucket long, n long")
+        total = found.groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages x buckets seen
+        kind, *seen = (total.column(x).to_numpy() for x in ("kind", "lang", "bucket", "n"))
+        uses[seen[0][kind == 1], seen[1][kind == 1]] = seen[2][kind == 1]
+        seen = [x[kind == 0] for x in seen]
+    owner, bucket, n = seen
+    order = np.lexsort((owner, bucket))
+    owner, bucket, n = owner[order], bucket[order], n[order]
+    base = np.log(SMOOTH) - np.log(np.bincount(owner, n, len(languages)) + SMOOTH * (1 << GRAM_BITS))
     share = uses / np.maximum(1, uses.sum(axis=1, keepdims=True))
-    return LanguageModel(languages, np.ascontiguousarray(gram.T), (share >= SCRIPT_SHARE).T)
+    return LanguageModel(languages, base, np.searchsorted(bucket, np.arange((1 << GRAM_BITS) + 1)), owner.astype(np.int32),
+                         np.log(n + SMOOTH) - np.log(SMOOTH), (share >= SCRIPT_SHARE).T)
 
 
 FOUND = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -199,7 +214,7 @@ def label_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text
     without languages. Only the text is read; repeated rows get equal results, other columns pass through.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    most = max(100_000, 6 * AT_ONCE // max(4, len(model.languages)) // 6)
+    most = max(10_000, 6 * AT_ONCE // max(4, len(model.languages)) // 6)
 
     @F.arrow_udf(FOUND)
     def label(texts: pa.Array) -> pa.Array:
