@@ -1,9 +1,12 @@
 """Benchmark passages in documents, by the q-gram lemma.
 
-A benchmark item is cut into overlapping windows. An occurrence of a window of m characters with at most e
+A benchmark item is cut into overlapping windows of two sizes: short ones at small steps, so that every run of
+at least MIN_RUN characters holds a whole window at any offset, and long ones, whose budget allows more edits in
+one place. An occurrence of a window of m characters with at most e
 edits shares at least ``m + 1 - q * (e + 1)`` of its q-grams with the document, on diagonals at most e apart.
-So shared q-grams are counted per window in overlapping bands of 2(e + 1) diagonals, bands that reach the
-bound are kept, and a banded alignment over each gives the true number of edits and the place.
+So shared q-grams are counted in overlapping bands of 2(e + 1) diagonals, first per item (one posting per
+q-gram), then per window in the bands that reach the bound, and a banded alignment over each band that still
+does gives the true number of edits and the place.
 
 The documents are read once, without a shuffle. The benchmark is the stated query set: it is indexed in blocks
 of at most BLOCK_CHARS characters (so every broadcast is bounded) and each block meets every document.
@@ -23,7 +26,10 @@ from pyspark.sql import types as T
 from clickforge.llm.common import GOLDEN, RUN_BYTES
 
 Q = 8
-WINDOW, STEP = 128, 64
+#: Characters of a window and between the starts of two.
+WINDOWS = ((72, 8), (128, 64))
+#: A run of this many characters of an item is found wherever it starts (a shorter item: the whole of it).
+MIN_RUN = WINDOWS[0][0] + WINDOWS[0][1] - 1
 #: Edits allowed per character, and the least number of shared q-grams that a window's edit budget must leave.
 EDIT_RATE, LEAST_SHARED = 0.1, 8
 #: Items of fewer characters (letters, digits, single blanks) are too short to tell a leak from chance.
@@ -31,7 +37,7 @@ MIN_CHARS = 24
 BLOCK_CHARS = 2_000_000
 FILTER_BITS = 22
 ALIGN_AT_ONCE = 256
-_TIE = 1 << 12
+_TIE, _FAR = np.int32(1 << 12), np.int32(1 << 28)
 _POWER = [np.uint64(pow(int(GOLDEN) | 1, k, 1 << 64)) for k in (1, 2, 4)]
 
 
@@ -69,26 +75,47 @@ def edit_budget(m: int) -> int:
     return max(0, min(int(EDIT_RATE * m), (m + 1 - LEAST_SHARED) // Q - 1))
 
 
+def _pairs(hit: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (owner, half band), and which of them reach the owner's bound together with the next half band."""
+    key, count = np.unique(hit, return_counts=True)
+    after = np.zeros(len(key), np.int64)
+    follows = np.flatnonzero(key[1:] == key[:-1] + 1)
+    after[follows] = count[follows + 1]
+    return key, count + after >= bound[key >> 40]
+
+
 class Index:
     """Windows of some benchmark items with the postings of their q-grams."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
-        self.item, self.pattern = [], []
-        for item, code in items:
-            m = min(len(code), WINDOW)
-            for start in sorted({*range(0, len(code) - m + 1, STEP), len(code) - m}):
-                self.item.append(item)
-                self.pattern.append(code[start: start + m])
+        self.item, self.pattern, start = [], [], []
+        none = 1 << 40
+        #: Per size of window: diagonals in half a band and the bound of each item's windows; the windows over each posting.
+        self.step, self.bound = np.ones((2, len(WINDOWS), len(items)), np.int64) * [[[1]], [[none]]]
+        over = [[np.zeros((2, 0), np.int64)] for _ in WINDOWS]
+        for k, (item, code) in enumerate(items):
+            place = np.arange(max(0, len(code) - Q + 1))
+            for c, (size, step) in enumerate(WINDOWS):
+                m = min(len(code), size)
+                starts = np.array(sorted({*range(0, len(code) - m + 1, step), len(code) - m}) if c == 0 or m > WINDOWS[0][0] else [], np.int64)
+                over[c].append(len(start) + np.stack([np.searchsorted(starts, place + Q - m), np.searchsorted(starts, place, "right")]))
+                self.item += [item] * len(starts)
+                self.pattern += [code[a: a + m] for a in starts]
+                start += starts.tolist()
+                if len(starts):
+                    self.step[c, k], self.bound[c, k] = edit_budget(m) + 1, m + 1 - Q * (edit_budget(m) + 1)
+        self.start = np.array(start, np.int64)
         self.length = np.array([len(p) for p in self.pattern], np.int64)
         self.edits = np.array([edit_budget(m) for m in self.length], np.int64)
         self.least = self.length + 1 - Q * (self.edits + 1)
-        grams = [gram_codes(p) for p in self.pattern]
+        grams = [gram_codes(code) for _, code in items]
         code = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(code, kind="stable")
         self.code, first = np.unique(code[order], return_index=True)
         self.ends = np.append(first, len(code)).astype(np.int64)
-        self.window = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
+        self.owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
         self.place = np.concatenate([np.arange(len(g)) for g in grams] or [np.zeros(0, np.int64)])[order]
+        self.over = [np.concatenate(x, axis=1)[:, order] for x in over]
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.code >> np.uint64(64 - FILTER_BITS)] = True
 
@@ -104,16 +131,24 @@ class Index:
         at, k = at[found], k[found]
         n = self.ends[k + 1] - self.ends[k]
         post = np.arange(int(n.sum())) + np.repeat(self.ends[k] - (np.cumsum(n) - n), n)
-        window = self.window[post]
-        step = self.edits[window] + 1
-        half = (np.repeat(at, n) - self.place[post]) // step + (1 << 20)
-        key, count = np.unique((window << 40) + half, return_counts=True)
-        after = np.zeros(len(key), np.int64)
-        follows = np.flatnonzero(key[1:] == key[:-1] + 1)
-        after[follows] = count[follows + 1]
-        good = count + after >= self.least[key >> 40]
-        window = key[good] >> 40
-        return window, ((key[good] & ((1 << 40) - 1)) - (1 << 20)) * (self.edits[window] + 1)
+        owner, diagonal = self.owner[post], np.repeat(at, n) - self.place[post]
+        found = [(none, none)]
+        for step, bound, (low, high) in zip(self.step, self.bound, self.over):
+            half = diagonal // step[owner] + (1 << 20)
+            hit = (owner << 40) + half
+            key, enough = _pairs(hit, bound)
+            key = key[enough]
+            if not len(key):
+                continue
+            wanted = np.unique(np.concatenate([key, key + 1]))
+            inside = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hit), len(wanted) - 1)] == hit)
+            low, size = low[post[inside]], (high - low)[post[inside]]
+            window = np.arange(int(size.sum())) + np.repeat(low - (np.cumsum(size) - size), size)
+            key, enough = _pairs((window << 40) + np.repeat(half[inside], size), self.least)
+            window = key[enough] >> 40
+            half = (key[enough] & ((1 << 40) - 1)) - (1 << 20)
+            found.append((window, half * (self.edits[window] + 1) + self.start[window]))
+        return np.concatenate([w for w, _ in found]), np.concatenate([d for _, d in found])
 
     def align(self, code: np.ndarray, window: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Least edits of each band's alignment, with the first and last+1 place in ``code`` (the window whole, the text free at both ends)."""
@@ -125,18 +160,21 @@ class Index:
         pattern = np.zeros((len(window), longest), np.uint32)
         for r, w in enumerate(window):
             pattern[r, : m[r]] = self.pattern[w]
-        t = np.arange(width, dtype=np.int64)
+        t = np.arange(width, dtype=np.int32)
         outside = t >= (4 * edits + 3)[:, None]
-        padded = np.append(code, np.uint32(0))
-        best = np.where(outside, 1 << 40, t)
+        mixed = outside.any()
+        place = low[:, None] + np.arange(longest + width)
+        chars = np.where((place >= 0) & (place < len(code)), code[np.clip(place, 0, len(code) - 1)], 0)
+        best = np.where(outside, _FAR, t)
         final = best.copy()
+        slope = _TIE * t
         for j in range(longest):
-            i = low[:, None] + t + j
-            char = padded[np.where((i >= 0) & (i < len(code)), i, len(code))]
-            step = best + _TIE * (char != pattern[:, j: j + 1])
+            step = best + _TIE * (chars[:, j: j + width] != pattern[:, j: j + 1])
             step[:, :-1] = np.minimum(step[:, :-1], best[:, 1:] + _TIE)
-            best = np.minimum.accumulate(step - _TIE * t, axis=1) + _TIE * t
-            best[outside] = 1 << 40
+            step -= slope
+            best = np.minimum.accumulate(step, axis=1) + slope
+            if mixed:
+                best[outside] = _FAR
             ends = m == j + 1
             final[ends] = best[ends]
         pick = final.argmin(axis=1)
