@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickforge.llm import licenses as lic
 from clickforge.llm import pii
 from clickforge.llm import quality as qual
+from clickforge.llm.alignment import align_tokenizers
 from clickforge.llm.common import load
 from clickforge.llm.decontam import find_leaks
 from clickforge.llm.language import fit_languages, label_languages
@@ -18,7 +19,9 @@ from clickforge.llm.line_dedup import drop_repeated_lines
 from clickforge.llm.near_dup import near_duplicates
 from clickforge.llm.packing import pack_documents
 from clickforge.llm.sharding import shard_documents
+from clickforge.llm.spelling import spelling_variants
 from clickforge.llm.toxicity import fit_toxicity, score_toxicity
+from clickforge.llm.vector_dup import near_vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -199,7 +202,7 @@ def licence_sql() -> str:
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 cut AS (
   SELECT doc_id, string_split(lower(regexp_replace(regexp_replace(regexp_replace(t, {text(lic.LEADER)}, '', 'g'),
-    {text(lic.SENTENCE_END)}, '' || chr(1), 'g'), '[ 	
+    {text(lic.SENTENCE_END)}, '' || chr(1), 'g'), '[ 	
 ]+', ' ', 'g')), chr(1)) AS ss FROM docs WHERE {keywords}),
 ids AS (
   SELECT doc_id, list_filter(list_transform(ss, lambda s: CASE {cases} END), lambda x: x IS NOT NULL) AS ids FROM cut),
@@ -223,3 +226,66 @@ def op1(spark, sf_dir):
 def op6(spark, sf_dir):
     out = shard_documents(load(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op11_tokenizer_alignment")
+def op11(spark, sf_dir):
+    return align_tokenizers(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def spelling_sql() -> str:
+    """The words with a crc32 over lists of bytes, near words by their deletions, forms followed by recursion."""
+    table, poly = [], 0xEDB88320
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (poly if byte & 1 else 0)
+        table.append(byte)
+    return rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, r, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS r FROM documents)
+  WHERE length(r) >= 7 GROUP BY 1, 2),
+spelled AS (SELECT r, n, length(r) AS l, hex(encode(doc_id || ':' || r)) AS x FROM runs),
+hashed AS (
+  SELECT r, n, l, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+    lambda c, b: xor(c >> 8, ({table}::BIGINT[])[(xor(c, b) & 255) + 1]))) AS h FROM spelled),
+words AS (
+  SELECT w AS word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN r[:h % l] || r[h % l + 2:] ELSE r END AS w, n FROM hashed)
+  WHERE length(w) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+gaps AS (SELECT word, n, i, word[:i] || word[i + 2:] AS d FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM gaps a JOIN gaps b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.d = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(m) AS m, min(other) FILTER (m = top) AS other
+  FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+forms AS (SELECT word, other, m FROM best JOIN words USING (word) WHERE m >= 10 * n),
+follow(word, last) AS (SELECT word, word FROM words UNION ALL SELECT f.word, g.other FROM follow f JOIN forms g ON f.last = g.word),
+roots AS (SELECT word, last AS root FROM follow WHERE last NOT IN (SELECT word FROM forms))
+SELECT word, n, coalesce(n_near, 0) AS n_near, forms.other AS form, forms.m AS form_n, root
+FROM words LEFT JOIN best USING (word) LEFT JOIN forms USING (word) JOIN roots USING (word)"""
+
+
+@query("op12_spelling_variants", spelling_sql())
+def op12(spark, sf_dir):
+    return spelling_variants(load(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_near_duplicates", """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(d, t) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.d, l.y FROM reach r JOIN links l ON r.t = l.x),
+comp AS (SELECT d, min(t) AS c FROM reach GROUP BY d),
+degree AS (SELECT x, count(*) AS k FROM links GROUP BY x)
+SELECT vec_id, coalesce(k, 0) AS n_links, c AS component_id, c = vec_id AS kept
+FROM embeddings JOIN comp ON vec_id = d LEFT JOIN degree ON vec_id = x""")
+def op13(spark, sf_dir):
+    return near_vectors(load(spark, sf_dir, "embeddings"))
