@@ -135,10 +135,57 @@ def one_hot_long(df: DataFrame, cols: list[str], index: DataFrame, ids: list[str
     return long.select(*ids, "feature", "idx", "gidx")
 
 
+def masked_stats(stats: DataFrame, minimum: int, inclusive: bool = False, replacement: str = SENTINEL_RARE) -> DataFrame:
+    """The category table (A7) of the masked train rows, from that of the filled rows: rare values counted as one."""
+    common = F.col("counts") >= minimum if inclusive else F.col("counts") > minimum
+    value = F.when(F.col("value").isNull() | common, F.col("value")).otherwise(F.lit(replacement))
+    return stats.groupBy("feature", value.alias("value")).agg(F.sum("counts").alias("counts"))
+
+
+def fit_layout(stats: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
+    """(feature, value, idx, gidx): the one-hot layout of a category table (A7), fitted without any label on the driver."""
+    index = fit_string_index(stats, partitions)
+    return index.join(F.broadcast(feature_offsets(index, cols)), "feature").select(
+        "feature", "value", "idx", (F.col("offset") + F.col("idx")).cast("int").alias("gidx"))
+
+
+def encode_places(df: DataFrame, cols: list[str], layout: DataFrame, key: str, output: str = "places",
+                  broadcast_bytes: int = BROADCAST_BYTES, hot_keys: DataFrame | None = None) -> DataFrame:
+    """``df`` with the ascending one-hot places of each row's values as an array (E4, E5, E7); no label reaches the driver.
+
+    ``layout`` is :func:`fit_layout`'s table. Its features share one broadcast budget, smallest first; those within it
+    are looked up without a shuffle. The values of all others go through one long-form join (hot values salted, see
+    :func:`hot_values`) and come back as one short list per ``key``, which must tell the rows apart. Values unseen in
+    the layout and NULLs have no place (the all-zero block).
+    """
+    size = F.sum(F.octet_length("value") + VALUE_OVERHEAD)
+    sizes = {r["feature"]: r["bytes"] for r in layout.groupBy("feature").agg(size.alias("bytes")).collect()}
+    fits, left = [], broadcast_bytes
+    for c in sorted((c for c in cols if c in sizes), key=lambda c: (sizes[c], c)):
+        if sizes[c] <= left:
+            fits.append(c)
+            left -= sizes[c]
+    out, found = df, []
+    for c in fits:
+        table = layout.where(F.col("feature") == c).select(F.col("value").alias(f"__v_{c}"), F.col("gidx").alias(f"__g_{c}"))
+        out = out.join(F.broadcast(table), F.col(c) == F.col(f"__v_{c}"), "left").drop(f"__v_{c}")
+        found.append(F.col(f"__g_{c}"))
+    places = F.filter(F.array(*found), lambda g: g.isNotNull()) if found else F.array().cast("array<int>")
+    rest = [c for c in cols if c in sizes and c not in fits]
+    if rest:
+        long = unpivot(df, rest, ids=[key])
+        table = layout.select("feature", "value", "gidx")
+        long = join_bounded(long, table, ["feature", "value"], broadcast_bytes=-1, hot_keys=hot_keys)
+        lists = long.groupBy(F.col(key).alias("__key")).agg(F.collect_list("gidx").alias("__rest"))  # one place a feature at most
+        out = out.join(lists, out[key] == lists["__key"], "left")
+        places = F.concat(places, F.coalesce("__rest", F.array().cast("array<int>")))
+    return out.select(*df.columns, F.array_sort(places).alias(output))
+
+
 def encoding_pipeline(cols: list[str], output: str = "cat_features", keep_unseen: bool = True) -> Pipeline:
-    """StringIndexer(multi) -> OneHotEncoder(multi) -> VectorAssembler.
+    """StringIndexer(multi) -> OneHotEncoder(multi) -> VectorAssembler (E4, E5, E6, E7), for small vocabularies.
 
-    ``keep_unseen``: unseen values map to an all-zero block of the same width
+    The fit holds every label on the driver; :func:`encode_places` gives the same vectors without. ``keep_unseen``: unseen values map to an all-zero block of the same width
     (the reference's default would raise on them).
     """
     idx = [f"{c}_idx" for c in cols]

@@ -12,6 +12,7 @@ from pyspark.ml.feature import FeatureHasher, Interaction, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickforge.operators import sparse
 from clickforge.operators.joins import join_bounded
 from clickforge.operators.profile import unpivot
 
@@ -45,6 +46,24 @@ def cross_long(df: DataFrame, num_cols: list[str], cat_cols: list[str], gindex:
               .select(*ids, (F.col("i") * F.lit(width) + F.col("gidx")).alias("cidx"), "value")
 
 
+def sparse_cross(df: DataFrame, numeric_vec: str = "std_features", cat_vec: str = "cat_features", output: str = "cxn_features") -> DataFrame:
+    """``df`` with the outer product of two storage-struct vectors (E9): place i * K + j, as wide as both widths multiplied.
+
+    The same entries as :func:`interaction`, but the schema holds the width only, at any width.
+    """
+    k = sparse.width_of(df, cat_vec)
+    entries = sparse.outer(sparse.vector_entries_of(numeric_vec), sparse.vector_entries_of(cat_vec), k)
+    return df.select("*", sparse.vector(entries, sparse.width_of(df, numeric_vec) * k, output))
+
+
+def sparse_pack(df: DataFrame, inputs: list[str], label: str = "label", rate: float | None = None, output: str = "features",
+                keep: list[str] | None = None) -> DataFrame:
+    """E10 / E11 on storage structs: the caller's blocks, in order, as one vector; with ``rate`` also the class weight."""
+    entries, width = sparse.side_by_side([(sparse.vector_entries_of(c), sparse.width_of(df, c)) for c in inputs])
+    weight = [] if rate is None else [class_weight(label, rate).alias("weight")]
+    return df.select(*(keep or []), label, sparse.vector(entries, width, output), *weight)
+
+
 def class_weight(label: str, rate: float):
     """label 0 -> positive rate, label 1 -> 1 - positive rate."""
     return F.when(F.col(label) == 0, F.lit(float(rate))).otherwise(F.lit(1.0 - float(rate)))

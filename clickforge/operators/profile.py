@@ -7,13 +7,12 @@ aggregate, instead of one job per column. Results are long, small DataFrames.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from clickforge.functions.scalar import safe_divide
+from clickforge.operators.pairs import co_null_counts, correlation_matrix  # noqa: F401  (N7 and A16 belong to the profiles)
 from clickforge.operators.quantile import approx_quantiles, exact_quantiles
 
 
@@ -54,32 +53,6 @@ def high_null_columns(df: DataFrame, cols: list[str], pct: float = 40.0) -> Data
     return null_profile(df, cols).filter(F.col("null_pct") > pct)
 
 
-def _in_parts(df: DataFrame, items: list, size: int, build) -> DataFrame:
-    """``build(part of items)`` for parts small enough that Spark compiles their aggregation, one scan each."""
-    out = None
-    for k in range(0, len(items), size):
-        part = build(items[k: k + size])
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-#: Aggregation buffers with more columns than this run outside whole-stage code generation.
-BUFFER_COLUMNS = 90
-
-
-def co_null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """For each column pair (a < b): rows where both are NULL, and rows where a is NULL."""
-    def build(pairs):
-        firsts = sorted({a for a, _ in pairs})
-        aggs = [F.count_if(F.col(a).isNull() & F.col(b).isNull()).alias(f"p{k}") for k, (a, b) in enumerate(pairs)]
-        wide = df.agg(*aggs, *[F.count_if(F.col(a).isNull()).alias(f"n{k}") for k, a in enumerate(firsts)])
-        return wide.select(F.inline(F.array(*[F.struct(
-            F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{k}").alias("both_null"),
-            F.col(f"n{firsts.index(a)}").alias("a_null")) for k, (a, b) in enumerate(pairs)])))
-
-    return _in_parts(df, list(itertools.combinations(cols, 2)), BUFFER_COLUMNS - len(cols), build)
-
-
 def label_by_null(df: DataFrame, cols: list[str], label: str = "label") -> DataFrame:
     """Label distribution among rows where a column is NULL vs among all rows."""
     aggs = [F.count(F.lit(1)).alias("__all")] + [F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols]
@@ -292,17 +265,3 @@ def special_value_counts(df: DataFrame, cols: list[str], specials=(-1.0, 0.0)) -
     parts = F.split("key", r"\|")
     return long.select(parts[0].alias("feature"), parts[1].alias("op"), parts[2].cast("double").alias("special"),
                        F.col("rows").cast("long").alias("rows"))
-
-
-def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair (a < b).
-
-    Pairwise-complete (rows where both are non-NULL), no sampling. One compiled aggregation
-    over a pruned scan per fifteen pairs (a pair needs six buffer columns).
-    """
-    def build(pairs):
-        wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
-        return wide.select(F.inline(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{k}").alias("corr"))
-                                              for k, (a, b) in enumerate(pairs)])))
-
-    return _in_parts(df, list(itertools.combinations(cols, 2)), BUFFER_COLUMNS // 6, build)
