@@ -8,14 +8,13 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, field
-from functools import lru_cache
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickforge.operators import category as cat
 from clickforge.operators import numeric as num
+from clickforge.operators import sparse
 from clickforge.session import stable_root
 from clickforge.sources import files
 from clickforge.sources import fixture as fx
@@ -73,17 +72,7 @@ def import_path(spark: SparkSession, sf_dir: str) -> str:
 def import_root(spark: SparkSession, sf_dir: str) -> str:
     """Where a source's import and fitted steps live: by the sources' content and by this code, so neither a
     changed table nor a changed rule, threshold or operator is ever served an older fit."""
-    return f"{stable_root(spark)}/clickforge-import/{_source_key(spark, sf_dir)}-{_code_version()}"
-
-
-@lru_cache(1)
-def _code_version() -> str:
-    digest = hashlib.md5()
-    package = Path(__file__).resolve().parents[1]
-    for part in ("functions", "operators", "plans", "sources"):
-        for file in sorted((package / part).glob("*.py")):
-            digest.update(file.read_bytes())
-    return digest.hexdigest()[:12]
+    return f"{stable_root(spark)}/clickforge-import/{_source_key(spark, sf_dir)}-{files.code_version()}"
 
 
 @dataclass
@@ -206,13 +195,18 @@ class Prepared:
         """Masked categoricals plus the standardised numerics ``n*_std`` on the same rows."""
         return num.standardize_columns(self.masked(), self.num_stats, FIXTURE_RULES)
 
-    def encoded(self) -> DataFrame:
-        """ML path: std_features + cat_features (StringIndexer/OneHotEncoder fit on masked train)."""
+    def encoded_structs(self) -> DataFrame:
+        """std_features + cat_features of all rows as storage structs, from the relational index."""
         def build():
-            from pyspark.ml.feature import VectorAssembler
-            m = self.std_masked()
-            std = VectorAssembler(inputCols=[f"{c}_std" for c in fx.NUMERIC], outputCol="std_features",
-                                  handleInvalid="keep").transform(m)
-            model = cat.encoding_pipeline(fx.CATEGORICAL).fit(std.filter(F.col("subset") == "train"))
-            return model.transform(std).select(fx.ID, "subset", fx.LABEL, "std_features", "cat_features")
-        return self.step("encoded", build)
+            m = cat.encode_places(self.std_masked(), fx.CATEGORICAL, self.gindex(), fx.ID, hot_keys=self.hot_keys())
+            std = sparse.numeric_entries([f"{c}_std" for c in fx.NUMERIC])
+            return m.select(fx.ID, "subset", fx.LABEL, sparse.vector(std, len(fx.NUMERIC), "std_features"),
+                            sparse.vector(sparse.one_hot_entries("places"), self.cat_width(), "cat_features"))
+        return self.step("encoded-structs", build)
+
+    def encoded(self) -> DataFrame:
+        """:meth:`encoded_structs` as ML vectors, for the ML stages."""
+        if not self.materialize:
+            raise ValueError("ML vectors are read from the written step")
+        self.encoded_structs()
+        return sparse.read_vectors(self.spark, self.store.resolve("fitted", "encoded-structs"))

@@ -8,10 +8,15 @@ and the retry writes a fresh attempt folder next to it.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import lru_cache
+from importlib import resources
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
@@ -32,6 +37,15 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def attempts_of(spark: SparkSession, base: str) -> list[str]:
+    """The attempt folders of a dataset, in order, and last the first name that is still free."""
+    out, base = [], base.rstrip("/")
+    while True:
+        out.append(base if not out else f"{base}@{len(out)}")
+        if not path_exists(spark, out[-1]):
+            return out
+
+
 # ---- typed TSV (S1, S2, A21) -------------------------------------------------------------------
 
 def impression_schema(label: str, numeric: list[str], categorical: list[str], ids: list[str] | None = None,
@@ -55,11 +69,54 @@ def write_tsv(df: DataFrame, path: str, header: bool = False) -> None:
     df.write.mode("errorifexists").option("sep", "\t").option("header", str(header).lower()).csv(path)
 
 
+#: Column of a CSV scan that keeps a line its schema cannot hold.
+_LINE = "__line"
+
+
+@dataclass
+class Imported:
+    """The two sides of an import: typed rows, and (line, reason) of the lines that did not fit the schema."""
+    typed: DataFrame
+    rejected: DataFrame
+    path: str
+
+
+def _reject_reason(schema: StructType, sep: str) -> Column:
+    """``fields: <n>`` for a wrong field count, else the first field whose text its type cannot hold."""
+    text = F.split(_LINE, sep, -1)
+    uncast = [F.when((F.get(text, F.lit(i)) != "") & F.get(text, F.lit(i)).try_cast(f.dataType).isNull(), F.lit(f.name))
+              for i, f in enumerate(schema.fields) if not isinstance(f.dataType, StringType)]
+    return F.when(F.size(text) != len(schema), F.concat(F.lit("fields: "), F.size(text).cast("string"))) \
+        .otherwise(F.coalesce(*uncast, F.lit("unreadable")))
+
+
+def import_split(spark: SparkSession, src: str, dest: str, schema: StructType, header: bool = False, sep: str = "\t") -> Imported:
+    """TSV -> Parquet once, in one pass with a reject side.
+
+    Every line is either a typed row or kept as it is with the reason it does not fit: a wrong number of fields, or the
+    first field that its type cannot hold (an empty field is NULL; a line of blanks and tabs only is no row). Both sides are one write, partitioned by ``side``,
+    so they appear together or not at all. A complete import is reused; one that was interrupted (no ``_SUCCESS``) is
+    left alone and a fresh attempt ``<dest>@<n>`` is written.
+    """
+    attempts = attempts_of(spark, dest)
+    path = next((p for p in reversed(attempts[:-1]) if is_complete(spark, p)), None)
+    if path is None:
+        path = attempts[-1]
+        wide = StructType([*schema.fields, StructField(_LINE, StringType(), True)])
+        lines = (spark.read.schema(wide).option("sep", sep).option("header", str(header).lower()).option("mode", "PERMISSIVE")
+                 .option("columnNameOfCorruptRecord", _LINE).csv(src))
+        bad = F.col(_LINE).isNotNull()
+        lines.select(*[F.when(~bad, F.col(f.name)).alias(f.name) for f in schema.fields], F.col(_LINE).alias("line"),
+                     F.when(bad, _reject_reason(schema, sep)).alias("reason"), F.when(bad, "rejected").otherwise("typed").alias("side")) \
+            .write.mode("errorifexists").partitionBy("side").parquet(path)
+    both = StructType([*schema.fields, StructField("line", StringType()), StructField("reason", StringType()), StructField("side", StringType())])
+    rows = spark.read.schema(both).parquet(path)
+    return Imported(rows.where("side = 'typed'").select(*schema.names), rows.where("side = 'rejected'").select("line", "reason"), path)
+
+
 def import_tsv(spark: SparkSession, src: str, dest: str, schema: StructType, header: bool = False) -> DataFrame:
-    """TSV -> Parquet once; skipped when the Parquet output is already complete."""
-    if not is_complete(spark, dest):
-        read_tsv(spark, src, schema, header).write.mode("errorifexists").parquet(dest)
-    return spark.read.parquet(dest)
+    """The typed side of :func:`import_split`."""
+    return import_split(spark, src, dest, schema, header).typed
 
 
 def malformed_fields(spark: SparkSession, path: str, schema: StructType, header: bool = False) -> DataFrame:
@@ -107,13 +164,7 @@ class StepStore:
         return f"{self.root}/{subset}.parquet.{step}".rstrip(".")
 
     def _attempts(self, base: str) -> list[str]:
-        out, n = [], 0
-        while True:
-            p = base if n == 0 else f"{base}@{n}"
-            if not path_exists(self.spark, p):
-                return out + [p]
-            out.append(p)
-            n += 1
+        return attempts_of(self.spark, base)
 
     def resolve(self, subset: str, step: str = "") -> str | None:
         """The latest complete attempt, or None."""
@@ -162,6 +213,90 @@ class StepStore:
         return self.read(subset, out_step), True
 
 
+# ---- steps with a manifest (S11) ------------------------------------------------------------------
+
+@lru_cache(1)
+def code_version() -> str:
+    """A digest of the library's sources, read through the import system (so also from a zip)."""
+    digest = hashlib.md5()
+    root = resources.files(__package__.partition(".")[0])
+    for part in ("functions", "operators", "plans", "sources"):
+        found = {f.name: f for f in root.joinpath(part).iterdir() if f.name.endswith(".py")}
+        if not found:
+            raise RuntimeError(f"no sources of {part!r} found: steps cannot be told apart by their code")
+        for name in sorted(found):
+            digest.update(name.encode() + found[name].read_bytes())
+    return digest.hexdigest()[:12]
+
+
+def content_key(df: DataFrame) -> str:
+    """A fingerprint of a table's rows in one scan, whatever their order: schema, count and two sums of row hashes."""
+    cols = [F.col(c) for c in df.columns]
+    seen = df.select(F.xxhash64(*cols).alias("x"), F.hash(*cols).alias("h")).agg(
+        F.count(F.lit(1)), F.bit_xor("x"), F.sum(F.col("x") % (1 << 31)), F.sum("h")).first()
+    return _digest([df.schema.json(), *map(str, seen)])
+
+
+def _digest(x) -> str:
+    return hashlib.md5(json.dumps(x, sort_keys=True).encode()).hexdigest()
+
+
+@dataclass
+class Step:
+    """A materialised step: where it is, the key that its followers name as their input, and whether it was just made."""
+    path: str
+    key: str
+    rows: int
+    ran: bool
+
+
+class ManifestStore(StepStore):
+    """Steps that are reused by what made them, not by name alone.
+
+    A step's manifest lists its inputs (the keys of the steps before it, or a source's fingerprint), its parameters, the
+    code's version and its rows. A complete attempt whose manifest names the same inputs, parameters and code is served
+    again; any other is left alone and the step runs anew under the next attempt name. A key covers all that a step
+    depends on, so a changed parameter runs its step and those after it, and no other.
+    """
+
+    def manifest(self, path: str) -> dict | None:
+        """The manifest of a finished attempt, None if there is none."""
+        file = f"{path}/_MANIFEST"
+        if not path_exists(self.spark, file):
+            return None
+        fs, p = _fs(self.spark, file)
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text) if text else None
+
+    def _finish(self, path: str, manifest: dict) -> None:
+        fs, p = _fs(self.spark, f"{path}/_MANIFEST")
+        stream = fs.create(p, False)
+        try:
+            stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+        finally:
+            stream.close()
+
+    def step(self, subset: str, name: str, inputs: list[str], params: dict, make: Callable[[str], None], table: bool = True) -> Step:
+        """The step's output: a finished attempt of the same making, else ``make(path)`` into a fresh folder.
+
+        A folder counts only once its manifest is written, after the data is complete.
+        """
+        made = {"step": name, "subset": subset, "inputs": inputs, "params": params, "code": code_version()}
+        key, attempts = _digest(made), self._attempts(self.base(subset, name))
+        for path in reversed(attempts[:-1]):
+            found = self.manifest(path)
+            if found and found["key"] == key:
+                return Step(path, key, found["rows"], False)
+        make(attempts[-1])
+        rows = self.spark.read.parquet(attempts[-1]).count() if table else 0
+        self._finish(attempts[-1], made | {"key": key, "rows": rows})
+        return Step(attempts[-1], key, rows, True)
+
+
 def preview(df: DataFrame, rows: int = 20, where: str | None = None, order: list | None = None) -> DataFrame:
     """Filtered preview; with ``order`` a total order makes it deterministic."""
     out = df.filter(where) if where else df

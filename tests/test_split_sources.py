@@ -136,7 +136,7 @@ def test_import_folder_is_stable_and_follows_the_code(spark, sf, monkeypatch):
     monkeypatch.setattr(plan, "stable_root", lambda s: "/shared")
     one = plan.import_root(spark, sf)
     assert one == plan.import_root(spark, sf) and one.startswith("/shared/clickforge-import/")
-    monkeypatch.setattr(plan, "_code_version", lambda: "other")
+    monkeypatch.setattr(plan.files, "code_version", lambda: "other")
     assert plan.import_root(spark, sf) != one
 
 
