@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import itertools
 
-from clickforge.functions.hashing import HASH_SPAN, md5_place_sql, share_edges
+from clickforge.functions.hashing import HASH_SPAN, md5_bucket_sql, md5_place_sql, share_edges
 from clickforge.plans.fixture_plan import FIXTURE_RULES
 from clickforge.sources import fixture as fx
 
@@ -486,9 +486,18 @@ q("svm_reg_sweep", _svm_sweep_sql())
 
 _SUB = ("SELECT subset, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives, CAST(any_value(w) AS INTEGER) AS width, true AS auc_ok "
         f"FROM imp, (SELECT {len(NUM)} + count(*) AS w FROM sidx) GROUP BY subset")
-for _name in ("lr_auc", "lr_l2_auc", "lr_l1_auc", "weighted_lr_auc", "linear_svc_auc", "tree_auc", "forest_auc", "gbt_auc"):
-    q(_name, PRE + index_ctes() + _SUB)
+for _name, _more in {"lr_auc": "optimum_ok", "lr_l2_auc": "optimum_ok", "lr_l1_auc": "zero_ok", "weighted_lr_auc": "optimum_ok", "linear_svc_auc": "",
+                     "tree_auc": "leaves_ok", "forest_auc": "trees_ok", "gbt_auc": "rounds_ok"}.items():
+    q(_name, PRE + index_ctes() + (f"SELECT *, true AS {_more} FROM ({_SUB})" if _more else _SUB))
 q("lr_reg_sweep", PRE + index_ctes() + f"SELECT reg, t.* FROM ({_SUB}) t, (SELECT unnest([0.01, 0.1, 0.5, 1.0]::DOUBLE[]) AS reg)")
+q("lr_moments", PRE + index_ctes() + f"SELECT feature, value, count(*) AS rows, CAST(sum(label) AS BIGINT) AS clicks FROM ({unnest_long(_MT, CAT, ['label'])}) "
+  "GROUP BY ALL UNION ALL SELECT 'all', '', count(*), CAST(sum(label) AS BIGINT) FROM train")
+q("cv_folds", PRE + f"SELECT {md5_bucket_sql('imp_id', 2019, 5)} AS fold, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM train GROUP BY 1")
+q("distinct_sketches", PRE + union_all(
+    [f"SELECT subset, '{c}' AS feature, count(DISTINCT {c}) AS distinct_values, true AS close_ok FROM imp GROUP BY subset\n"
+     f"UNION ALL SELECT 'all', '{c}', count(DISTINCT {c}), true FROM imp" for c in FEATURES]))
+q("quantile_sketches", PRE + union_all(
+    [f"SELECT '{c}' AS feature, unnest([0.1, 0.5, 0.9]::DOUBLE[]) AS share, count({c}) AS count, true AS rank_ok FROM imp" for c in NUM]))
 q("cross_validate", "SELECT unnest(['regParam=0.01', 'regParam=0.1', 'regParam=1.0']) AS params, true AS auc_ok")
 q("sgd_svm_auc", PRE + "SELECT subset, CAST(sum(label) AS BIGINT) AS positives, CAST(count(*) - sum(label) AS BIGINT) AS negatives, "
   "true AS auc_ok FROM imp GROUP BY subset")
@@ -505,19 +514,23 @@ q("reshuffled", PRE + "SELECT count(*) AS rows, count(DISTINCT imp_id) AS ids, C
 q("feature_hash", PRE + f"SELECT imp_id, CAST({len(CAT)} AS DOUBLE) AS total, true AS counts, true AS in_width FROM impressions")
 
 
-def _packed_svm_sql(steps: int, lr: float = 0.1, reg: float = 0.1) -> str:
-    """Entries of the packed vectors (place 0: bias) and ``steps`` descent steps on train as weight tables w0, w1, ..."""
+def _packed_svm_sql(steps: int, lr: float = 0.1, reg: float = 0.1, subset: str = "subset", losses: bool = False) -> str:
+    """Entries of the packed vectors (place 0: bias) and ``steps`` descent steps on train as weight tables w0, w1, ...
+
+    ``subset`` spells each row's part; with ``losses`` the margins m1 ... of the new weights too.
+    """
     vals = ", ".join(f"{c}_std" for c in NUM)
     out = (PRE + index_ctes() + _STDM + ", kk AS (SELECT count(*) AS k FROM sidx)\n"
-           ", yy AS (SELECT imp_id, subset, CASE WHEN label = 0 THEN -1 ELSE 1 END AS y FROM imp)\n"
+           f", yy AS (SELECT imp_id, {subset} AS subset, CASE WHEN label = 0 THEN -1 ELSE 1 END AS y FROM imp)\n"
            f", ent AS (SELECT imp_id, 0 AS i, 1.0 AS v FROM yy\n UNION ALL SELECT imp_id, unnest(range(1, {len(NUM) + 1})), unnest([{vals}]) FROM sm\n"
            f" UNION ALL SELECT imp_id, {len(NUM) + 1} + gidx, 1.0 FROM ({unnest_long('sm', CAT, ['imp_id'])}) JOIN gidx USING (feature, value))\n"
            ", n AS (SELECT count(*) AS n, avg(y) AS mean_y FROM yy WHERE subset = 'train')\n"
            f", w0 AS (SELECT i, CASE WHEN i = 0 THEN mean_y ELSE 0.0 END AS w FROM (SELECT unnest(range(0, {len(NUM) + 1} + k)) AS i FROM kk), n)\n")
-    for s in range(steps):
+    for s in range(steps + losses):
         out += (f", m{s} AS MATERIALIZED (SELECT imp_id, any_value(y) AS y, any_value(subset) AS subset, sum(v * w) AS m FROM ent JOIN w{s} USING (i) "
-                "JOIN yy USING (imp_id) GROUP BY imp_id)\n"
-                f", g{s} AS (SELECT i, sum(y * v) AS g FROM ent JOIN m{s} USING (imp_id) WHERE subset = 'train' AND y * m < 1 GROUP BY i)\n"
+                "JOIN yy USING (imp_id) GROUP BY imp_id)\n")
+        if s < steps:
+            out += (f", g{s} AS (SELECT i, sum(y * v) AS g FROM ent JOIN m{s} USING (imp_id) WHERE subset = 'train' AND y * m < 1 GROUP BY i)\n"
                 f", w{s + 1} AS MATERIALIZED (SELECT i, w - {lr} * (-coalesce(g, 0.0) / n + CASE WHEN i = 0 THEN 0.0 ELSE {reg} * w END) AS w "
                 f"FROM w{s} LEFT JOIN g{s} USING (i), n)\n")
     return out
@@ -525,11 +538,19 @@ def _packed_svm_sql(steps: int, lr: float = 0.1, reg: float = 0.1) -> str:
 
 q("svm_packed_steps", _packed_svm_sql(2) + union_all(
     [f"SELECT {s} AS step, CAST(i AS INTEGER) AS idx, {R('w')} AS weight FROM w{s}" for s in (1, 2)]))
+_FOLD = (f"CASE WHEN subset <> 'train' THEN NULL WHEN {md5_place_sql('imp_id', 1)} < {share_edges((0.8, 0.2))[0]} THEN 'train' ELSE 'holdout' END")
+q("svm_packed_descent", _packed_svm_sql(10, subset=_FOLD, losses=True) + union_all(
+    [f"SELECT {s} AS step, CAST(i AS INTEGER) AS idx, {R('w')} AS weight, "
+     + ", ".join(f"{R(f'(SELECT avg(greatest(0.0, 1 - y * m)) FROM m{s} WHERE subset = {chr(39)}{p}{chr(39)})')} AS {c}"
+                 for p, c in (("train", "train_loss"), ("holdout", "test_loss"))) + f" FROM w{s}" for s in range(1, 11)]))
 q("svm_packed_loss", _packed_svm_sql(1) + ", last AS (SELECT imp_id, sum(v * w) AS m FROM ent JOIN w1 USING (i) GROUP BY imp_id)\n"
   f"SELECT subset, {R('avg(greatest(0.0, 1 - y * m))')} AS hinge_loss, count(*) FILTER (WHERE m >= 0) AS clicks "
   "FROM last JOIN yy USING (imp_id) GROUP BY subset")
 _INTS = ("label", fx.NOISE_LABEL)
 q("import_headerless", ORACLES["tsv_round_trip"])
+_MISSING = "(n02 IS NULL)::INT + (n03 IS NULL)::INT + (c05 IS NULL)::INT"
+q("import_with_rejects", PRE + f"SELECT CASE WHEN {_MISSING} > 0 THEN 'fields: ' || ({len(_IMP_COLS)} - ({_MISSING})) WHEN CAST(c10 AS BIGINT) > 127 THEN 'c10' "
+  "ELSE 'typed' END AS outcome, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM impressions GROUP BY 1")
 q("malformed_fields", PRE + union_all(
     [f"SELECT '{c}' AS field, CAST(" + (f"count({c})" if c in ("c03", "c07") else "count(*) FILTER (false)") + " AS BIGINT) AS malformed FROM impressions"
      for c in [ID, *_INTS, *NUM, *CAT]]))
@@ -541,9 +562,11 @@ q("centred_scale", PRE + ", m AS (SELECT " + ", ".join(f"avg({c}) AS a_{c}" for
 q("resumable_step", ORACLES["mask_uncommon"])
 q("model_round_trip", PRE + "SELECT imp_id, true AS same FROM impressions")
 q("libsvm_round_trip", PRE + index_ctes() + _STDM + ", kk AS (SELECT count(*) AS k FROM sidx)\n"
-  ", hits AS (SELECT imp_id, count(*) AS h FROM (" + unnest_long("sm", CAT, ["imp_id"]) + ") JOIN gidx USING (feature, value) "
+  ", hits AS (SELECT imp_id, count(*) AS h, sum(gidx) AS places FROM (" + unnest_long("sm", CAT, ["imp_id"]) + ") JOIN gidx USING (feature, value) "
   "GROUP BY imp_id)\n"
-  "SELECT CAST(label AS DOUBLE) AS label, CAST(" + " + ".join(f"CASE WHEN {c}_std <> 0 THEN 1 ELSE 0 END" for c in NUM)
+  f"SELECT {R(' + '.join(f'{c}_std' for c in NUM) + ' + coalesce(h, 0)')} AS mass, "
+  f"{R(' + '.join(f'{i} * {c}_std' for i, c in enumerate(NUM)) + f' + {len(NUM)} * coalesce(h, 0) + coalesce(places, 0)')} AS places, "
+  "CAST(label AS DOUBLE) AS label, CAST(" + " + ".join(f"CASE WHEN {c}_std <> 0 THEN 1 ELSE 0 END" for c in NUM)
   + f" + coalesce(h, 0) AS INTEGER) AS nnz, CAST({len(NUM)} + k AS INTEGER) AS width "
   "FROM sm LEFT JOIN hits USING (imp_id), kk")
 
