@@ -182,11 +182,15 @@ class Index:
         return value // _TIE, np.maximum(0, low + value % _TIE), np.minimum(len(code), low + pick + m)
 
     def regions(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
-        """(text, item, start, end, edits) of every window found; places in code points."""
-        whole = "\0".join(t.replace("\0", " ") for t in texts)
+        """(text, item, start, end, edits) of every window found; places in code points.
+
+        Between two texts stand more characters that match nothing than any budget has edits, so no occurrence spans them.
+        """
+        gap = int(self.edits.max(initial=0)) + 1
+        whole = ("\0" * gap).join(t.replace("\0", " ") for t in texts)
         code, at = fold(whole)
         window, diagonal = self.bands(code)
-        starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        starts = np.cumsum([0, *(len(t) + gap for t in texts[:-1])])
         for k in range(0, len(window), ALIGN_AT_ONCE):
             w = window[k: k + ALIGN_AT_ONCE]
             edits, first, last = self.align(code, w, diagonal[k: k + ALIGN_AT_ONCE])
@@ -253,6 +257,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item was found, with their columns."""
-    columns = docs.columns
-    return find_leaks(docs, benchmark, text_col).where(F.size("leaks") == 0).select(*columns)
+    """The rows of ``docs`` in which no benchmark item was found, with their columns (one named ``leaks`` too)."""
+    struct = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].cast("string").alias("text"))
+    return find_leaks(struct, benchmark).where(F.size("leaks") == 0).select("row.*")
