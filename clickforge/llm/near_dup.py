@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickforge.llm.common import GOLDEN, components, id_and_text, keep, mix64, seeded, text_runs, word_hashes, word_spans
 
@@ -91,29 +92,38 @@ FEATURES = "doc_id long, n_shingles long, set_1 long, set_2 long, odd array<long
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, raw, offsets in text_runs(batches):
-        sizes, keys, samples = [], [], []
-        for s in shingle_sets(raw, offsets):
-            sizes.append(len(s))
-            keys.append(np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64))
-            samples.append(minhash(s))
-        samples, keys, n = np.array(samples), np.array(keys), len(sizes)
+        sets = list(shingle_sets(raw, offsets))
+        samples, n = np.array([minhash(s) for s in sets]), len(sets)
         odd, bands = odd_sketches(samples).view(np.int64), band_keys(samples).view(np.int64)
 
         def lists(x):
             return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
 
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), lists(odd), lists(bands)],
+            [rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *set_keys(sets), lists(odd), lists(bands)],
             names=["doc_id", "n_shingles", "set_1", "set_2", "odd", "bands"])
 
 
+def set_keys(sets: list[np.ndarray]) -> list[pa.Array]:
+    """A 128-bit digest of each set as two columns."""
+    keys = np.array([np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in sets], np.int64).reshape(-1, 2)
+    return [pa.array(keys[:, 0]), pa.array(keys[:, 1])]
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, raw, offsets in text_runs(batches):
         sets = list(shingle_sets(raw, offsets))
         ends = np.cumsum([0, *map(len, sets)], dtype=np.int64).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))],
-            names=["node", "shingles"])
+        shingles = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *set_keys(sets), shingles], names=["doc_id", "set_1", "set_2", "shingles"])
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with their set's size and digest."""
+    for rows, raw, offsets in text_runs(batches):
+        sets = list(shingle_sets(raw, offsets))
+        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([len(s) for s in sets], pa.int64()), *set_keys(sets)],
+                                         names=[*rows.schema.names, "n", "own_1", "own_2"])
 
 
 def odd_distance(a: str, b: str):
@@ -145,29 +155,26 @@ def _block_links(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, for every row of ``docs``.
-
-    Two documents are linked when 100 * |A and B| >= 75 * |A or B| over their shingle sets; component_id is the
-    smallest doc_id reachable, kept marks it. A null or wordless text has an empty set and no links. Each row of
-    a doc_id that occurs more than once is grouped by its own text. A null doc_id links nothing (component null,
-    kept true). Extra columns are ignored.
-    """
-    text = id_and_text(docs, id_col, text_col)
+def _grouped(text: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, set_1, set_2, component (a number of its own), component_id of every row of (doc_id, text)."""
     feats = keep(text.mapInArrow(_features, FEATURES), "near-features")
     real = feats.where("n_shingles > 0 and doc_id is not null")
-    # kept, so that Spark can split the rows of a set that very many documents share when it joins them back
-    classes = keep(real.groupBy("set_1", "set_2").agg(F.min("doc_id").alias("node")), "near-sets-seen")
-    reps = keep(real.join(classes, (real.set_1 == classes.set_1) & (real.set_2 == classes.set_2) & (real.doc_id == classes.node))
-                .select("node", "odd", "bands").dropDuplicates(["node", "odd"]), "near-classes")
+    # a class has a number of its own: two classes may share their smallest doc_id where ids repeat.
+    # Kept, so that Spark can split the rows of a set that very many documents share when it joins them back
+    classes = keep(real.groupBy("set_1", "set_2").agg(F.min("doc_id").alias("first")).withColumn("node", F.monotonically_increasing_id()), "near-sets-seen")
+    same = (real.set_1 == classes.set_1) & (real.set_2 == classes.set_2) & (real.doc_id == classes["first"])
+    reps = keep(real.join(classes, same).select("node", "odd", "bands").dropDuplicates(["node"]), "near-classes")
 
     buckets = reps.select("node", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
     members = keep(buckets.join(shared.drop("last"), "bucket"), "near-buckets")
     sources = members.select("node").distinct()
+    wanted = keep(classes.join(sources, "node", "left_semi"), "near-wanted")
     # a sort-merge join at every size, so that small inputs show what large ones cost
-    near = text.join(sources.hint("merge"), text.doc_id == sources.node, "left_semi")
-    sets = keep(near.mapInArrow(_sets, "node long, shingles array<long>"), "near-sets")
+    near = text.join(wanted.select("first").distinct().hint("merge"), text.doc_id == F.col("first"), "left_semi").mapInArrow(
+        _sets, "doc_id long, set_1 long, set_2 long, shingles array<long>")
+    same = (near.set_1 == wanted.set_1) & (near.set_2 == wanted.set_2) & (near.doc_id == wanted["first"])
+    sets = keep(near.join(wanted, same).select("node", "shingles").dropDuplicates(["node"]), "near-sets")
     sketch = reps.join(sources, "node", "left_semi").select("node", "odd")
 
     star = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
@@ -206,16 +213,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         merged.join(first, merged.top == first.node, "left_anti").select(F.col("top").alias("node"), "top"))
         .join(merged, "top", "left").select("node", F.coalesce("merged", "top").alias("component")), "near-components")
 
-    row = feats.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_1")).alias("set_1"),
-                       F.when(F.col("n_shingles") > 0, F.col("set_2")).alias("set_2"))
-    row = row.join(classes, ["set_1", "set_2"], "left")
-    out = row.join(final, "node", "left").withColumn(
-        "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    named = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = keep(named, "near-named")
+    lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = keep(named.join(lowest, "component").select("set_1", "set_2", "component", "component_id"), "near-lowest")
+    row = feats.select("doc_id", "n_shingles", *[F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in ("set_1", "set_2")])
+    return row.join(named, ["set_1", "set_2"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, for every row of ``docs``.
+
+    Two documents are linked when 100 * |A and B| >= 75 * |A or B| over their shingle sets; component_id is the
+    smallest doc_id reachable, kept marks it. A null or wordless text has an empty set and no links. Each row of
+    a doc_id that occurs more than once is grouped by its own text. A null doc_id links nothing (component null,
+    kept true). Extra columns are ignored.
+    """
+    return _grouped(id_and_text(docs, id_col, text_col)).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with their columns (a null doc_id stays)."""
-    gone = near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), docs[id_col].cast("long") == gone.doc_id, "left_anti")
+    """One row of each group of near duplicates, with its columns: of those with the smallest doc_id, the set of smallest digest.
+
+    Rows without words or without a doc_id all stay. Rows are told apart by id and text, so a repeated id loses no
+    text of its own, and a row repeated as a whole stays once.
+    """
+    rows = keep(_grouped(id_and_text(docs, id_col, text_col)).where("doc_id is not null"), "near-rows")
+    own = rows.where("set_1 is not null and doc_id = component_id").groupBy("component", "doc_id", "set_1", "set_2").agg(F.count("*").alias("copies"))
+    stays = own.groupBy("component").agg(F.min(F.struct("doc_id", "set_1", "set_2", "copies")).alias("s")).select("s.*")
+    stays = keep(stays, "near-stays")
+    counts = stays.groupBy("doc_id").agg(F.count("*").alias("staying"), F.sum("copies").alias("copies"))
+    ids = rows.groupBy("doc_id").agg(F.count("set_1").alias("sets"), F.count("*").alias("n")).join(counts, "doc_id", "left")
+    # an id's rows stay or go together, but where it repeats: only then its rows are looked at again
+    whole = F.when((F.col("sets") == 0) | (F.col("staying") == F.col("sets")), "stays") \
+        .when(F.col("staying").isNull() & (F.col("sets") == F.col("n")), "goes").otherwise("mixed")
+    ids = keep(ids.select("doc_id", whole.alias("whole")).where("whole <> 'stays'"), "near-ids")
+    key = docs[id_col].cast("long")
+    out = docs.join(ids.select("doc_id").hint("merge"), key == ids.doc_id, "left_anti")
+    mixed = ids.where("whole = 'mixed'")
+    if mixed.isEmpty():
+        return out
+    packed = docs.select(key.alias("doc_id"), docs[text_col].cast("string").alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    packed = packed.join(mixed, "doc_id", "left_semi")
+    found = packed.mapInArrow(_digested, T.StructType([*packed.schema.fields, T.StructField("n", T.LongType()), T.StructField("own_1", T.LongType()),
+                                                       T.StructField("own_2", T.LongType())]))
+    one = found.join(stays, (found.doc_id == stays.doc_id) & (found.own_1 == stays.set_1) & (found.own_2 == stays.set_2), "left_semi")
+    one = one.where("n > 0").dropDuplicates(["doc_id", "own_1", "own_2"])
+    return out.unionByName(found.where("n = 0").unionByName(one).select("row.*"))

@@ -72,3 +72,26 @@ def test_odd_sketch_estimates_high_similarity():
     z = int(np.bitwise_count(odd[0] ^ odd[1]).sum())
     estimate = 1 + near_dup.ODD_BITS / (4 * near_dup.SAMPLES) * np.log(1 - 2 * z / near_dup.ODD_BITS)
     assert abs(estimate - 900 / 1100) < 0.12
+
+
+def test_rows_of_a_repeated_id_are_told_apart(spark):
+    """Rows are grouped and dropped by id and text: no text that is its own is lost."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    near_a, near_b = a + " more", "less " + b
+    rows = [(1, a), (5, near_a), (5, b), (9, near_b)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 1, True), (5, 1, False), (5, 5, True), (9, 5, False)]
+
+    def stay(rows):
+        df = spark.createDataFrame([(i, t, {"k": i}) for i, t in rows], "doc_id long, text string, node map<string,int>").repartition(3)
+        out = near_dup.without_near_duplicates(df)
+        assert out.columns == df.columns
+        return sorted((r.doc_id or 0, r.text or "") for r in out.collect())
+
+    assert stay(rows) == [(1, a), (5, b)]
+    assert stay([(1, a), (5, a), (5, c)]) == [(1, a), (5, c)]
+    assert stay([(5, b), (5, c), (9, near_b)]) == [(5, b), (5, c)]
+    assert stay([(1, a), (1, a), (1, None), (1, ""), (2, near_a), (2, " ")]) == [(1, ""), (1, ""), (1, a), (2, " ")]
+    assert stay([(None, a), (None, a), (3, a), (4, a)]) == [(0, a), (0, a), (3, a)]
+    one = stay([(1, a), (1, near_a)])
+    assert len(one) == 1 and one[0][0] == 1
