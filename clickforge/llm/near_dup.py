@@ -193,9 +193,10 @@ def _grouped(text: DataFrame) -> DataFrame:
     named = keep(named.join(mixed.drop("high"), "bucket").select("node", "component", "low").distinct(), "near-mixed")
     clusters = components(named.select(F.col("component").alias("a"), F.col("low").alias("b"))) \
         .select(F.col("node").alias("component"), F.col("component").alias("cluster"))
-    left = (named.select("node", "component").distinct().join(clusters, "component")
+    # the smallest component of a cluster has no entry of its own
+    left = (named.select("node", "component").distinct().join(clusters, "component", "left")
             .join(sketch, "node").join(sets, "node"))
-    left = keep(left.select("cluster", "component", "node", "odd", "shingles"), "near-left")
+    left = keep(left.select(F.coalesce("cluster", "component").alias("cluster"), "component", "node", "odd", "shingles"), "near-left")
     weight = left.groupBy("cluster").agg(F.ceil(F.sum(F.size("shingles") + 64) / BLOCK_SHINGLES).cast("int").alias("blocks"))
     left = left.join(weight, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
