@@ -1,18 +1,22 @@
 """Quality rules: repetition rules and the divergence of a text from its language's profile.
 
-All in DataFrame expressions: one narrow projection per document, no shuffle, no Python. The references are one
-row per language, summed over all documents in whole millionths, so they do not depend on the order of rows.
-Languages of at least one in a hundred documents (at most a hundred rows) are compared with every document; any
-rarer language is a row of a table joined by ``lang``, so its documents are also compared with their own reference.
-
-A document is rejected by the method when for each of these languages its character classes or its common words lie
-further (Jensen-Shannon distance, base 2) from the reference than the limit for its length; short documents
-are not judged, since a histogram of few words says little.
+All in DataFrame expressions, no Python. One narrow projection counts what the rules need and is written; all that
+follows reads these counts. The references are one row per language, summed over all documents in whole millionths,
+so they do not depend on the order of rows. Languages of at least one in a hundred documents (at most a hundred
+rows) are compared with every document; any rarer language is a row of a table joined by ``lang``, so its documents
+are also compared with their own reference.
+
+A document is rejected by the method when its character classes or its common words lie further (Jensen-Shannon
+distance, base 2) from the nearest of these references than the limit of its length class. The limits come from
+the nearest distances of all documents that pass the base rule: a far-out fence, the upper quartile and ``FENCE``
+times the distance between the quartiles, in thousandths, and no less than one and a half upper quartiles (where
+nearly all distances are equal). Documents of fewer than 50 words are not judged, since a histogram of
+few words says little.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +38,10 @@ VARIANTS = [v for w in COMMON for v in (w, w[0].upper() + w[1:])]
 CLASSES = ("upper", "lower", "digit", "punctuation", "space", "other")
 
 MIN_WORDS, MAX_REPEAT_PERCENT, SPAN = 10, 20, 5
-#: (words, greatest distance of the character classes, of the common words), the longest guard that a text meets.
-LIMITS = ((50, 0.28, 0.40), (200, 0.22, 0.34))
+#: Words from which a length class begins; shorter texts are not judged.
+GUARDS = (50, 100, 200)
+#: Quartile distances from the upper quartile to the limit, and the step of the distances' histogram in millionths.
+FENCE, STEP = 4, 1000
 MILLION = 1_000_000
 #: From this share of the documents on, a language's reference is compared with documents of every language.
 MIN_LANG_SHARE = 0.01
@@ -47,6 +53,8 @@ class References:
 
     common: list[tuple[str, list[float], list[float]]]
     rare: DataFrame | None
+    #: (length class, ``c`` or ``w``) to the greatest distance in steps, see :func:`distance_limits`
+    limits: dict[tuple[int, str], int] = field(default_factory=dict)
 
 
 def _count(text: Column, not_wanted: str) -> Column:
@@ -78,17 +86,16 @@ def with_histograms(df: DataFrame) -> DataFrame:
     return df.withColumn("_chars", chars).withColumn("_common", F.array(*common, F.col("n_words") - F.length("_c")))
 
 
-def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
+def language_references(counts: DataFrame) -> References:
     """Shares of every language, the mean over its documents of at least 50 words."""
-    df = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text"))
-    df = with_histograms(with_words(df, F.col("text")).where(f"lang is not null and n_words >= {LIMITS[0][0]}"))
+    df = counts.where(f"_lang is not null and n_words >= {GUARDS[0]}")
     char_sums, word_sums = [f"c{k}" for k in range(len(CLASSES))], [f"w{k}" for k in range(len(COMMON) + 1)]
-    sums = [F.sum(F.round(MILLION * F.col("_chars")[k] / F.length("_t")).cast("long")).alias(x) for k, x in enumerate(char_sums)]
+    sums = [F.sum(F.round(MILLION * F.col("_chars")[k] / F.col("_length")).cast("long")).alias(x) for k, x in enumerate(char_sums)]
     sums += [F.sum(F.round(MILLION * F.col("_common")[k] / F.col("n_words")).cast("long")).alias(x) for k, x in enumerate(word_sums)]
-    found = keep(df.groupBy("lang").agg(F.count("*").alias("n"), *sums), "quality-languages")
+    found = keep(df.groupBy("_lang").agg(F.count("*").alias("n"), *sums), "quality-languages")
     total = found.agg(F.sum("n").alias("n")).first().n or 0
     is_common = F.col("n") >= MIN_LANG_SHARE * total
-    rows = found.where(is_common).orderBy("lang").collect()  # at most 1 / MIN_LANG_SHARE rows
+    rows = found.where(is_common).orderBy("_lang").collect()  # at most 1 / MIN_LANG_SHARE rows
 
     def share(row, names):
         whole = sum(row[x] for x in names)
@@ -98,8 +105,8 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
         whole = sum((F.col(x) for x in names[1:]), F.col(names[0]))
         return F.array(*[F.col(x) / whole for x in names])
 
-    rare = found.where(~is_common).select(F.col("lang").alias("_lang"), shares(char_sums).alias("_rc"), shares(word_sums).alias("_rw"))
-    return References([(r.lang, share(r, char_sums), share(r, word_sums)) for r in rows], None if rare.isEmpty() else rare)
+    rare = found.where(~is_common).select("_lang", shares(char_sums).alias("_rc"), shares(word_sums).alias("_rw"))
+    return References([(r["_lang"], share(r, char_sums), share(r, word_sums)) for r in rows], None if rare.isEmpty() else rare)
 
 
 def js_distance(shares: str, reference: Column) -> Column:
@@ -132,51 +139,104 @@ def with_repeats(df: DataFrame) -> DataFrame:
         f"aggregate(transform(_p, (x, i) -> least({SPAN}L, coalesce(get(_p, i + 1) - x, {SPAN}L))), 0L, (a, x) -> a + x)"))
 
 
-def quality_rules(docs: DataFrame, references: References | None = None,
-                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with a struct column ``quality``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    char_distance, word_distance (millionths, to the nearest language; null without references or words),
-    base_failed, kept.
-
-    A null or empty text has no words, so it fails the base rule (fewer than ten words). A document without a
-    language is compared with the common languages only; without any of them the method does not judge it. Repeated rows get equal results; every
-    other column passes through untouched, but one named ``quality`` is replaced.
-    """
-    if references is None:
-        references = language_references(docs, text_col, lang_col)
-    columns = [F.struct(*[docs[c] for c in docs.columns if c != "quality"]).alias("_row"), docs[text_col].cast("string").alias("_text")]
-    if references.rare is None:
-        df = docs.select(*columns)
-    else:
-        df = docs.select(*columns, docs[lang_col].cast("string").alias("_lang")).join(references.rare, "_lang", "left")
+def quality_counts(docs: DataFrame, carry: list[str] | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """What the rules count in every document, written: ``_row`` (the carried columns, by default all but one named
+    ``quality``), ``_lang``, the counts of the rules and the two histograms."""
+    carry = [c for c in docs.columns if c != "quality"] if carry is None else carry
+    row = F.struct(*[docs[c] for c in carry]) if carry else F.struct(F.lit(True).alias("_none"))
+    df = docs.select(row.alias("_row"), docs[text_col].cast("string").alias("_text"),
+                     docs[lang_col].cast("string").alias("_lang"))
     df = with_repeats(with_histograms(with_words(df, F.col("_text"))))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD))
     df = df.withColumn("_lines", lines).withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
     df = df.withColumn("n_symbols", F.size(F.regexp_extract_all("_t", F.lit("[#*$%&|<>]"), F.lit(0))).cast("long"))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                        | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    judged = F.col("n_words") > 0
-    df = df.withColumn("_chars", F.transform("_chars", lambda x: F.try_divide(x, F.length("_t"))))
+    return keep(df.select("_row", "_lang", F.length("_t").alias("_length"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                          "base_failed", "_chars", "_common"), "quality-counts")
+
+
+def with_distances(counts: DataFrame, references: References) -> DataFrame:
+    """``_d``: the distances (c, w) in millionths of every document with words from each reference it is compared with."""
+    df = counts if references.rare is None else counts.join(references.rare, "_lang", "left")
+    df = df.withColumn("_chars", F.transform("_chars", lambda x: F.try_divide(x, F.col("_length"))))
     df = df.withColumn("_common", F.transform("_common", lambda x: F.try_divide(x, F.col("n_words"))))
 
     def distances(chars: Column, words: Column) -> Column:
         return F.struct(js_distance("_chars", chars).alias("c"), js_distance("_common", words).alias("w"))
 
     near = [distances(*[F.array(*[F.lit(float(x)) for x in shares]) for shares in both]) for _, *both in references.common]
-    none = F.lit(None).cast("array<struct<c:bigint,w:bigint>>")
-    compared = F.array(*near) if near else none
+    compared = F.array(*near) if near else F.lit(None).cast("array<struct<c:bigint,w:bigint>>")
     if references.rare is not None:
-        own = distances(F.col("_rc"), F.col("_rw"))
-        compared = F.when(F.col("_rc").isNotNull(), F.array(*near, own)).otherwise(compared)
-    df = df.withColumn("_d", F.when(judged, compared))
+        compared = F.when(F.col("_rc").isNotNull(), F.array(*near, distances(F.col("_rc"), F.col("_rw")))).otherwise(compared)
+    return df.withColumn("_d", F.when(F.col("n_words") > 0, compared))
+
+
+def nearest(kind: str) -> Column:
+    """The least distance ``c`` or ``w`` of ``_d``."""
+    return F.array_min(F.transform("_d", lambda d: d[kind]))
+
+
+def length_class() -> Column:
+    """The guard that a text reaches, null below the first."""
+    out = F.lit(None).cast("int")
+    for words in GUARDS:
+        out = F.when(F.col("n_words") >= words, F.lit(words)).otherwise(out)
+    return out
+
+
+def distance_limits(measured: DataFrame) -> dict[tuple[int, str], int]:
+    """{(length class, ``c`` or ``w``): greatest distance in steps}, from the nearest distances of all documents that pass the base rule."""
+    steps = F.array(*[F.struct(F.lit(k).alias("kind"), F.floor(nearest(k) / STEP).alias("step")) for k in "cw"])
+    rows = measured.where("not base_failed and _d is not null").select(length_class().alias("words"), F.explode(steps).alias("x"))
+    found = rows.where("words is not null").groupBy("words", "x.kind", "x.step").agg(F.count("*").alias("n")).collect()  # at most 1,001 steps a class and kind
+    limits = {}
+    for key in {(r["words"], r["kind"]) for r in found}:
+        steps = sorted((r["step"], r["n"]) for r in found if (r["words"], r["kind"]) == key)
+        total, seen, quartile = sum(n for _, n in steps), 0, {}
+        for step, n in steps:
+            seen += n
+            for q in (1, 3):
+                if 4 * seen >= q * total:
+                    quartile.setdefault(q, step)
+        limits[key] = max(quartile[3] + FENCE * (quartile[3] - quartile[1]), 3 * quartile[3] // 2)
+    return limits
+
+
+def fit_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
+    """References and limits of a corpus, to judge other documents by."""
+    return _fitted(quality_counts(docs, [], text_col, lang_col))
+
+
+def _fitted(counts: DataFrame) -> References:
+    references = language_references(counts)
+    references.limits = distance_limits(with_distances(counts, references))
+    return references
+
+
+def quality_rules(docs: DataFrame, references: References | None = None, carry: list[str] | None = None, text_col: str = "text",
+                  lang_col: str = "lang") -> DataFrame:
+    """``docs`` with a struct column ``quality``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    char_distance, word_distance (millionths, to the nearest language; null without references or words),
+    base_failed, kept. ``carry`` names the columns to return (by default all); without ``references`` the documents
+    are judged by their own.
+
+    A null or empty text has no words, so it fails the base rule (fewer than ten words). A document without a
+    language is compared with the common languages only; without any of them the method does not judge it. Repeated rows get equal results; every
+    other column passes through untouched, but one named ``quality`` is replaced.
+    """
+    counts = quality_counts(docs, carry, text_col, lang_col)
+    references = references or _fitted(counts)
+    measured, limits = with_distances(counts, references), references.limits
     far = F.lit(False)
-    for words, most_c, most_w in LIMITS:
-        bad = F.forall("_d", lambda d: (d["c"] > round(most_c * MILLION)) | (d["w"] > round(most_w * MILLION)))
-        far = F.when(F.col("n_words") >= words, F.coalesce(bad, F.lit(False))).otherwise(far)
+    for words in GUARDS:
+        if (words, "c") in limits:
+            most_c, most_w = ((limits[words, k] + 1) * STEP for k in "cw")
+            beyond = (nearest("c") >= most_c) | (nearest("w") >= most_w)
+            far = F.when(F.col("n_words") >= words, F.coalesce(beyond, F.lit(False))).otherwise(far)
     told = F.struct(
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        F.array_min(F.transform("_d", lambda d: d["c"])).alias("char_distance"),
-        F.array_min(F.transform("_d", lambda d: d["w"])).alias("word_distance"),
+        nearest("c").alias("char_distance"), nearest("w").alias("word_distance"),
         "base_failed", (~F.col("base_failed") & ~far).alias("kept"))
     # an array of one: a filter on the verdict stays above it and is not expanded into all these expressions
-    return df.select("_row", F.explode(F.array(told)).alias("_quality")).select("_row.*", F.col("_quality").alias("quality"))
+    return measured.select("_row", F.explode(F.array(told)).alias("_quality")).select("_row.*", F.col("_quality").alias("quality"))

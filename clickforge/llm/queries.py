@@ -63,7 +63,19 @@ def op2(spark, sf_dir):
 def quality_sql() -> str:
     words = ", ".join(f"({k}, '{v}')" for k, w in enumerate(qual.COMMON) for v in sorted({w, w[0].upper() + w[1:]}))
     other = len(qual.COMMON)
-    (n1, c1, w1), (n2, c2, w2) = qual.LIMITS
+    n1 = qual.GUARDS[0]
+    guard = "CASE " + " ".join(f"WHEN n >= {w} THEN {w}" for w in reversed(qual.GUARDS)) + " END"
+
+    def quartile(kind: str, q: int) -> str:
+        """Per length class the smallest step that at least q quarters of the documents do not exceed."""
+        return f"""
+  SELECT guard, min(step) FILTER (4 * seen >= {q} * total) AS q{q} FROM (
+    SELECT guard, step, sum(c) OVER (PARTITION BY guard ORDER BY step) AS seen, sum(c) OVER (PARTITION BY guard) AS total
+    FROM (SELECT guard, {kind} // {qual.STEP} AS step, count(*) AS c FROM nearest GROUP BY 1, 2)) GROUP BY guard"""
+
+    def limit(kind: str) -> str:
+        return f"""
+  SELECT guard, greatest(q3 + {qual.FENCE} * (q3 - q1), 3 * q3 // 2) AS {kind} FROM ({quartile(kind, 1)}) JOIN ({quartile(kind, 3)}) USING (guard)"""
 
     def js(table: str, key: str) -> str:
         """Distance of every document from every language over the shares in ``table``."""
@@ -72,13 +84,14 @@ def quality_sql() -> str:
   SELECT p.doc_id, q.lang, CAST(round(1000000 * sqrt(greatest(0.0, sum(
     (CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END
      + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({p} + {q})) ELSE 0 END) / 2)))) AS BIGINT) AS {key}
-  FROM {table} p JOIN {table}_ref q ON p.k = q.k GROUP BY 1, 2"""
+  FROM (SELECT * FROM {table} JOIN base USING (doc_id)) p JOIN {table}_ref q ON p.k = q.k AND (q.lang IN (SELECT lang FROM langs) OR q.lang = p.lang)
+  GROUP BY 1, 2"""
 
     def ref(table: str) -> str:
         return f"""
   SELECT lang, k, s / sum(s) OVER (PARTITION BY lang) AS share FROM (
     SELECT lang, k, sum(CAST(round(1000000 * share) AS BIGINT)) AS s FROM {table} JOIN base USING (doc_id)
-    WHERE n >= {n1} AND lang IN (SELECT lang FROM langs) GROUP BY 1, 2)"""
+    WHERE n >= {n1} AND lang IS NOT NULL GROUP BY 1, 2)"""
 
     return rf"""
 WITH base AS (
@@ -111,14 +124,15 @@ sized AS (SELECT lang, count(*) AS c FROM base WHERE lang IS NOT NULL AND n >= {
 langs AS (SELECT lang FROM sized WHERE c >= {qual.MIN_LANG_SHARE} * (SELECT sum(c) FROM sized)),
 chars_ref AS ({ref("chars")}),
 common_ref AS ({ref("common")}),
-far AS (
-  SELECT doc_id, min(cd) AS char_distance, min(wd) AS word_distance,
-    bool_and(cd > {round(c1 * 1e6)} OR wd > {round(w1 * 1e6)}) AS far_1, bool_and(cd > {round(c2 * 1e6)} OR wd > {round(w2 * 1e6)}) AS far_2
-  FROM ({js("chars", "cd")}) JOIN ({js("common", "wd")}) USING (doc_id, lang) GROUP BY 1),
+pairs AS MATERIALIZED (SELECT * FROM ({js("chars", "cd")}) JOIN ({js("common", "wd")}) USING (doc_id, lang)),
+near AS (SELECT doc_id, min(cd) AS char_distance, min(wd) AS word_distance FROM pairs GROUP BY 1),
+ruled AS (
+  SELECT *, {guard} AS guard, n < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n AS base_failed
+  FROM feats LEFT JOIN reps USING (doc_id) LEFT JOIN near USING (doc_id)),
+nearest AS (SELECT guard, char_distance AS c, word_distance AS w FROM ruled WHERE guard IS NOT NULL AND NOT base_failed AND char_distance IS NOT NULL),
+limits AS (SELECT * FROM ({limit("c")}) JOIN ({limit("w")}) USING (guard)),
 told AS (
-  SELECT *, n < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n AS base_failed,
-    CASE WHEN n >= {n2} THEN far_2 WHEN n >= {n1} THEN far_1 ELSE false END AS is_far
-  FROM feats LEFT JOIN reps USING (doc_id) LEFT JOIN far USING (doc_id))
+  SELECT ruled.*, coalesce(char_distance // {qual.STEP} > c OR word_distance // {qual.STEP} > w, false) AS is_far FROM ruled LEFT JOIN limits USING (guard))
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(wc AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
   base_failed, NOT base_failed AND NOT coalesce(is_far, false) AS kept, char_distance, word_distance FROM told"""
@@ -126,7 +140,7 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(wc AS BIGINT) AS word_chars, C
 
 @query("op5_quality_rules", quality_sql())
 def op5(spark, sf_dir):
-    out = qual.quality_rules(load(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id", "quality.*")
+    out = qual.quality_rules(load(spark, sf_dir, "documents"), carry=["doc_id"]).select("doc_id", "quality.*")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                       "char_distance", "word_distance")
 
@@ -191,7 +205,9 @@ def licence_sql() -> str:
         return "'" + x.replace("'", "''") + "'"
 
     keywords = " OR ".join(f"contains(lower(t), {text(k)})" for k in lic.KEYWORDS)
-    cases = " ".join(f"WHEN regexp_matches(s, {text(p)}) THEN {text(n)}" for n, p in lic.SENTENCES)
+    *known, (other, other_pattern) = lic.SENTENCES
+    places = ", ".join(f"CASE WHEN regexp_matches(s, {text(p)}) THEN {{'at': length(regexp_extract(s, {text('^(.*?)(?:' + p + ')')}, 1)), 'k': {k}, 'name': {text(n)}}} END"
+                       for k, (n, p) in enumerate(known))
     steps, last = [], "told"
     for k, (name, pattern) in enumerate(lic.RULES):
         whole = text(f"(^|,){pattern}")
@@ -205,7 +221,8 @@ cut AS (
     {text(lic.SENTENCE_END)}, '' || chr(1), 'g'), '[ 	
 ]+', ' ', 'g')), chr(1)) AS ss FROM docs WHERE {keywords}),
 ids AS (
-  SELECT doc_id, list_filter(list_transform(ss, lambda s: CASE {cases} END), lambda x: x IS NOT NULL) AS ids FROM cut),
+  SELECT doc_id, flatten(list_transform(list_transform(ss, lambda s: {{'s': s, 'found': list_sort(list_filter([{places}], lambda x: x IS NOT NULL))}}),
+    lambda y: CASE WHEN len(y.found) > 0 THEN list_transform(y.found, lambda x: x.name) WHEN regexp_matches(y.s, {text(other_pattern)}) THEN [{text(other)}] ELSE [] END)) AS ids FROM cut),
 told AS (
   SELECT doc_id, coalesce(ids, []) AS ids, CASE WHEN len(ids) > 0 THEN array_to_string(ids, ',') || ',' ELSE '' END AS left_over,
     CAST([] AS VARCHAR[]) AS names FROM docs LEFT JOIN ids USING (doc_id)),

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 from clickforge.llm import licenses, pii
 from clickforge.llm.line_dedup import drop_repeated_lines, repeated_lines
-from clickforge.llm.quality import language_references, quality_rules
+from clickforge.llm.quality import fit_quality, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -33,7 +33,7 @@ def test_quality_keeps_good_documents(spark, sf, docs):
 
 
 def test_quality_rejects_odd_characters(spark, docs):
-    refs = language_references(docs)
+    refs = fit_quality(docs)
     shout = " ".join(f"AB{i}!!%% | {i}#" for i in range(300))
     row = quality_rules(spark.createDataFrame([(1, shout)], "doc_id long, text string").selectExpr("*", "'en' lang"), refs).first()
     assert not row.quality.base_failed and not row.quality.kept
