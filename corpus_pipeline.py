@@ -2,6 +2,10 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept; the first four
 return the columns of ``documents`` (``n_chars`` follows the text).
+
+Null and empty texts fail the quality rules; handed to a later stage they stay, and are packed as the end mark alone.
+Rows without a doc_id stay in every stage. Rows that repeat an id are told apart by their text. An empty table gives
+an empty table; further columns, whatever their names, pass through.
 """
 
 from __future__ import annotations
@@ -22,12 +26,15 @@ TOKENIZER = "word_bpe_49k.json"
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules(docs).where("quality.kept").select(*docs.columns)
+    rows = docs.select("text", "lang", F.struct(*docs.columns).alias("row"))
+    return quality_rules(rows, carry=["row"]).where("quality.kept").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that a smaller doc_id also holds; every document stays."""
-    return drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return drop_repeated_lines(rows).select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
