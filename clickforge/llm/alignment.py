@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickforge.llm.common import RUN_BYTES, id_and_text, keep
+from clickforge.llm.common import id_and_text, keep
 
 #: Pair counts up to this many bytes (24 a pair) are broadcast.
 COUNT_BYTES = 64 << 20
-#: Distinct pairs that a task holds before it hands their counts on; token pairs of one run of texts.
-HELD, RUN_LINKS = 1 << 20, 1 << 19
+#: Distinct pairs that a task holds before it hands their counts on; tokens of one run of texts; rows written at once.
+HELD, RUN_TOKENS, ROWS = 1 << 20, 1 << 17, 256
 
 #: The split of the byte-level tokenizer (a fixed value of its vocabulary).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -46,7 +45,6 @@ class Pair:
     def __init__(self, byte_path: str, piece_path: str):
         import sentencepiece
         import tiktoken
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(byte_path, encoding="utf-8") as f:
             spec = json.load(f)
         alphabet, special = byte_of_char(), {t["content"] for t in spec["added_tokens"]}
@@ -62,38 +60,30 @@ class Pair:
                         else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(n)]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
 
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
-        """Ids of both; none where either's bytes are not the text behind one space."""
+    def encode(self, text: str) -> tuple[bytes, bytes]:
+        """Ids of both, packed; none where either's bytes are not the text behind one space."""
         if not text:
-            return [], []
+            return b"", b""
         whole = " " + text
         a, b, raw = self.a.encode_ordinary(whole), self.b.encode(text, num_threads=1), whole.encode()
         if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return [], []
-        return a, b
+            return b"", b""
+        return np.array(a, width_of(self.a_size)).tobytes(), np.array(b, width_of(self.b_size)).tobytes()
 
 
-def lists_of(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+def width_of(sizes: np.ndarray) -> np.dtype:
+    """The type that holds the ids of a vocabulary: two bytes where they do."""
+    return np.dtype("<u2" if len(sizes) <= 1 << 16 else "<u4")
 
 
 def _encoded(byte_path: str, piece_path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(byte_path, piece_path)
         for batch in batches:
-            start, size = 0, 0
-            lengths = [len(x.as_py() or "") if x.is_valid else 0 for x in batch.column("text")]
-            for stop in range(1, len(batch) + 1):
-                size += lengths[stop - 1]
-                if size < RUN_BYTES and stop < len(batch):
-                    continue
-                found = [pair.encode(x.as_py() or "") for x in batch.column("text").slice(start, stop - start)]
-                cols = [batch.column("doc_id").slice(start, stop - start)]
-                for k in (0, 1):
-                    ends = np.cumsum([0, *(len(f[k]) for f in found)])
-                    cols.append(lists_of(np.concatenate([np.array(f[k], np.int32) for f in found]), ends))
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "a", "b"])
-                start, size = stop, 0
+            for start in range(0, len(batch), ROWS):
+                part = batch.slice(start, ROWS)
+                found = [pair.encode(x.as_py() or "") for x in part.column("text")]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array([f[k] for f in found], pa.binary()) for k in (0, 1))], names=["doc_id", "a", "b"])
     return encode
 
 
@@ -125,16 +115,25 @@ class Aligned:
         return at, np.repeat(self.first, many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
 
 
+def unpacked(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of packed ids, and where each row's begin and the last one's end."""
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset: column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[ends[0]: ends[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
+    return raw.view(kind), (ends - ends[0]) // kind.itemsize
+
+
 def runs_of(batches: Iterator[pa.RecordBatch], a_size: np.ndarray, b_size: np.ndarray) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
-    """Runs of rows of about RUN_LINKS tokens (a longer text is a run of its own)."""
+    """Runs of rows of about RUN_TOKENS tokens (a longer text is a run of its own)."""
     for batch in batches:
-        off = [batch.column(c).offsets.to_numpy() for c in ("a", "b")]
-        ids = [batch.column(c).values.to_numpy(zero_copy_only=False) for c in ("a", "b")]
-        start = 0
+        if not len(batch):
+            continue
+        sides = [unpacked(batch.column(c), width_of(size)) for c, size in (("a", a_size), ("b", b_size))]
+        start, off = 0, sides[0][1]
         while start < len(batch):
-            stop = max(start + 1, int(np.searchsorted(off[0], off[0][start] + RUN_LINKS, "right")) - 1)
-            token = [i[o[start]: o[stop]].astype(np.int64) for i, o in zip(ids, off)]
-            text = [np.repeat(np.arange(stop - start), np.diff(o[start: stop + 1])) for o in off]
+            stop = max(start + 1, int(np.searchsorted(off, off[start] + RUN_TOKENS, "right")) - 1)
+            token = [ids[o[start]: o[stop]].astype(np.int64) for ids, o in sides]
+            text = [np.repeat(np.arange(stop - start), np.diff(o[start: stop + 1])) for _, o in sides]
             yield batch.slice(start, stop - start), Aligned(*token, *text, a_size, b_size)
             start = stop
 
@@ -160,18 +159,22 @@ def _pair_counts(a_size: np.ndarray, b_size: np.ndarray):
     return count
 
 
-def spelled_groups(run: Aligned, texts: int) -> list[str]:
-    """Per text: ``a1,a2|b1;a3|b2,b3`` - its groups in order."""
-    cut_a = np.append(run.group_a[1:] != run.group_a[:-1], True)[: len(run.a)]
-    cut_b = np.append(run.group_b[1:] != run.group_b[:-1], True)[: len(run.b)]
-    group = np.concatenate([run.group_a, run.group_b])
-    side = np.repeat([0, 1], [len(run.a), len(run.b)])
-    order = np.lexsort((np.arange(len(group)), side, group))
-    mark = np.array([",", "|", ";"])[np.concatenate([cut_a * 1, cut_b * 2])][order]
-    token = np.concatenate([run.a, run.b])[order].tolist()
-    words = [f"{i}{m}" for i, m in zip(token, mark.tolist())]
-    ends = np.searchsorted(np.concatenate([run.text_a, run.text_b])[order], np.arange(texts + 1)).tolist()
-    return ["".join(words[x:y])[:-1] for x, y in zip(ends[:-1], ends[1:])]
+class Speller:
+    """``a1,a2|b1;a3|b2,b3`` for every text: each id with the mark behind it is looked up, then all are joined."""
+
+    def __init__(self, a_ids: int, b_ids: int):
+        self.b_from = 2 * a_ids
+        self.words = [f"{i}{m}" for i in range(a_ids) for m in ",|"] + [f"{i}{m}" for i in range(b_ids) for m in ",;"]
+
+    def groups(self, run: Aligned, texts: int) -> list[str]:
+        cut_a = np.append(run.group_a[1:] != run.group_a[:-1], True)[: len(run.a)]
+        cut_b = np.append(run.group_b[1:] != run.group_b[:-1], True)[: len(run.b)]
+        # two ascending runs merge: by group, its A tokens first
+        order = np.argsort(np.concatenate([2 * run.group_a, 2 * run.group_b + 1]), kind="stable")
+        code = np.concatenate([2 * run.a + cut_a, self.b_from + 2 * run.b + cut_b])[order].tolist()
+        words = list(map(self.words.__getitem__, code))
+        ends = np.searchsorted(np.concatenate([run.text_a, run.text_b])[order], np.arange(texts + 1)).tolist()
+        return ["".join(words[x:y])[:-1] for x, y in zip(ends[:-1], ends[1:])]
 
 
 NUMBERS = ["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -181,6 +184,7 @@ DIGEST = ", ".join(f"{c} long" for c in NUMBERS) + ", groups_sha256 string"
 def _digests(a_size: np.ndarray, b_size: np.ndarray, counts):
     """Digest columns of every text; ``counts``: broadcast (sorted pair codes, counts, is best), or None: n_best and count_sum are null."""
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = Speller(len(a_size), len(b_size))
         for rows, run in runs_of(batches, a_size, b_size):
             n = len(rows)
             at, to = run.links()
@@ -194,7 +198,7 @@ def _digests(a_size: np.ndarray, b_size: np.ndarray, counts):
                 place = np.searchsorted(codes, (run.a[at] << 32) | run.b[to])
                 cols.append(np.bincount(text[best[place]], minlength=n))
                 cols.append(np.add.reduceat(np.append(size[place], 0), np.searchsorted(text, np.arange(n))) * (cols[3] > 0))
-            sha = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in spelled_groups(run, n)]
+            sha = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in speller.groups(run, n)]
             cols = [rows.column("doc_id"), rows.column("row"), *(x if isinstance(x, pa.Array) else pa.array(x, pa.int64()) for x in cols)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(sha, pa.string())], names=[*NUMBERS, "groups_sha256"])
     return digest
@@ -223,8 +227,8 @@ def pair_counts(tokens: DataFrame, a_size: np.ndarray, b_size: np.ndarray) -> Da
 
 
 def encode_documents(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, a, b, row: the ids of both tokenizers for every row (written); ``row`` numbers the rows."""
-    found = id_and_text(docs, id_col, text_col).mapInArrow(_encoded(byte_path, piece_path), "doc_id long, a array<int>, b array<int>")
+    """doc_id, a, b, row: the packed ids of both tokenizers for every row (written); ``row`` numbers the rows."""
+    found = id_and_text(docs, id_col, text_col).mapInArrow(_encoded(byte_path, piece_path), "doc_id long, a binary, b binary")
     return keep(found.withColumn("row", F.monotonically_increasing_id()), "align-tokens")
 
 
