@@ -24,3 +24,14 @@ def test_exact_median_imputer_gives_the_lower_median(spark):
     assert model.transform(spark.createDataFrame([(None, 1.0, None)], "a double, b double, c double")).first()["a_imp"] == 2500.0
     with pytest.raises(ValueError, match="no median"):
         num.fit_median_imputer(df.withColumn("b", F.lit(None).cast("double")), ["a", "b"])
+
+
+def test_dense_sums_are_those_of_the_dense_vector(spark, tmp_path):
+    width = 2 * sparse.TILE_PLACES + 5
+    rows = [(f"k{i}", [] if i == 3 else sorted({0, i, width - 1 - i, sparse.TILE_PLACES - 1 + i % 2})) for i in range(150)]
+    df = spark.createDataFrame(rows, "key string, places array<int>")
+    df.select("key", sparse.vector(sparse.one_hot_entries("places"), width, "v")).write.parquet(f"{tmp_path}/v")
+    dense = sparse.read_vectors(spark, f"{tmp_path}/v").select("key", vector_to_array("v").alias("d"))
+    want = {r.key: (len(r.d), sum(r.d), sum(i * x for i, x in enumerate(r.d))) for r in dense.collect()}
+    got = {r.key: (r.width, r.mass, r.places) for r in sparse.dense_sums(spark.read.parquet(f"{tmp_path}/v"), "v", ["key"]).collect()}
+    assert got == want and got["k3"] == (width, 0.0, 0.0)
