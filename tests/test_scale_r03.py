@@ -35,3 +35,21 @@ def test_dense_sums_are_those_of_the_dense_vector(spark, tmp_path):
     want = {r.key: (len(r.d), sum(r.d), sum(i * x for i, x in enumerate(r.d))) for r in dense.collect()}
     got = {r.key: (r.width, r.mass, r.places) for r in sparse.dense_sums(spark.read.parquet(f"{tmp_path}/v"), "v", ["key"]).collect()}
     assert got == want and got["k3"] == (width, 0.0, 0.0)
+
+
+def test_sweep_on_blocks_is_the_sweep_on_rows(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 2))
+    rows = [(None if i == 5 else 1 if a + 0.3 * b > 0 else -1, 1.0, float("nan") if i == 9 else float(a), float(b)) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows, "y int, x0 double, x1 double, x2 double")
+    w = [0.2, 0.1, -0.1]
+    want = svm.step_sums_many(df.withColumn("p", F.lit("train")), [w, [0.0, 1.0, 0.0]], part="p")["train"]
+    got = svm.block_sums(svm.point_blocks(df.withColumn("p", F.lit("train")).repartition(3), "p", 2), [w, [0.0, 1.0, 0.0]])["train"]
+    for a, b in zip(got, want):
+        assert a["n"] == b["n"] == 400
+        assert {k: pytest.approx(v, abs=1e-9, nan_ok=True) for k, v in b.items()} == a
+    clean = df.where("y is not null and not isnan(x1)")
+    hist = svm.svm_sweep(clean, None, w, [0.01, 1.0], steps=3)
+    assert hist[0.01][-1]["test_loss"] is None
+    points = np.array([[r.x0, r.x1, r.x2] for r in clean.collect()])
+    assert hist[1.0][-1]["train_loss"] == pytest.approx(_hinge(points, np.array([r.y for r in clean.collect()]), np.array(hist[1.0][-1]["weights"])))
