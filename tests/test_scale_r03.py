@@ -53,3 +53,11 @@ def test_sweep_on_blocks_is_the_sweep_on_rows(spark):
     assert hist[0.01][-1]["test_loss"] is None
     points = np.array([[r.x0, r.x1, r.x2] for r in clean.collect()])
     assert hist[1.0][-1]["train_loss"] == pytest.approx(_hinge(points, np.array([r.y for r in clean.collect()]), np.array(hist[1.0][-1]["weights"])))
+
+
+def test_blocks_grow_with_the_width():
+    narrow, wide = (mdl.in_wide_blocks(mdl.logistic(5), w) for w in (600, 500_000))
+    assert narrow.getMaxBlockSizeInMB() == 0.0 and 20 < wide.getMaxBlockSizeInMB() < 30
+    assert mdl.in_wide_blocks(mdl.linear_svc(5), 10**8).getMaxBlockSizeInMB() == mdl.MOST_MB
+    tree = mdl.decision_tree()
+    assert mdl.in_wide_blocks(tree, 500_000) is tree
