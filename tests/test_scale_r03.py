@@ -61,3 +61,27 @@ def test_blocks_grow_with_the_width():
     assert mdl.in_wide_blocks(mdl.linear_svc(5), 10**8).getMaxBlockSizeInMB() == mdl.MOST_MB
     tree = mdl.decision_tree()
     assert mdl.in_wide_blocks(tree, 500_000) is tree
+
+
+def test_packed_sums_are_added_a_model_at_a_time(spark, monkeypatch):
+    rng, width = np.random.default_rng(4), 5000
+    rows = [(i % 2, [{"i": int(p), "v": float(v)} for p, v in zip(np.sort(rng.choice(width, 3, replace=False)), rng.normal(size=3))]) for i in range(600)]
+    df = spark.createDataFrame(rows, "label int, e array<struct<i:int,v:double>>").repartition(1)
+    pts = psvm.packed_points(df, F.col("e"), "label", F.lit("train"))
+    want = np.zeros(width + 1)
+    for y, e in rows:
+        want[0] += 2 * y - 1
+        for x in e:
+            want[x["i"] + 1] += (2 * y - 1) * x["v"]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        parts, total = psvm.step_sums(pts, np.zeros(width + 1))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert parts == {"train": (600.0, 1.0)} and total == pytest.approx(want, abs=1e-9)
+    batches, wide = [], []
+    monkeypatch.setattr(psvm, "_by_place", lambda e, w: wide.append(w) or np.zeros(w))
+    batches = [b for b in pts.select("part", "y", "c", "at", "x").toArrow().to_batches(max_chunksize=7)]
+    monkeypatch.setattr(psvm.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
+    list(psvm._sums(type("B", (), {"value": np.zeros(width + 1)})(), "train", psvm.hinge)(iter(batches)))
+    assert len(batches) > 50 and len(wide) == 1  # 1,800 entries: one array as wide as the model
