@@ -85,3 +85,9 @@ def test_packed_sums_are_added_a_model_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(psvm.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
     list(psvm._sums(type("B", (), {"value": np.zeros(width + 1)})(), "train", psvm.hinge)(iter(batches)))
     assert len(batches) > 50 and len(wide) == 1  # 1,800 entries: one array as wide as the model
+
+
+def test_sgd_points_that_do_not_fit_go_to_disk(spark):
+    rdd = svm._kept(spark, spark.range(3)._jdf.rdd())
+    assert rdd.getStorageLevel().useMemory() and rdd.getStorageLevel().useDisk()
+    rdd.unpersist(False)
