@@ -91,3 +91,12 @@ def test_sgd_points_that_do_not_fit_go_to_disk(spark):
     rdd = svm._kept(spark, spark.range(3)._jdf.rdd())
     assert rdd.getStorageLevel().useMemory() and rdd.getStorageLevel().useDisk()
     rdd.unpersist(False)
+
+
+def test_places_are_sorted_without_a_comparator(spark):
+    from clickforge.operators import category as cat
+    layout = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "u", 0)], "feature string, value string, gidx int")
+    df = spark.createDataFrame([("k1", "y", "u"), ("k2", None, "u"), ("k3", "z", None)], "key string, a string, b string")
+    out = cat.encode_places(df, ["a", "b"], layout, "key")
+    assert {r.key: r.places for r in out.collect()} == {"k1": [0, 2], "k2": [0], "k3": []}
+    assert "array_sort(" not in out._jdf.queryExecution().analyzed().toString()  # it calls a comparator row by row
