@@ -100,3 +100,45 @@ def test_places_are_sorted_without_a_comparator(spark):
     out = cat.encode_places(df, ["a", "b"], layout, "key")
     assert {r.key: r.places for r in out.collect()} == {"k1": [0, 2], "k2": [0], "k3": []}
     assert "array_sort(" not in out._jdf.queryExecution().analyzed().toString()  # it calls a comparator row by row
+
+
+def test_quantiles_take_few_scans_whatever_the_spread(spark, monkeypatch):
+    from clickforge.operators import quantile
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random(9001) < 0.5, 1.0, -1.0) * np.exp(rng.uniform(-600, 600, 9001))
+    x[:5] = [np.inf, -np.inf, -0.0, 0.0, np.nan]
+    df = spark.createDataFrame([(float(a), None if i % 2 else float(a)) for i, a in enumerate(x)], "a double, b double").repartition(3)
+    scans, counts = [], quantile._counts
+    monkeypatch.setattr(quantile, "_counts", lambda *a: scans.append(1) or counts(*a))
+    monkeypatch.setattr(F, "percentile_approx", lambda *a: pytest.fail("a sketch of every value"))
+    for p in (0.01, 0.5, 0.99):
+        got = quantile.exact_quantiles(df, ["a", "b"], p, exact_below=8)
+        assert got["a"] == np.quantile(x[~np.isnan(x)], p)
+        assert got["b"] == np.quantile(x[::2][~np.isnan(x[::2])], p)
+    assert len(scans) <= 3 * 4
+    assert quantile.exact_quantiles(df.limit(0), ["a"]) == {"a": None}
+
+
+def test_the_imports_joins_are_cut_by_rows(spark, sf, monkeypatch):
+    from clickforge.plans import fixture_plan as fp
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert fp.join_partitions(spark, sf) == session
+    monkeypatch.setattr(fp, "ROWS_A_TASK", 100)
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert fp.join_partitions(spark, sf) == -(-rows // 100) > session
+    used = []
+    monkeypatch.setattr(fp.files.StepStore, "resolve", lambda *a: None)
+    monkeypatch.setattr(fp.fx, "with_subset", lambda df: used.append(spark.conf.get("spark.sql.shuffle.partitions")) or spark.range(1))
+    monkeypatch.setattr(fp, "join_partitions", lambda *a: 77)
+    writers = []
+    monkeypatch.setattr(type(spark.range(1)), "write", property(lambda self: writers.append(spark.conf.get("spark.sql.shuffle.partitions")) or _Nothing()))
+    fp.import_path(spark, sf)
+    assert writers == ["77"] and spark.conf.get("spark.sql.shuffle.partitions") == str(session)
+
+
+class _Nothing:
+    def mode(self, *_):
+        return self
+
+    def parquet(self, *_):
+        pass
