@@ -142,3 +142,22 @@ class _Nothing:
 
     def parquet(self, *_):
         pass
+
+
+def test_crosses_and_packs_are_made_by_the_batch(spark):
+    from clickforge.operators import cross as crs
+    from pyspark.ml.linalg import Vectors, VectorUDT  # noqa: F401
+    struct = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+    rows = [("a", 1, (0, 3, [0, 2], [2.0, float("nan")]), (0, 5, [1, 4], [1.0, -3.0])), ("b", 0, (1, None, None, [0.0, 5.0, -1.0]), (0, 5, [0, 3], [1.0, 0.0])),
+            ("c", 1, (0, 3, [], []), (0, 5, [2], [1.0])), ("d", 0, None, (0, 5, [2], [1.0])), (None, 0, (0, 3, [1], [4.0]), (1, None, None, [0.0, 0.0, 7.0, 0.0, 1.0]))]
+    df = spark.createDataFrame(rows, f"key string, label int, x {struct}, c {struct}").repartition(2)
+    df = df.select("key", "label", *[F.col(k).alias(k, metadata={"ml_attr": {"num_attrs": w}}) for k, w in (("x", 3), ("c", 5))])
+    crossed = crs.sparse_cross(df, "x", "c", "xc")
+    got = crs.sparse_pack(crossed, ["x", "c", "xc"], keep=["key"])
+    assert sparse.width_of(got, "features") == 3 + 5 + 15 and not any(w in got._jdf.queryExecution().analyzed().toString().lower() for w in ("lambda", "transform("))
+    one = sparse.outer(sparse.vector_entries_of("x"), sparse.vector_entries_of("c"), 5)
+    entries, width = sparse.side_by_side([(sparse.vector_entries_of("x"), 3), (sparse.vector_entries_of("c"), 5), (sparse.vector_entries_of("xc"), 15)])
+    plain = df.select("*", sparse.vector(one, 15, "xc")).select("key", "label", sparse.vector(entries, width, "features"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.columns == plain.columns
+    hot = spark.createDataFrame([("a", [0, 4]), ("b", [])], "key string, places array<int>")
+    assert hot.select(sparse.one_hot_vector("places", 6, "v")).collect() == hot.select(sparse.vector(sparse.one_hot_entries("places"), 6, "v")).collect()
