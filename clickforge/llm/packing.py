@@ -55,7 +55,7 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, wanted: set[str]) -> None:
-        if len(self.new) + len(wanted) > CACHE:
+        if len(self.new) + len(wanted.difference(self.new)) > CACHE:
             self.old, self.new = self.new, {}
         missing = []
         for p in wanted.difference(self.new):
@@ -78,9 +78,19 @@ class PieceEncoder:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         split = [None if _WIDE.search(t) or "<|" in t else _PIECES.findall(t.lower()) for t in texts]
-        self._learn(set().union(*(x for x in split if x is not None)))
-        known = self.new.__getitem__
-        return [self.direct(t) if pieces is None else b"".join(map(known, pieces)) for t, pieces in zip(texts, split)]
+        found = [self.direct(t) if pieces is None else self._known(pieces) for t, pieces in zip(texts, split)]
+        missed = [k for k, ids in enumerate(found) if ids is None]
+        if missed:  # only texts with a piece not met before need the set of their pieces
+            self._learn(set().union(*(split[k] for k in missed)))
+            for k in missed:
+                found[k] = self._known(split[k])
+        return found
+
+    def _known(self, pieces: list[str]) -> bytes | None:
+        try:
+            return b"".join(map(self.new.__getitem__, pieces))
+        except KeyError:
+            return None
 
 
 class SumOfSquares:

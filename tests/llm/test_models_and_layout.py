@@ -231,3 +231,15 @@ def test_pipeline_stages(spark, sf, docs):
 def test_pipeline_run(spark, sf):
     rows = corpus_pipeline.run(spark, sf).collect()
     assert rows and max(r.offset + r.length for r in rows) <= 2048
+
+
+def test_known_pieces_do_not_turn_the_cache_over(monkeypatch):
+    import public_tokenizers
+    from clickforge.llm import packing
+    monkeypatch.setattr(packing, "CACHE", 8)
+    encoder = packing.PieceEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["one two three four five", "five four three two one six", "seven eight nine ten", ""]
+    want = [encoder.direct(t) for t in texts]
+    assert encoder.batch(texts[:2]) == want[:2] and len(encoder.new) == 6
+    assert encoder.batch(texts[:2]) == want[:2] and not encoder.old  # nothing new: nothing forgotten
+    assert encoder.batch(texts) == want and encoder.batch(texts[::-1]) == want[::-1]
