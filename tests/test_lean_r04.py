@@ -4,6 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from clickforge.operators import category as cat
 from clickforge.operators import evaluate as ev
 from clickforge.session import LEAN
 from clickforge.sources import files
@@ -41,3 +42,36 @@ def test_a_ranking_keeps_no_shuffle_of_its_scores(spark):
     auc = ev.rank_auc(rows, "s", by=["g"], partitions=3)
     assert not _left(spark, before)
     assert {r.g: r.auc for r in auc.collect()} == {"a": 0.75, None: 1.0}
+
+
+def _shuffled(df) -> bool:
+    return "Exchange hash" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_are_found_in_sorted_arrays_whatever_their_bytes(spark):
+    texts = ["", "a", "a\0", "a\0\0", "\u00e9", "z" * 40, "b", None]
+    table = spark.createDataFrame([(t, i, 10 * i) for i, t in enumerate(texts) if t not in ("b", "a\0\0")], "value string, p int, q long")
+    rows = spark.createDataFrame([(t,) for t in texts + ["z" * 41, "z" * 39, "\u00e9\0", "a\x01"]], "c string").repartition(3)
+    got = {r.c: r.at for r in rows.select("c", cat.looked_up(table, "c", ["p", "q"]).alias("at")).collect()}
+    want = {t: (i, 10 * i) for i, t in enumerate(texts) if t not in ("b", "a\0\0", None)}
+    assert {c: tuple(at) for c, at in got.items() if at is not None} == want and len(got) == 12
+    none = rows.select(cat.looked_up(table.limit(0), "c", ["p"]).alias("at")).where("at is not null")
+    assert none.count() == 0
+
+
+def test_features_beyond_the_broadcast_budget_need_no_shuffle(spark):
+    rows = spark.createDataFrame([(i, f"v{i % 90}", None if i % 5 == 0 else f"w{i % 3}") for i in range(900)], "id int, a string, b string")
+    stats = cat.fit_category_stats(rows, ["a", "b"])
+    layout = cat.fit_layout(stats, ["a", "b"], 2)
+    frequent = cat.fit_frequent_values(stats, 5)
+    limit = 90 * 22  # the 90 values as arrays; as a broadcast table they take 51 bytes each
+    made = [lambda b: cat.mask_uncommon(rows, ["a", "b"], frequent, broadcast_bytes=b),
+            lambda b: cat.encode_places(rows, ["a", "b"], layout, "id", broadcast_bytes=b),
+            lambda b: cat.one_hot_long(rows, ["a", "b"], layout, ["id"], broadcast_bytes=b)]
+    for make in made:
+        small, large = make(limit), make(cat.BROADCAST_BYTES)
+        assert small.dtypes == large.dtypes
+        assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    table = spark.createDataFrame(layout.collect(), layout.schema)
+    assert not _shuffled(cat.encode_places(rows, ["a", "b"], table, "id", broadcast_bytes=limit))
+    assert not _shuffled(cat.one_hot_long(rows, ["a", "b"], table, ["id"], broadcast_bytes=limit))
