@@ -5,7 +5,9 @@ import time
 from pyspark.sql import functions as F
 
 from clickforge.operators import category as cat
+from clickforge.operators import cross as crs
 from clickforge.operators import evaluate as ev
+from clickforge.operators import sparse
 from clickforge.session import LEAN
 from clickforge.sources import files
 
@@ -75,3 +77,23 @@ def test_features_beyond_the_broadcast_budget_need_no_shuffle(spark):
     table = spark.createDataFrame(layout.collect(), layout.schema)
     assert not _shuffled(cat.encode_places(rows, ["a", "b"], table, "id", broadcast_bytes=limit))
     assert not _shuffled(cat.one_hot_long(rows, ["a", "b"], table, ["id"], broadcast_bytes=limit))
+
+
+def test_exports_are_packed_and_read_back_the_same(spark, tmp_path):
+    rows = spark.createDataFrame([(i % 2, i, float(i) if i % 3 else None, f"t{i % 4}" if i % 5 else None) for i in range(4000)],
+                                 "label int, id int, x double, c string").repartition(2)
+    files.write_tsv(rows, f"{tmp_path}/tsv", header=True)
+    files.write_tsv(rows, f"{tmp_path}/plain", header=True, compression="none")
+    size = {n: sum(p.stat().st_size for p in (tmp_path / n).glob("part-*")) for n in ("tsv", "plain")}
+    assert 3 * size["tsv"] < size["plain"]
+    assert sorted(map(str, files.read_tsv(spark, f"{tmp_path}/tsv", rows.schema, header=True).collect())) == sorted(map(str, rows.collect()))
+    two = rows.select("label", sparse.vector(sparse.numeric_entries(["id", "x"]), 2, "a"), sparse.vector(sparse.numeric_entries(["label"]), 1, "b"))
+    packed = crs.sparse_pack(two, ["a", "b"], ml=True)
+    files.write_table(crs.sparse_pack(two, ["a", "b"]), f"{tmp_path}/structs")
+    want = sparse.read_vectors(spark, f"{tmp_path}/structs")
+    assert packed.schema["features"] == want.schema["features"] and crs.vector_width(packed, "features") == 3
+    files.write_libsvm(packed, f"{tmp_path}/libsvm")
+    assert all(p.name.endswith(".gz") for p in (tmp_path / "libsvm").glob("part-*"))
+    back = files.read_libsvm(spark, f"{tmp_path}/libsvm", 3)
+    text = lambda df: sorted(str((float(r.label), r.features)) for r in df.collect())
+    assert text(back) == text(want)
