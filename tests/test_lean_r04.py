@@ -97,3 +97,14 @@ def test_exports_are_packed_and_read_back_the_same(spark, tmp_path):
     back = files.read_libsvm(spark, f"{tmp_path}/libsvm", 3)
     text = lambda df: sorted(str((float(r.label), r.features)) for r in df.collect())
     assert text(back) == text(want)
+
+
+def test_crossed_places_are_stored_as_differences(spark, tmp_path):
+    rows = spark.range(3000).select("id", F.expr("transform(sequence(0, 59), k -> cast(k * 100003 + (id * 7919) % 9973 as int))").alias("places"))
+    one = rows.select("id", sparse.one_hot_vector("places", 7_000_000, "v")).coalesce(1)
+    files.write_table(one, f"{tmp_path}/plain")
+    files.write_table(one, f"{tmp_path}/crossed", crossed=True)
+    size = {n: sum(p.stat().st_size for p in (tmp_path / n).glob("part-*")) for n in ("plain", "crossed")}
+    assert 2 * size["crossed"] < size["plain"]
+    plain, crossed = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("plain", "crossed"))
+    assert crossed.schema == plain.schema and crossed.exceptAll(plain).isEmpty() and crossed.count() == 3000
