@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickforge.operators import category as cat
 from clickforge.operators import cross as crs
 from clickforge.operators import evaluate as ev
-from clickforge.operators import sparse
+from clickforge.operators import sparse, svm
 from clickforge.session import LEAN
 from clickforge.sources import files
 
@@ -108,3 +108,14 @@ def test_crossed_places_are_stored_as_differences(spark, tmp_path):
     assert 2 * size["crossed"] < size["plain"]
     plain, crossed = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("plain", "crossed"))
     assert crossed.schema == plain.schema and crossed.exceptAll(plain).isEmpty() and crossed.count() == 3000
+
+
+def test_sgd_points_have_partitions_for_the_cores(spark, tmp_path):
+    rows = spark.range(200).select((F.col("id") % 2).alias("label"), sparse.vector(sparse.numeric_entries(["id"]), 1, "a"))
+    files.write_libsvm(crs.sparse_pack(rows.repartition(40), ["a"], ml=True), f"{tmp_path}/points", compressed=False)
+    sc = spark.sparkContext
+    points = sc._jvm.org.apache.spark.mllib.util.MLUtils.loadLibSVMFile(sc._jsc.sc(), f"{tmp_path}/points", 1)
+    kept = svm._kept(spark, points)
+    assert points.getNumPartitions() >= 40 and kept.getNumPartitions() <= svm.PARTS_A_CORE * sc.defaultParallelism < 40
+    assert kept.count() == 200
+    kept.unpersist(False)
